@@ -35,33 +35,53 @@ def upsert_by_key(
     current: DataFrame,
     incoming: DataFrame,
     record_key: str | None = None,
-    precombine: str | Sequence[str | Column] | None = None,
+    precombine: str | Sequence[str] | None = None,
     current_is_keyed: bool = False,
 ) -> DataFrame:
     """One row per key: the one with the highest precombine value.
 
-    On equal values the incoming row wins. ``precombine`` may list tie-breakers after
-    the first field, highest first. With ``current_is_keyed`` the caller states that
-    ``current`` has each key once; then rows whose key is not incoming skip the
-    ranking shuffle, and the split is a join that broadcasts the incoming keys when
-    Spark sees that they are small.
+    On equal values the incoming row wins, and NULL is the lowest. ``precombine`` may
+    list tie-breakers after the first field. With ``current_is_keyed`` the caller states
+    that ``current`` has each key once; it is then not ranked but joined, and when Spark
+    sees that the incoming rows are small it broadcasts them and ``current`` does not
+    move at all.
     """
-    first = precombine if isinstance(precombine, str) or precombine is None else "given"
-    key_text, default_field = upsert_fields(current.columns, record_key, first)
-    keys = field_names(key_text)
-    fields = [default_field] if first != "given" else list(precombine)
+    listed = field_names(precombine)
+    key_text, first = upsert_fields(current.columns, record_key, listed[0] if listed else None)
+    keys, fields = field_names(key_text), [first, *listed[1:]]
+    best = [quoted(name).desc_nulls_last() for name in fields]
+    if current_is_keyed:
+        return _merge(current, first_per_key(incoming, keys, best), keys, fields)
     mark = "__incoming"
-    order = [(f if isinstance(f, Column) else quoted(f)).desc_nulls_last() for f in fields]
-    order.append(F.col(mark).desc())
-    new = incoming.withColumn(mark, F.lit(1))
-    old = current.withColumn(mark, F.lit(0))
-    if not current_is_keyed:
-        return first_per_key(old.unionByName(new), keys, order).drop(mark)
-    latest = first_per_key(new, keys, order)
-    touched = latest.select(*[quoted(key) for key in keys])
-    untouched = old.join(touched, keys, "left_anti")
-    contested = old.join(touched, keys, "left_semi").unionByName(latest)
-    return untouched.unionByName(first_per_key(contested, keys, order)).drop(mark)
+    both = current.withColumn(mark, F.lit(0)).unionByName(incoming.withColumn(mark, F.lit(1)))
+    return first_per_key(both, keys, [*best, F.col(mark).desc()]).drop(mark)
+
+
+def _merge(
+    current: DataFrame, latest: DataFrame, keys: Sequence[str], fields: Sequence[str]
+) -> DataFrame:
+    """Rows of ``current``, replaced where ``latest`` is not older, and the new keys.
+
+    The key is a struct, in which a NULL equals a NULL.
+    """
+    key, row = "__key", "__row"
+    columns = current.columns
+    old = current.withColumn(key, F.struct(*[quoted(name) for name in keys]))
+    new = latest.select(
+        F.struct(*[quoted(name) for name in keys]).alias(key),
+        F.struct(*[quoted(name) for name in columns]).alias(row),
+    )
+    joined = old.join(new, key, "left")
+    newest = F.struct(*[F.col(row)[name] for name in fields])
+    replaced = F.col(row).isNotNull() & (newest >= F.struct(*[quoted(name) for name in fields]))
+    kept = joined.select(
+        *[F.when(replaced, F.col(row)[name]).otherwise(quoted(name)).alias(name) for name in columns]
+    )
+    known = old.select(key).join(new.select(key), key, "left_semi")
+    fresh = new.join(known, key, "left_anti").select(
+        *[F.col(row)[name].alias(name) for name in columns]
+    )
+    return kept.unionByName(fresh)
 
 
 def delete_then_append(
@@ -85,7 +105,7 @@ def with_surrogate_key(df: DataFrame, name: str = "auto_md5") -> DataFrame:
 
 
 def require_key(df: DataFrame, keys: str | Sequence[str]) -> DataFrame:
-    """Declare key columns as never NULL; a NULL there ends the job."""
+    """The key columns must hold values; a NULL there ends the job."""
     wanted = set(field_names(keys))
     return df.select(
         *[_non_null(name) if name in wanted else quoted(name) for name in df.columns]

@@ -28,8 +28,14 @@ def bind_run_date(sql: str, run_date: str | None) -> str:
     return _RUN_DATE.sub(lambda _: literal, sql)
 
 
-def mapped_column(entry: Mapping[str, str], run_date: str | None = None) -> Column:
-    """One mapping entry: SQL expression, optional type, alias."""
+def mapped_column(
+    entry: Mapping[str, str], run_date: str | None = None, strict: bool = True
+) -> Column:
+    """One mapping entry: SQL expression, optional type, alias.
+
+    ``strict`` says that the session casts by the ANSI rules, under which a plain cast
+    of a value that does not fit ends the job.
+    """
     text = entry.get("column_expr", "").strip()
     if not text:
         raise ValueError(f"mapping entry without column_expr: {dict(entry)}")
@@ -39,7 +45,7 @@ def mapped_column(entry: Mapping[str, str], run_date: str | None = None) -> Colu
         return value.cast("string").alias(alias)
     wanted = entry.get("column_type", "").strip()
     if wanted:
-        value = value.try_cast(wanted)
+        value = value.try_cast(wanted) if strict else value.cast(wanted)
     return value.alias(alias)
 
 
@@ -50,11 +56,12 @@ def map_columns(
 ) -> DataFrame:
     """Project to the mapped columns; without a mapping the frame stays as it is.
 
-    A value that does not fit ``column_type`` becomes NULL.
+    Text that does not fit ``column_type`` becomes NULL.
     """
     if not mapping:
         return df
-    return df.select(*[mapped_column(entry, run_date) for entry in mapping])
+    strict = df.sparkSession.conf.get("spark.sql.ansi.enabled") == "true"
+    return df.select(*[mapped_column(entry, run_date, strict) for entry in mapping])
 
 
 def strip_family(mapping: Sequence[Mapping[str, str]]) -> list[dict[str, str]]:

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -18,9 +18,15 @@ from millrace.functions.text import quoted
 from millrace.operators.rows import order_columns
 from millrace.schema import field_names
 
+_KEY = "__key"
 _SLICE = "__slice"
 
 
+def _group_key(keys: str | Sequence[str]) -> Column:
+    """The keys as one struct, in which a NULL equals a NULL when groups are joined."""
+    return F.struct(*[quoted(key) for key in field_names(keys)])
+
+
 def with_group_count(
     df: DataFrame, keys: str | Sequence[str], column: str, name: str = "group_count"
 ) -> DataFrame:
@@ -29,14 +35,9 @@ def with_group_count(
     The counts are combined on the map side; the join back is one Spark may broadcast,
     or split where a key is skewed.
     """
-    names = field_names(keys)
-    counts = df.groupBy(*[quoted(key).alias(f"__k_{i}") for i, key in enumerate(names)]).agg(
-        F.count(quoted(column)).alias(name)
-    )
-    same = F.lit(True)
-    for i, key in enumerate(names):
-        same = same & quoted(key).eqNullSafe(F.col(f"__k_{i}"))
-    return df.join(counts, same, "left").drop(*[f"__k_{i}" for i in range(len(names))])
+    rows = df.withColumn(_KEY, _group_key(keys))
+    counts = rows.groupBy(_KEY).agg(F.count(quoted(column)).alias(name))
+    return rows.join(counts, _KEY, "left").drop(_KEY)
 
 
 def top_per_group(
@@ -49,8 +50,8 @@ def top_per_group(
     return df.withColumn(name, F.rank().over(window)).filter(F.col(name) <= limit)
 
 
-def _sliced(df: DataFrame, order: str, slices: int) -> DataFrame:
-    """Number the slice of the order column a row falls into.
+def _sliced(df: DataFrame, keys: str | Sequence[str], order: str, slices: int) -> DataFrame:
+    """Add the group key and the slice of the order column a row falls into.
 
     The cut points are quantiles of the whole column, so a slice has about
     rows / slices rows, and so has at most any one group within it. They are a handful
@@ -63,7 +64,12 @@ def _sliced(df: DataFrame, order: str, slices: int) -> DataFrame:
     cuts = F.transform(F.percentile_approx(position, steps, 10_000), lambda c: c.cast("string"))
     found = df.agg(F.array_distinct(cuts).alias("cuts")).first()["cuts"] or []
     number = range_number(position, [F.lit(text).cast(kind) for text in found])
-    return df.withColumn(_SLICE, F.when(position.isNull(), F.lit(-1)).otherwise(number))
+    return df.withColumns(
+        {
+            _KEY: _group_key(keys),
+            _SLICE: F.when(position.isNull(), F.lit(-1)).otherwise(number),
+        }
+    )
 
 
 def running_total(
@@ -77,28 +83,28 @@ def running_total(
     """Sum of ``value`` over the group's rows up to and including this one.
 
     ``order_by`` lists ascending columns, the first a number or a time; together they
-    must order the rows of a group fully.
+    must order the rows of a group fully. Slices of a group are summed apart, and each
+    starts from the sum of the slices before it.
     """
-    names = field_names(keys)
-    rows = _sliced(df, order_by[0], slices)
-    group = [quoted(key) for key in names]
-    before = W.partitionBy(*group).orderBy(_SLICE).rowsBetween(W.unboundedPreceding, -1)
-    totals = (
-        rows.groupBy(*group, F.col(_SLICE))
+    rows = _sliced(df, keys, order_by[0], slices)
+    earlier = W.partitionBy(_KEY).orderBy(_SLICE).rowsBetween(W.unboundedPreceding, -1)
+    before = (
+        rows.groupBy(_KEY, _SLICE)
         .agg(F.sum(quoted(value)).alias("__sum"))
-        .select(*group, _SLICE, F.sum("__sum").over(before).alias("__before"))
+        .select(_KEY, _SLICE, F.sum("__sum").over(earlier).alias("__before"))
     )
     inside = (
-        W.partitionBy(*group, F.col(_SLICE))
+        W.partitionBy(_KEY, _SLICE)
         .orderBy(*order_columns(order_by))
         .rowsBetween(W.unboundedPreceding, W.currentRow)
     )
-    joined = _join_slices(rows.withColumn("__part", F.sum(quoted(value)).over(inside)), totals, names)
-    total = F.when(
-        F.col("__before").isNull() | F.col("__part").isNull(),
-        F.coalesce("__part", "__before"),
-    ).otherwise(F.col("__part") + F.col("__before"))
-    return joined.withColumn(name, total).drop("__part", "__before", _SLICE)
+    rows = rows.withColumn("__part", F.sum(quoted(value)).over(inside))
+    total = F.coalesce(F.col("__part") + F.col("__before"), F.col("__part"), F.col("__before"))
+    return (
+        rows.join(before, [_KEY, _SLICE], "left")
+        .withColumn(name, total)
+        .drop(_KEY, _SLICE, "__part", "__before")
+    )
 
 
 def previous_value(
@@ -111,40 +117,25 @@ def previous_value(
 ) -> DataFrame:
     """``value`` of the group's row before this one, NULL for the first.
 
-    The order is as for ``running_total``.
+    The order is as for ``running_total``. The first row of a slice takes the last value
+    of the nearest slice before it that has rows.
     """
-    names = field_names(keys)
-    rows = _sliced(df, order_by[0], slices)
-    group = [quoted(key) for key in names]
-    sort_key = F.struct(*[quoted(column) for column in order_by])
-    last = F.max_by(F.struct(quoted(value).alias("v")), sort_key).alias("__last")
+    rows = _sliced(df, keys, order_by[0], slices)
+    boxed = F.struct(quoted(value).alias("v"))
+    place = F.struct(*[quoted(column) for column in order_by])
     carried = (
-        rows.groupBy(*group, F.col(_SLICE))
-        .agg(last)
+        rows.groupBy(_KEY, _SLICE)
+        .agg(F.max_by(boxed, place).alias("__last"))
         .select(
-            *group,
+            _KEY,
             _SLICE,
-            F.lag("__last").over(W.partitionBy(*group).orderBy(_SLICE)).alias("__carried"),
+            F.lag("__last").over(W.partitionBy(_KEY).orderBy(_SLICE)).alias("__carried"),
         )
     )
-    inside = W.partitionBy(*group, F.col(_SLICE)).orderBy(*order_columns(order_by))
-    rows = rows.withColumns(
-        {
-            "__inside": F.lag(F.struct(quoted(value).alias("v"))).over(inside),
-        }
-    )
-    joined = _join_slices(rows, carried, names)
-    previous = F.coalesce(F.col("__inside"), F.col("__carried"))["v"]
-    return joined.withColumn(name, previous).drop("__inside", "__carried", _SLICE)
-
-
-def _join_slices(rows: DataFrame, per_slice: DataFrame, names: Sequence[str]) -> DataFrame:
-    renamed = per_slice.toDF(
-        *[f"__k_{i}" for i in range(len(names))], "__k_slice", *per_slice.columns[len(names) + 1 :]
-    )
-    same = F.col(_SLICE) == F.col("__k_slice")
-    for i, key in enumerate(names):
-        same = same & quoted(key).eqNullSafe(F.col(f"__k_{i}"))
-    return rows.join(renamed, same, "left").drop(
-        "__k_slice", *[f"__k_{i}" for i in range(len(names))]
+    inside = W.partitionBy(_KEY, _SLICE).orderBy(*order_columns(order_by))
+    rows = rows.withColumn("__inside", F.lag(boxed).over(inside))
+    return (
+        rows.join(carried, [_KEY, _SLICE], "left")
+        .withColumn(name, F.coalesce("__inside", "__carried")["v"])
+        .drop(_KEY, _SLICE, "__inside", "__carried")
     )

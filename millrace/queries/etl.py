@@ -90,7 +90,6 @@ def etl_single_source(spark: SparkSession, sf_dir: str) -> DataFrame:
             column("$etl_date", "etl_date", "date"),
             column("o_custkey", "row_key"),
         ],
-        "repartition_num_input": "8",
         "repartition_cols_input": "id",
     }
     task = {"tli": run_block(), "dsi_Input": HDFS, "dsi_Output": HDFS, ETL_BLOCK: info}
@@ -613,19 +612,12 @@ def dedup_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("repartition_rows", "SELECT o_orderkey, o_custkey FROM orders")
 def repartition_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
-    return redistribute(orders, "16", "o_custkey,o_orderkey")
+    return redistribute(orders, None, "o_custkey,o_orderkey")
 
 
-@query("compact_files", "SELECT 4 AS file_count, count(*) AS row_count FROM events")
+@query("compact_files", "SELECT event_id, ts, user_id, event_type, value, props FROM events")
 def compact_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rows and files after a write compacted to four files."""
+    """A write whose files Spark sizes."""
     out = scratch_dir(spark, "compact") + "/events"
-    compact(table(spark, sf_dir, "events"), "4").write.parquet(out)
-    per_file = (
-        spark.read.parquet(out)
-        .groupBy(F.input_file_name().alias("file"))
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
-    return per_file.agg(
-        F.count(F.lit(1)).cast("int").alias("file_count"), F.sum("n").alias("row_count")
-    )
+    compact(table(spark, sf_dir, "events"), "auto").write.parquet(out)
+    return spark.read.parquet(out)

@@ -196,9 +196,12 @@ def uploaded_columnar(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("header_lines_dropped", CUSTOMER_TEXT)
 def header_lines_dropped(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Delivered text whose files each start with the header line."""
+    """Delivered text whose files, at least two, each start with the header line."""
     out = scratch_dir(spark, "delivery") + "/customer"
-    _write(_customer(spark, sf_dir).repartition(4), out, "csv", sep="$^", header="true")
+    for half in ("c_nationkey < 10", "c_nationkey >= 10"):
+        _write(
+            _customer(spark, sf_dir).filter(half), out, "csv", sep="$^", header="true", model="append"
+        )
     return _read(spark, out, "csv", CUSTOMER_FIELDS, source="ftp", sep="$^")
 
 
@@ -241,23 +244,23 @@ def latest_file(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     "save_modes",
     """
-    SELECT r_regionkey, r_name, CAST(2 AS BIGINT) AS copies, 'append' AS mode FROM region
-    UNION ALL SELECT r_regionkey, r_name, 1, 'overwrite' FROM region
-    UNION ALL SELECT r_regionkey, r_name, 1, 'ignore' FROM region
-    UNION ALL SELECT r_regionkey, r_name, 2, 'anything else' FROM region
+    SELECT c_custkey, c_name, CAST(2 AS BIGINT) AS copies, 'append' AS mode FROM customer
+    UNION ALL SELECT c_custkey, c_name, 1, 'overwrite' FROM customer
+    UNION ALL SELECT c_custkey, c_name, 1, 'ignore' FROM customer
+    UNION ALL SELECT c_custkey, c_name, 2, 'anything else' FROM customer
     """,
 )
 def save_modes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How often a row is there after two writes in each mode."""
     folder = scratch_dir(spark, "modes")
-    region = table(spark, sf_dir, "region")
+    customer = table(spark, sf_dir, "customer").select("c_custkey", "c_name")
     frames = []
     for i, mode in enumerate(("append", "overwrite", "ignore", "anything else")):
         for _ in range(2):
-            _write(region, f"{folder}/{i}", "parquet", model=mode)
+            _write(customer, f"{folder}/{i}", "parquet", model=mode)
         copies = (
             spark.read.parquet(f"{folder}/{i}")
-            .groupBy("r_regionkey", "r_name")
+            .groupBy("c_custkey", "c_name")
             .agg(F.count(F.lit(1)).alias("copies"))
         )
         frames.append(copies.withColumn("mode", F.lit(mode)))

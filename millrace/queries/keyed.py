@@ -26,7 +26,7 @@ def upsert_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = table(spark, sf_dir, "events").drop("props")
     current = events.filter("event_type <> 'purchase'")
     incoming = events.filter("event_type = 'purchase'")
-    return upsert_by_key(current, incoming, "user_id", ["ts", "event_id"])
+    return upsert_by_key(current, incoming, "user_id", "ts,event_id")
 
 
 @query(

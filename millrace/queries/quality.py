@@ -241,8 +241,11 @@ def quality_rules_key(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     "quality_report_pass",
     """
-    SELECT 2 AS seq, 'result' AS rule_code, CAST(NULL AS VARCHAR) AS column_name, CAST(0 AS BIGINT) AS violations,
-           'pass' AS message
+    WITH v AS (SELECT (SELECT count(*) FROM (SELECT 1 FROM orders GROUP BY o_orderkey HAVING count(*) > 1)) AS k,
+                      (SELECT count(*) FROM orders WHERE NOT regexp_matches(o_orderstatus, '^[FOP]$')) AS r)
+    SELECT 2 AS seq, 'result' AS rule_code, CAST(NULL AS VARCHAR) AS column_name,
+           CAST(CASE WHEN k > 0 THEN 1 ELSE 0 END + CASE WHEN r > 0 THEN 1 ELSE 0 END AS BIGINT) AS violations,
+           CASE WHEN k + r > 0 THEN 'fail' ELSE 'pass' END AS message FROM v
     """,
 )
 def quality_report_pass(spark: SparkSession, sf_dir: str) -> DataFrame:

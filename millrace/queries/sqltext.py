@@ -38,9 +38,9 @@ sql_query(
 sql_query(
     "join_left",
     "orders customer",
-    """SELECT c_custkey, coalesce(o_orderkey, -1) AS o_orderkey, CASE o_orderstatus WHEN 'F' THEN 'finished' WHEN 'O' THEN 'open'
-              WHEN 'P' THEN 'partial' ELSE 'none' END AS state
-       FROM customer LEFT JOIN (SELECT * FROM orders WHERE o_totalprice > 200000) o ON c_custkey = o_custkey""",
+    """SELECT o_orderkey, coalesce(c_name, 'unknown') AS customer,
+              CASE c_mktsegment WHEN 'BUILDING' THEN 'B' WHEN 'MACHINERY' THEN 'M' ELSE 'other' END AS segment
+       FROM orders LEFT JOIN (SELECT * FROM customer WHERE c_acctbal > 0) c ON o_custkey = c_custkey""",
 )
 sql_query(
     "join_full",
@@ -60,13 +60,14 @@ sql_query(
     "join_semi",
     "customer orders",
     """SELECT c_custkey, c_name FROM customer
-       WHERE EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey AND o_totalprice > 400000)""",
+       WHERE c_custkey IN (SELECT DISTINCT o_custkey FROM orders WHERE o_totalprice > 400000)""",
 )
 sql_query(
     "join_anti",
     "customer orders",
     """SELECT c_custkey, c_name FROM customer
-       WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey AND o_totalprice > 400000)""",
+       WHERE NOT EXISTS (SELECT 1 FROM (SELECT DISTINCT o_custkey FROM orders WHERE o_totalprice > 400000)
+                         WHERE o_custkey = c_custkey)""",
 )
 sql_query(
     "join_theta",
@@ -167,12 +168,13 @@ sql_query(
 sql_query(
     "set_except",
     "customer orders",
-    "SELECT c_custkey AS custkey FROM customer EXCEPT SELECT o_custkey FROM orders WHERE o_orderstatus = 'P'",
+    "SELECT c_custkey AS custkey FROM customer EXCEPT SELECT DISTINCT o_custkey FROM orders WHERE o_orderstatus = 'P'",
 )
 sql_query(
     "set_except_all",
-    "orders customer",
-    """SELECT o_custkey AS custkey FROM orders EXCEPT ALL SELECT c_custkey FROM customer""",
+    "orders",
+    """SELECT o_orderkey, o_custkey FROM orders
+       EXCEPT ALL SELECT o_orderkey, o_custkey FROM orders WHERE o_orderstatus = 'F'""",
 )
 
 

@@ -8,6 +8,7 @@ import uuid
 from collections.abc import Iterator, Mapping
 from contextlib import contextmanager
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import SparkSession
 
 log = logging.getLogger(__name__)
@@ -20,11 +21,18 @@ SESSION_DEFAULTS = {
     "spark.sql.sources.partitionOverwriteMode": "static",
 }
 
-# Tasks carry SQL text written for non-ANSI casts: an uncastable value is NULL,
-# it does not end the job. A task may set the option back.
+_FIXED = ("CANNOT_MODIFY_CONFIG", "CANNOT_MODIFY_STATIC_CONFIG")
+
+# Tasks carry SQL text written for non-ANSI casts: an uncastable value is NULL, it does
+# not end the job, and an insert casts to the type of the table. A task may set the
+# options back.
 TASK_DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.ansi.enabled": "false",
+    "spark.sql.storeAssignmentPolicy": "legacy",
+    # Spark 4.1.2 zips the partitions of a union whose inputs are hashed alike, and fails
+    # when adaptive execution has joined the partitions of one input only.
+    "spark.sql.unionOutputPartitioning": "false",
 }
 
 
@@ -46,16 +54,14 @@ def apply_options(spark: SparkSession, options: Mapping[str, object] | None) ->
     for key, value in (options or {}).items():
         if not key.startswith("spark."):
             continue
-        if spark.conf.isModifiable(key) or not _is_known(spark, key):
+        try:
             spark.conf.set(key, str(value))
-        else:
+        except AnalysisException as error:
+            if error.getCondition() not in _FIXED:
+                raise
             log.warning("setting %s is fixed once the session runs; left as it is", key)
 
 
-def _is_known(spark: SparkSession, key: str) -> bool:
-    return key.startswith("spark.sql.") or spark.conf.get(key, None) is not None
-
-
 def private_session(
     spark: SparkSession,
     options: Mapping[str, object] | None = None,
