@@ -172,13 +172,11 @@ def verdict(errors: str, limit: str, checks: Sequence[str]) -> Column:
     )
 
 
-def gate(report: DataFrame) -> dict:
-    """Run the inline report and end the load when it failed."""
-    row = report.first().asDict()
-    if row["result"] == FAIL:
-        failed = [name for name, value in row.items() if name.endswith("_check") and value == FAIL]
-        raise QualityError(f"quality checks failed: {', '.join(failed)}; report {row}")
-    return row
+def gate(report: Mapping) -> None:
+    """End the load when the row of its inline report says *fail*."""
+    if report["result"] == FAIL:
+        failed = [name for name, value in report.items() if name.endswith("_check") and value == FAIL]
+        raise QualityError(f"quality checks failed: {', '.join(failed)}; report {dict(report)}")
 
 
 def rule_quality(df: DataFrame, rules: Sequence[Mapping]) -> DataFrame:

@@ -8,10 +8,11 @@ keys and the extra keys of the task are merged, the extra ones last.
 from __future__ import annotations
 
 import json
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from millrace.operators.quality import InlineSpec, gate, inline_quality, quality_report, rule_quality
 from millrace.operators.rows import redistribute, select_rows
@@ -107,8 +108,12 @@ def read_mapped(
     info: Mapping,
     mapping: Sequence[Mapping[str, str]] | None,
     date: str | None,
+    keep_report: Callable[[DataFrame], None] | None = None,
 ) -> tuple[DataFrame, dict | None]:
-    """Read, filter, drop duplicates, run the quality gate, map, repartition."""
+    """Read, filter, drop duplicates, run the quality gate, map, repartition.
+
+    ``keep_report`` gets the quality report, whether or not the gate lets the load go on.
+    """
     kind = str(store.get("data_source_type", "")).lower()
     df = source_frame(
         spark,
@@ -120,7 +125,11 @@ def read_mapped(
     df = select_rows(df, None, info.get("duplicate_columns"), info.get("duplicate_order_by"))
     report = None
     if str(info.get("enable_quality", "off")).strip() == "on":
-        report = gate(inline_quality(df, InlineSpec.from_task(info, mapping)))
+        checks = inline_quality(df, InlineSpec.from_task(info, mapping))
+        report = checks.first().asDict()
+        if keep_report:
+            keep_report(spark.createDataFrame([report], checks.schema))
+        gate(report)
     if kind == "hbase" and mapping:
         mapping = strip_family(mapping)
     df = map_columns(df, mapping, date)
@@ -145,6 +154,32 @@ def _write(task: Mapping, info: Mapping, df: DataFrame) -> object:
     )
 
 
+def report_keeper(
+    task: Mapping, info: Mapping, source: Mapping | None = None
+) -> Callable[[DataFrame], None] | None:
+    """Append reports, with the run they belong to, to the store of ``dsi_Report``."""
+    store = task.get("dsi_Report") or {}
+    if not store.get("data_source_type"):
+        return None
+    run, block = task.get("tli", {}), source or info
+    labels = {
+        "task_logs_id": task.get("task_logs_id", "001"),
+        "job_id": run.get("job_id", "001"),
+        "job_context": run.get("job_context", "001"),
+        "etl_task_id": block.get("id", "001"),
+        "etl_context": block.get("etl_context") or block.get("quality_context") or "",
+        "etl_date": run_date(task) or "",
+        "owner": run.get("owner", "001"),
+    }
+
+    def keep(report: DataFrame) -> None:
+        tagged = report.select(*[F.lit(str(v)).alias(k) for k, v in labels.items()], "*")
+        options = {"fileType": "parquet", **store, "model": "append"}
+        write_sink(tagged, {"type": store["data_source_type"], "options": options})
+
+    return keep
+
+
 def _session(spark: SparkSession, task: Mapping, info: Mapping) -> SparkSession:
     store = task.get("dsi_Input") or {}
     return private_session(spark, {**store, **_json(info.get("data_sources_params_input"))})
@@ -156,7 +191,12 @@ def run_etl(spark: SparkSession, task: Mapping, block: str = ETL_BLOCK) -> TaskR
     own = _session(spark, task, info)
     with job_group(spark, *_group(task, info)):
         df, report = read_mapped(
-            own, task.get("dsi_Input", {}), info, info.get("column_data_list"), run_date(task)
+            own,
+            task.get("dsi_Input", {}),
+            info,
+            info.get("column_data_list"),
+            run_date(task),
+            report_keeper(task, info),
         )
         return TaskResult(df, own, report, _write(task, info, df))
 
@@ -167,17 +207,24 @@ def run_apply(spark: SparkSession, task: Mapping) -> TaskResult:
 
 
 def _read_views(
-    spark: SparkSession, sources: Sequence[Mapping], script: str, date: str | None, hashed: bool
+    spark: SparkSession, task: Mapping, script: str, hashed: bool
 ) -> dict[str, DataFrame]:
     named = {} if hashed else view_names(script)
     views = {}
-    for source in sources:
+    for source in task.get("dsi_EtlInfo", []):
         store, info = source.get("dsi_Input", {}), source.get(ETL_BLOCK, {})
         kind = str(store.get("data_source_type", "")).lower()
         if kind in STREAM_TYPES:
             raise ValueError(f"a source of type {kind} is a stream; scripts run on tables")
         view = view_of(str(info.get("etl_context", "")), named, hashed)
-        views[view], _ = read_mapped(spark, store, info, info.get("column_data_list"), date)
+        views[view], _ = read_mapped(
+            spark,
+            store,
+            info,
+            info.get("column_data_list"),
+            run_date(task),
+            report_keeper(task, info),
+        )
     return views
 
 
@@ -191,7 +238,7 @@ def run_multi(spark: SparkSession, task: Mapping) -> TaskResult:
     script = str(info.get("etl_sql", ""))
     own = private_session(spark)
     with job_group(spark, *_group(task, info)):
-        views = _read_views(own, task.get("dsi_EtlInfo", []), script, run_date(task), hashed=False)
+        views = _read_views(own, task, script, hashed=False)
         try:
             df = run_script(own, script, views, run_date(task))
             return TaskResult(df, own, None, _write(task, info, df), list(views))
@@ -221,11 +268,18 @@ def run_rules(spark: SparkSession, task: Mapping) -> TaskResult:
             store, source_info = source.get("dsi_Input", {}), source.get(ETL_BLOCK, {})
             if str(store.get("data_source_type", "")).lower() in STREAM_TYPES:
                 raise ValueError("rules run on tables, not on streams")
-            df, _ = read_mapped(own, store, source_info, source_info.get("column_data_list"), date)
+            df, _ = read_mapped(
+                own,
+                store,
+                source_info,
+                source_info.get("column_data_list"),
+                date,
+                report_keeper(task, info, source_info),
+            )
         elif kind == "MORE_ETL":
             multi = task.get(MULTI_BLOCK, {})
             script = str(multi.get("etl_sql", ""))
-            views = _read_views(own, task.get("dsi_EtlInfo", []), script, date, hashed=True)
+            views = _read_views(own, task, script, hashed=True)
             df = run_script(own, script, views, date)
             drop_views(own, _drop_list(multi, views))
         elif kind == "SQL":
@@ -249,4 +303,7 @@ def run_quality(spark: SparkSession, task: Mapping) -> TaskResult:
         rules = info.get("quality_rule_config") or []
         rules = json.loads(rules) if isinstance(rules, str) else rules
         report = quality_report(rule_quality(df, rules))
+        keep_report = report_keeper(task, info)
+        if keep_report:
+            keep_report(report)
         return TaskResult(report, own, None, _write(task, info, report))

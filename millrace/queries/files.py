@@ -139,27 +139,17 @@ def parquet_source(spark: SparkSession, sf_dir: str) -> DataFrame:
 def json_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = scratch_dir(spark, "json") + "/documents"
     _write(table(spark, sf_dir, "documents"), out, "json")
-    return _read(spark, out, "json", "doc_id,source,text,lang", "lang = 'en'").drop("lang")
+    schema = "doc_id bigint, source string, text string, lang string"
+    fields = "doc_id,source,text,lang"
+    return _read(spark, out, "json", fields, "lang = 'en'", schema=schema).drop("lang")
 
 
 @query("xml_roundtrip", "SELECT s_suppkey, s_name, s_nationkey, s_acctbal FROM supplier")
 def xml_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = scratch_dir(spark, "xml") + "/supplier"
     _write(table(spark, sf_dir, "supplier"), out, "xml", rowTag="supplier", rootTag="suppliers")
-    text = _read(
-        spark,
-        out,
-        "xml",
-        "s_suppkey,s_name,s_nationkey,s_acctbal",
-        rowTag="supplier",
-        inferSchema="false",
-    )
-    return text.selectExpr(
-        "cast(s_suppkey as bigint) as s_suppkey",
-        "s_name",
-        "cast(s_nationkey as int) as s_nationkey",
-        "cast(s_acctbal as double) as s_acctbal",
-    )
+    schema = "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double"
+    return _read(spark, out, "xml", rowTag="supplier", schema=schema)
 
 
 @query("text_lines", "SELECT n_name || ' in ' || n_regionkey AS value FROM nation")

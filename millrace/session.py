@@ -126,14 +126,14 @@ def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach, named by ``spark.checkpoint.dir``.
 
     A temporary folder of this machine stands in only on a local master, where
-    driver and executors are one process.
+    driver and executors are one process; it is the same one for the whole application.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("spark.checkpoint.dir must name a shared folder on a cluster")
-    return tempfile.mkdtemp(prefix="run-")
+    return f"{tempfile.gettempdir()}/millrace-{spark.sparkContext.applicationId}"
 
 
 def scratch_dir(spark: SparkSession, label: str) -> str:

@@ -56,7 +56,10 @@ def full_path(options: Mapping[str, object]) -> str:
         return path
     if not path.startswith("/"):
         raise ValueError(f"path {path!r} must be absolute")
-    return str(options.get("url") or "").rstrip("/") + path
+    url = str(options.get("url") or "")
+    if "," in url:
+        raise ValueError(f"address {url!r} must name one file system, not the nodes that know it")
+    return url.rstrip("/") + path
 
 
 def read_files(
@@ -88,24 +91,26 @@ def read_delimited(
 ) -> DataFrame:
     """Delimited text.
 
-    With a header and a one-character separator, or a tab, the file names its columns.
-    Otherwise the field list does: all columns are text, a short line ends in NULLs, and
-    the separator is taken literally however long it is.
+    With a header and a one-character separator, or a tab spelled ``\\t``, the columns are
+    those of the file, whatever the field list. Otherwise they are the field list: all
+    text, a short line ends in NULLs, and the separator is taken literally however long
+    it is. A ``schema`` option settles names and types for either.
     """
     extra = dict(options or {})
-    sep = real_separator(extra.pop("sep", ","))
+    spelled = extra.pop("sep", ",")
+    sep = real_separator(spelled)
+    schema = extra.pop("schema", None)
     names = field_names(fields)
     header = extra.get("header", "false").lower() == "true"
     reader = spark.read.options(**extra)
-    if header and len(sep) == 1:
-        return select_fields(reader.csv(path, sep=sep), names)
-    if sep == "\t" and not names:
-        return reader.csv(path, sep=sep)
-    if not names:
-        if header:
-            return reader.csv(path, sep=sep)
-        raise ValueError(f"text separated by {sep!r} without a header needs its field list")
-    return reader.schema(text_schema(names)).option("enforceSchema", True).csv(path, sep=sep)
+    if schema:
+        reader = reader.schema(schema)
+    elif not (header and len(sep) == 1) and spelled != "\\t":
+        if names:
+            reader = reader.schema(text_schema(names))
+        elif not header:
+            raise ValueError(f"text separated by {sep!r} without a header needs its field list")
+    return reader.csv(path, sep=sep)
 
 
 def read_format(
@@ -115,13 +120,17 @@ def read_format(
     options: Mapping[str, str] | None = None,
     fields: str | Sequence[str] | None = None,
 ) -> DataFrame:
-    """Any format Spark reads, reduced to the listed fields."""
+    """Any format Spark reads, reduced to the listed fields.
+
+    Without a ``schema`` option Spark reads JSON and XML twice, first for their types.
+    """
     extra = {key: value for key, value in (options or {}).items() if key not in ("sep", "header")}
+    schema = extra.pop("schema", None)
     if kind == "hudi":
         path = path.rstrip("/") + "/*"
     reader = spark.read.format(kind).options(**extra)
-    if kind in ("json", "xml") and field_names(fields) and extra.get("schema_from_fields") == "true":
-        reader = reader.schema(fields_to_schema(fields))
+    if schema:
+        reader = reader.schema(schema)
     return select_fields(reader.load(path), fields)
 
 

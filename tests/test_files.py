@@ -36,6 +36,8 @@ def test_path():
     for bad in ("", "a/b", None):
         with pytest.raises(ValueError):
             full_path({"paths": bad})
+    with pytest.raises(ValueError, match="one file system"):
+        full_path({"paths": "/a", "url": "n1:2181,n2:2181/cluster"})
 
 
 def test_options_and_formats():
@@ -71,14 +73,17 @@ def test_header_names_the_columns(spark, folder):
     df = read(spark, path, header="true", multiLine="true")
     assert df.columns == ["id", "a name"]
     assert rows(df) == [("1", "x, y"), ("2", "line\nbreak")]
-    assert read(spark, path, fields="a name", header="true", multiLine="true").columns == ["a name"]
+    listed = read(spark, path, fields="id", header="true", multiLine="true")
+    assert listed.columns == ["id", "a name"]  # a mapping may use any column of the file
+    typed = read(spark, path, header="true", multiLine="true", schema="id int, v string")
+    assert rows(typed.select("id")) == [(1,), (2,)]
 
 
 def test_tab_spelled_out(spark, folder):
     path = put(f"{folder}/d.tsv", "id\tv\n1\tx\n")
     assert rows(read(spark, path, sep="\\t", header="true")) == [("1", "x")]
-    assert rows(read(spark, path, fields="a,b", sep="\\t")) == [("1", "x"), ("id", "v")]
-    assert read(spark, path, sep="\\t").columns == ["_c0", "_c1"]
+    assert read(spark, path, fields="a,b", sep="\\t").columns == ["_c0", "_c1"]
+    assert rows(read(spark, path, fields="a,b", sep="\t")) == [("1", "x"), ("id", "v")]
 
 
 def test_encoding_and_quote(spark, folder):

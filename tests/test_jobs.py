@@ -1,6 +1,7 @@
 import json
 import threading
 import time
+import uuid
 
 import pytest
 from conftest import rows
@@ -102,7 +103,8 @@ def test_gate_stops_the_task(spark, source, folder):
         file_type_output="parquet",
         data_sources_params_output=json.dumps({"paths": f"{folder}/out"}),
     )
-    task = {"dsi_Input": HDFS, "dsi_Output": HDFS, "etlTaskInfo": block}
+    reports = {"data_source_type": "hdfs", "paths": f"{folder}/reports"}
+    task = {"tli": TLI, "dsi_Input": HDFS, "dsi_Output": HDFS, "dsi_Report": reports, "etlTaskInfo": block}
     with pytest.raises(QualityError):
         run_etl(spark, task)
     with pytest.raises(Exception, match="PATH_NOT_FOUND"):
@@ -111,6 +113,8 @@ def test_gate_stops_the_task(spark, source, folder):
     result = run_etl(spark, task)
     assert result.quality["result"] == "within_tolerance"
     assert spark.read.parquet(f"{folder}/out").count() == 10
+    kept = spark.read.parquet(f"{folder}/reports").select("etl_date", "job_context", "length_rows", "result")
+    assert rows(kept) == [("2020-01-26", "j", 5, "fail"), ("2020-01-26", "j", 5, "within_tolerance")]
 
 
 def test_dedup_and_repartition(spark, source):
@@ -196,6 +200,18 @@ def test_sql_task(spark, source, folder):
         run_sql(spark, {"sqlTaskInfo": {"etl_sql": " "}})
 
 
+def test_overwrite_partitions_by_text(spark, source):
+    name = f"t_{uuid.uuid4().hex}"
+    script = f"""create table {name} (id bigint, p string) using parquet partitioned by (p);
+set spark.sql.sources.partitionOverwriteMode=dynamic;
+insert overwrite table {name} partition (p) select id, if(id < 5, 'a', 'b') from parquet.`{source}`;
+insert overwrite table {name} partition (p) select 99, 'b';
+select * from {name}"""
+    frame = run_sql(spark, {"sqlTaskInfo": {"etl_sql": script}}).frame
+    assert sorted(r["id"] for r in frame.collect()) == [0, 1, 2, 3, 4, 99]
+    assert spark.conf.get("spark.sql.sources.partitionOverwriteMode").lower() == "static"
+
+
 def test_cross_join_text_is_admitted(spark, source):
     script = f"create temporary view t using parquet options (path '{source}');\nselect count(*) as n from t a, t b"
     assert rows(run_sql(spark, {"sqlTaskInfo": {"etl_sql": script}}).frame) == [(100,)]

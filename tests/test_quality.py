@@ -125,9 +125,9 @@ def test_full_report_reads_once(q):
 
 
 def test_gate(q):
-    assert gate(inline_quality(q, InlineSpec()))["result"] == PASS
+    gate(report(q))
     with pytest.raises(QualityError, match="null_check"):
-        gate(inline_quality(q, InlineSpec(not_null=["name"])))
+        gate(report(q, not_null=["name"]))
 
 
 def test_spec_from_task():
