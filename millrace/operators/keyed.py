@@ -49,23 +49,24 @@ def upsert_by_key(
     listed = field_names(precombine)
     key_text, first = upsert_fields(current.columns, record_key, listed[0] if listed else None)
     keys, fields = field_names(key_text), [first, *listed[1:]]
-    best = [quoted(name).desc_nulls_last() for name in fields]
     if current_is_keyed:
-        return _merge(current, first_per_key(incoming, keys, best), keys, fields)
+        return _merge(current, incoming, keys, fields)
     mark = "__incoming"
+    best = [quoted(name).desc_nulls_last() for name in fields]
     both = current.withColumn(mark, F.lit(0)).unionByName(incoming.withColumn(mark, F.lit(1)))
     return first_per_key(both, keys, [*best, F.col(mark).desc()]).drop(mark)
 
 
 def _merge(
-    current: DataFrame, latest: DataFrame, keys: Sequence[str], fields: Sequence[str]
+    current: DataFrame, incoming: DataFrame, keys: Sequence[str], fields: Sequence[str]
 ) -> DataFrame:
-    """Rows of ``current``, replaced where ``latest`` is not older, and the new keys.
+    """Rows of ``current``, replaced where the best incoming one is not older, and new keys.
 
     The key is a struct, in which a NULL equals a NULL.
     """
     key, row = "__key", "__row"
     columns = current.columns
+    latest = first_per_key(incoming, keys, [quoted(name).desc_nulls_last() for name in fields])
     old = current.withColumn(key, F.struct(*[quoted(name) for name in keys]))
     new = latest.select(
         F.struct(*[quoted(name) for name in keys]).alias(key),
@@ -77,7 +78,8 @@ def _merge(
     kept = joined.select(
         *[F.when(replaced, F.col(row)[name]).otherwise(quoted(name)).alias(name) for name in columns]
     )
-    known = old.select(key).join(new.select(key), key, "left_semi")
+    offered = incoming.select(F.struct(*[quoted(name) for name in keys]).alias(key))
+    known = old.select(key).join(offered.distinct(), key, "left_semi")
     fresh = new.join(known, key, "left_anti").select(
         *[F.col(row)[name].alias(name) for name in columns]
     )

@@ -79,6 +79,15 @@ sql_query(
 sql_query(
     "join_three_tables",
     "lineitem orders customer",
+    # Lines are summed per order and orders per customer, so no join meets a hot key.
+    """WITH per_order AS (
+         SELECT l_orderkey, count(*) AS line_count, sum(CAST(l_extendedprice AS DECIMAL(14,2))) AS price
+         FROM lineitem GROUP BY l_orderkey),
+       per_customer AS (
+         SELECT o_custkey, sum(line_count) AS line_count, sum(price) AS price
+         FROM per_order JOIN orders ON l_orderkey = o_orderkey WHERE o_orderstatus = 'F' GROUP BY o_custkey)
+       SELECT c_mktsegment, sum(line_count) AS line_count, CAST(sum(price) AS DOUBLE) AS price
+       FROM per_customer JOIN customer ON o_custkey = c_custkey GROUP BY c_mktsegment""",
     """SELECT c_mktsegment, count(*) AS line_count,
               CAST(sum(CAST(l_extendedprice AS DECIMAL(14,2))) AS DOUBLE) AS price
        FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey
