@@ -1,7 +1,8 @@
 """ETL and data-quality operators for Spark DataFrames.
 
 Every operator takes DataFrames (or a session and a task) and returns a lazy
-DataFrame; only sinks, streams and the quality gate start Spark jobs.
+DataFrame. Sinks, streams and the quality gate start Spark jobs, and running values
+start one to see how large the groups are.
 """
 
 from millrace.functions.dates import date_dim, with_date_columns

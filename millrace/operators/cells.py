@@ -90,7 +90,7 @@ def scan_cells(
 
 def range_bucket(key: Column, splits: Sequence[str]) -> Column:
     """How many split points are not above the key: 0 before the first."""
-    return range_number(key, [F.lit(point) for point in sorted(set(splits))])
+    return range_number([key < point for point in sorted(set(splits))])
 
 
 def range_sorted(

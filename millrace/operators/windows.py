@@ -2,24 +2,28 @@
 
 A plain window puts all rows of a group into one task. Here group counts are
 aggregated before they are joined back, ranks are limited before the shuffle, and
-running values work on slices of a group.
+running values of a large group work on ranges of it. How large the groups are is
+looked up first, so building a running value starts a job.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, WindowSpec
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from millrace.functions.buckets import range_number
 from millrace.functions.text import quoted
 from millrace.operators.rows import order_columns
 from millrace.schema import field_names
+from millrace.session import written
 
 _KEY = "__key"
-_SLICE = "__slice"
+_RANGE = "__range"
+
+# Groups up to this many rows are left to a plain window.
+ROWS_PER_TASK = 5_000_000
 
 
 def _group_key(keys: str | Sequence[str]) -> Column:
@@ -50,26 +54,25 @@ def top_per_group(
     return df.withColumn(name, F.rank().over(window)).filter(F.col(name) <= limit)
 
 
-def _sliced(df: DataFrame, keys: str | Sequence[str], order: str, slices: int) -> DataFrame:
-    """Add the group key and the slice of the order column a row falls into.
+def _largest_group(rows: DataFrame) -> int:
+    sizes = rows.groupBy(_KEY).agg(F.count(F.lit(1)).alias("n"))
+    return sizes.agg(F.max("n")).first()[0] or 0
+
+
+def _in_ranges(rows: DataFrame, order_by: Sequence[str]) -> DataFrame:
+    """Number the ranges of (group, order) that Spark spreads the rows over.
 
-    The cut points are quantiles of the whole column, so a slice has about
-    rows / slices rows, and so has at most any one group within it. They are a handful
-    of values, whatever the size of the data. The slice never decreases with the order
-    column, which is all the callers rely on.
+    A range holds about one shuffle partition, so a large group spans many of them, and
+    within a group the number grows along the order. The rows are written once: Spark
+    samples for the ranges, and every later step must see the same ones.
     """
-    position = quoted(order)
-    kind = df.schema[order].dataType
-    steps = [i / slices for i in range(1, slices)]
-    cuts = F.transform(F.percentile_approx(position, steps, 10_000), lambda c: c.cast("string"))
-    found = df.agg(F.array_distinct(cuts).alias("cuts")).first()["cuts"] or []
-    number = range_number(position, [F.lit(text).cast(kind) for text in found])
-    return df.withColumns(
-        {
-            _KEY: _group_key(keys),
-            _SLICE: F.when(position.isNull(), F.lit(-1)).otherwise(number),
-        }
-    )
+    count = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    spread = rows.repartitionByRange(count, F.col(_KEY), *order_columns(order_by))
+    return written(spread.withColumn(_RANGE, F.spark_partition_id()), "ranges")
+
+
+def _within(order_by: Sequence[str], *groups: str) -> WindowSpec:
+    return W.partitionBy(*groups).orderBy(*order_columns(order_by))
 
 
 def running_total(
@@ -78,32 +81,33 @@ def running_total(
     order_by: Sequence[str],
     value: str,
     name: str = "running_total",
-    slices: int = 64,
+    rows_per_task: int = ROWS_PER_TASK,
 ) -> DataFrame:
     """Sum of ``value`` over the group's rows up to and including this one.
 
-    ``order_by`` lists ascending columns, the first a number or a time; together they
-    must order the rows of a group fully. Slices of a group are summed apart, and each
-    starts from the sum of the slices before it.
+    ``order_by`` lists ascending columns that together order the rows of a group fully.
+    Where a group has more than ``rows_per_task`` rows, ranges are summed apart, and each
+    starts from the sum of the ranges before it.
     """
-    rows = _sliced(df, keys, order_by[0], slices)
-    earlier = W.partitionBy(_KEY).orderBy(_SLICE).rowsBetween(W.unboundedPreceding, -1)
+    rows = df.withColumn(_KEY, _group_key(keys))
+    amount, so_far = F.sum(quoted(value)), (W.unboundedPreceding, W.currentRow)
+    if _largest_group(rows) <= rows_per_task:
+        total = amount.over(_within(order_by, _KEY).rowsBetween(*so_far))
+        return rows.withColumn(name, total).drop(_KEY)
+    rows = _in_ranges(rows, order_by)
+    earlier = W.partitionBy(_KEY).orderBy(_RANGE).rowsBetween(W.unboundedPreceding, -1)
     before = (
-        rows.groupBy(_KEY, _SLICE)
-        .agg(F.sum(quoted(value)).alias("__sum"))
-        .select(_KEY, _SLICE, F.sum("__sum").over(earlier).alias("__before"))
+        rows.groupBy(_KEY, _RANGE)
+        .agg(amount.alias("__sum"))
+        .select(_KEY, _RANGE, F.sum("__sum").over(earlier).alias("__before"))
     )
-    inside = (
-        W.partitionBy(_KEY, _SLICE)
-        .orderBy(*order_columns(order_by))
-        .rowsBetween(W.unboundedPreceding, W.currentRow)
-    )
-    rows = rows.withColumn("__part", F.sum(quoted(value)).over(inside))
+    part = amount.over(_within(order_by, _KEY, _RANGE).rowsBetween(*so_far))
     total = F.coalesce(F.col("__part") + F.col("__before"), F.col("__part"), F.col("__before"))
     return (
-        rows.join(before, [_KEY, _SLICE], "left")
+        rows.withColumn("__part", part)
+        .join(before, [_KEY, _RANGE], "left")
         .withColumn(name, total)
-        .drop(_KEY, _SLICE, "__part", "__before")
+        .drop(_KEY, _RANGE, "__part", "__before")
     )
 
 
@@ -113,29 +117,27 @@ def previous_value(
     order_by: Sequence[str],
     value: str,
     name: str = "previous_value",
-    slices: int = 64,
+    rows_per_task: int = ROWS_PER_TASK,
 ) -> DataFrame:
     """``value`` of the group's row before this one, NULL for the first.
 
-    The order is as for ``running_total``. The first row of a slice takes the last value
-    of the nearest slice before it that has rows.
+    The order and the handling of large groups are as for ``running_total``. The first
+    row of a range takes the last value of the nearest range before it.
     """
-    rows = _sliced(df, keys, order_by[0], slices)
+    rows = df.withColumn(_KEY, _group_key(keys))
+    if _largest_group(rows) <= rows_per_task:
+        before = F.lag(quoted(value)).over(_within(order_by, _KEY))
+        return rows.withColumn(name, before).drop(_KEY)
+    rows = _in_ranges(rows, order_by)
     boxed = F.struct(quoted(value).alias("v"))
     place = F.struct(*[quoted(column) for column in order_by])
-    carried = (
-        rows.groupBy(_KEY, _SLICE)
-        .agg(F.max_by(boxed, place).alias("__last"))
-        .select(
-            _KEY,
-            _SLICE,
-            F.lag("__last").over(W.partitionBy(_KEY).orderBy(_SLICE)).alias("__carried"),
-        )
+    last = rows.groupBy(_KEY, _RANGE).agg(F.max_by(boxed, place).alias("__last"))
+    carried = last.select(
+        _KEY, _RANGE, F.lag("__last").over(_within([_RANGE], _KEY)).alias("__carried")
     )
-    inside = W.partitionBy(_KEY, _SLICE).orderBy(*order_columns(order_by))
-    rows = rows.withColumn("__inside", F.lag(boxed).over(inside))
     return (
-        rows.join(carried, [_KEY, _SLICE], "left")
+        rows.withColumn("__inside", F.lag(boxed).over(_within(order_by, _KEY, _RANGE)))
+        .join(carried, [_KEY, _RANGE], "left")
         .withColumn(name, F.coalesce("__inside", "__carried")["v"])
-        .drop(_KEY, _SLICE, "__inside", "__carried")
+        .drop(_KEY, _RANGE, "__inside", "__carried")
     )

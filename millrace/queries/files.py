@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -244,20 +246,13 @@ def save_modes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How often a row is there after two writes in each mode."""
     folder = scratch_dir(spark, "modes")
     customer = table(spark, sf_dir, "customer").select("c_custkey", "c_name")
-    frames = []
+    found = []
     for i, mode in enumerate(("append", "overwrite", "ignore", "anything else")):
         for _ in range(2):
             _write(customer, f"{folder}/{i}", "parquet", model=mode)
-        copies = (
-            spark.read.parquet(f"{folder}/{i}")
-            .groupBy("c_custkey", "c_name")
-            .agg(F.count(F.lit(1)).alias("copies"))
-        )
-        frames.append(copies.withColumn("mode", F.lit(mode)))
-    result = frames[0]
-    for frame in frames[1:]:
-        result = result.unionByName(frame)
-    return result
+        found.append(spark.read.parquet(f"{folder}/{i}").withColumn("mode", F.lit(mode)))
+    copies = F.count(F.lit(1)).alias("copies")
+    return reduce(DataFrame.unionByName, found).groupBy("mode", "c_custkey", "c_name").agg(copies)
 
 
 @query(

@@ -9,7 +9,7 @@ from collections.abc import Iterator, Mapping
 from contextlib import contextmanager
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 log = logging.getLogger(__name__)
 
@@ -146,3 +146,14 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
     store.mkdirs(target)
     store.deleteOnExit(target)
     return path
+
+
+def written(df: DataFrame, label: str) -> DataFrame:
+    """The frame written to a scratch folder and read from there.
+
+    What follows starts from the files: it reads them as often as it likes, sees the same
+    values each time, and survives lost executors without the work before.
+    """
+    path = scratch_dir(df.sparkSession, label) + "/data"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -115,4 +115,4 @@ def write_delivery(df: DataFrame, options: Mapping[str, object], text_only: bool
     extra = writer_options(options, kind)
     if kind == "csv" and text_only:
         extra["header"] = "true"
-    return export_file(compact(df, options.get("merge", -1)), full_path(options), kind, extra)
+    return export_file(df, full_path(options), kind, extra)

@@ -65,21 +65,27 @@ def parse_messages(
 def batch_writer(sink: Mapping) -> Callable[[DataFrame, int], None]:
     """Hand each batch with rows to a batch sink.
 
-    A batch can come twice after a failure. With ``batch_path`` set, a file sink writes
-    batch ``n`` to its own folder ``batch_id=n`` and overwrites it, so the repeat leaves
-    no second copy; other sinks get the batch at least once.
+    A batch can come twice after a failure. Two options make the repeat leave no second
+    copy: with ``batch_path`` a file sink writes batch ``n`` to its own folder
+    ``batch_id=n`` and overwrites it; with ``batch_column`` a JDBC sink stores the number
+    in that column and clears it before the insert. Other sinks get the batch at least
+    once.
     """
     options = dict(sink.get("options", {}))
-    by_batch = bool(options.pop("batch_path", False))
+    by_path = bool(options.pop("batch_path", False))
+    column = str(options.pop("batch_column", "") or "")
 
     def write(batch: DataFrame, batch_id: int) -> None:
         if batch.isEmpty():
             return
-        chosen = dict(options)
-        if by_batch:
+        chosen, clear = dict(options), sink.get("clear")
+        if by_path:
             chosen["paths"] = f"{str(options['paths']).rstrip('/')}/batch_id={batch_id}"
             chosen["model"] = "overwrite"
-        write_sink(batch, {**sink, "options": chosen})
+        if column:
+            batch = batch.withColumn(column, F.lit(batch_id).cast("bigint"))
+            clear = f"delete from {options['dbtable']} where {column} = {batch_id}"
+        write_sink(batch, {**sink, "options": chosen, "clear": clear})
 
     return write
 

@@ -66,7 +66,7 @@ def test_range_sorted(spark):
     df = spark.range(4000).selectExpr("if(id % 3 = 0, 'k500', concat('k', lpad(id % 1000, 3, '0'))) as row_key", "id")
     with session_conf(spark, {"spark.sql.adaptive.coalescePartitions.enabled": "false"}):
         out = range_sorted(df, ["k200", "k500", "k501"], then_by=["id"])
-        parts = out.select(F.spark_partition_id(), "range_bucket", "row_key", "id").collect()
+        parts = out.select(F.spark_partition_id().alias("p"), "range_bucket", "row_key", "id").collect()
     by_part = {}
     for r in parts:
         by_part.setdefault(r["p"], []).append(tuple(r)[1:])

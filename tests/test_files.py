@@ -231,6 +231,21 @@ def test_unknown_and_one_way_types(spark):
             read_source(spark, {"type": kind})
 
 
+def test_any_other_format(spark, folder):
+    put(f"{folder}/a.bin", "12345")
+    df = read(spark, f"{folder}/a.bin", "binaryFile", "path,length")
+    assert df.first()["length"] == 5
+    assert "content" not in df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_excel_is_renamed_by_position(spark, folder, monkeypatch):
+    """The package is not here, so another format stands in for it."""
+    monkeypatch.setattr("millrace.sources.files.EXCEL_FORMAT", "parquet")
+    write(spark.range(2).selectExpr("id as A1", "id + 1 as B1"), f"{folder}/t", "parquet")
+    df = read(spark, f"{folder}/t", "parquet", "x,y", "y > 1")
+    assert rows(df) == [(1, 2)]
+
+
 def test_nested_write(spark, folder):
     df = spark.createDataFrame(
         [("1", "t", ("n", "f")), ("2", "u", None)], "id string, tag string, other struct<name:string,sex:string>"

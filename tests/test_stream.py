@@ -78,6 +78,19 @@ def test_repeated_batch_leaves_one_copy(spark, folder):
     assert len(glob.glob(f"{folder}/out/batch_id=*")) == 2
 
 
+def test_repeated_batch_of_a_table_is_cleared_first(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr("millrace.streaming.ingest.write_sink", lambda df, s: seen.append((df.columns, s)))
+    options = {"dbtable": "t", "batch_column": "load_no"}
+    batch_writer({"type": "jdbc", "options": options})(spark.range(2), 7)
+    assert seen == [
+        (
+            ["id", "load_no"],
+            {"type": "jdbc", "options": {"dbtable": "t"}, "clear": "delete from t where load_no = 7"},
+        )
+    ]
+
+
 def test_batches_and_filter(spark, folder):
     for i in range(4):
         messages(spark, f"{i},a", f"{i},b").coalesce(1).write.mode("append").text(f"{folder}/in")

@@ -6,6 +6,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from millrace.operators.windows import previous_value, running_total, top_per_group, with_group_count
+from millrace.session import session_conf
 
 
 @pytest.fixture(scope="module")
@@ -18,25 +19,31 @@ def skewed(spark):
     ).cache()
 
 
-@pytest.mark.parametrize("slices", [1, 2, 7, 64])
-def test_running_total(skewed, slices):
+@pytest.mark.parametrize("limit", [0, 999, 1000])
+def test_running_total(skewed, limit):
     plain = F.sum("v").over(W.partitionBy("k").orderBy("t", "id").rowsBetween(W.unboundedPreceding, 0))
     expected = skewed.withColumn("r", plain)
-    assert rows(running_total(skewed, "k", ["t", "id"], "v", "r", slices), "id") == rows(expected, "id")
+    assert rows(running_total(skewed, "k", ["t", "id"], "v", "r", limit), "id") == rows(expected, "id")
 
 
-@pytest.mark.parametrize("slices", [1, 5, 64])
-def test_previous_value(skewed, slices):
+@pytest.mark.parametrize("limit", [0, 1000])
+def test_previous_value(skewed, limit):
     expected = skewed.withColumn("p", F.lag("v").over(W.partitionBy("k").orderBy("t", "id")))
-    assert rows(previous_value(skewed, "k", ["t", "id"], "v", "p", slices), "id") == rows(expected, "id")
+    assert rows(previous_value(skewed, "k", ["t", "id"], "v", "p", limit), "id") == rows(expected, "id")
 
 
-def test_slices_bound_the_largest_group(skewed):
-    """No task of the running total sorts more than a small part of the hot key."""
-    from millrace.operators.windows import _KEY, _SLICE, _sliced
+@pytest.mark.parametrize("order", [["t", "id"], ["same", "id"], ["name", "id"]])
+def test_ranges_bound_the_largest_group(spark, skewed, order):
+    """No task gets more than its share of the hot key, even if it has one time only."""
+    from millrace.operators.windows import _KEY, _RANGE, _group_key, _in_ranges
 
-    largest = _sliced(skewed, "k", "t", 64).groupBy(_KEY, _SLICE).count().agg(F.max("count")).first()[0]
-    assert largest < 3000 / 3 / 10
+    df = skewed.withColumns({"same": F.lit(5), "name": F.lit("x")})
+    with session_conf(spark, {"spark.sql.shuffle.partitions": "40"}):
+        ranges = _in_ranges(df.withColumn(_KEY, _group_key("k")), order)
+        assert ranges.groupBy(_KEY, _RANGE).count().agg(F.max("count")).first()[0] < 3000 / 40 * 2
+        plain = F.sum("v").over(W.partitionBy("k").orderBy(*order).rowsBetween(W.unboundedPreceding, 0))
+        expected = df.withColumn("r", plain)
+        assert rows(running_total(df, "k", order, "v", "r", 0), "id") == rows(expected, "id")
 
 
 def test_running_total_of_times(spark):
@@ -44,13 +51,14 @@ def test_running_total_of_times(spark):
         "id", "id % 2 as k", "timestamp_ntz '2024-03-31 00:30:00' + make_dt_interval(0, 0, cast(id as int)) as t", "id as v"
     )
     expected = df.withColumn("r", F.sum("v").over(W.partitionBy("k").orderBy("t", "id")))
-    assert rows(running_total(df, "k", ["t", "id"], "v", "r"), "id") == rows(expected, "id")
+    assert rows(running_total(df, "k", ["t", "id"], "v", "r", 10), "id") == rows(expected, "id")
 
 
 def test_empty_input(spark):
     df = spark.createDataFrame([], "id int, k int, t int, v int")
-    assert running_total(df, "k", ["t", "id"], "v").count() == 0
-    assert previous_value(df, "k", ["t", "id"], "v").count() == 0
+    for limit in (-1, 0):
+        assert running_total(df, "k", ["t", "id"], "v", "r", limit).count() == 0
+        assert previous_value(df, "k", ["t", "id"], "v", "p", limit).count() == 0
 
 
 def test_group_count(skewed):
