@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from millrace.functions.text import quoted
+
 # The date layouts tasks use.
 DAY_FORMAT = "yyyyMMdd"
 MONTH_FORMAT = "yyyyMM"
@@ -69,7 +71,7 @@ def weekday(day: Column) -> Column:
 
 
 def is_month_end(day: Column) -> Column:
-    return day == F.last_day(day)
+    return day.cast("date") == F.last_day(day)
 
 
 def is_quarter_end(day: Column) -> Column:
@@ -86,8 +88,8 @@ def parse_moment(text: Column, layout: str = SECOND_FORMAT) -> Column:
 
 
 def with_date_columns(df: DataFrame, column: str) -> DataFrame:
-    """Add the calendar attributes of a date column."""
-    day = F.col(column)
+    """Add the calendar attributes of a date or timestamp column."""
+    day = quoted(column).cast("date")
     wd = weekday(day)
     return df.withColumns(
         {

@@ -297,8 +297,8 @@ def partitioned_delim_write(spark: SparkSession, sf_dir: str) -> DataFrame:
 def single_file_export(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = scratch_dir(spark, "single") + "/orders.orc"
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus")
-    names = _write(orders, out, "orc", is_single="true")
-    return spark.read.orc(names)
+    name = _write(orders, out, "orc", is_single="true")
+    return spark.read.orc(name)
 
 
 @query(
@@ -313,17 +313,17 @@ def download_export(spark: SparkSession, sf_dir: str) -> DataFrame:
     part = table(spark, sf_dir, "part").selectExpr(
         "p_partkey", "if(p_size > 25, p_name, null) as p_name", "p_size"
     )
-    names = write_sink(
+    name = write_sink(
         part, {"type": "外部下载", "options": {"root_path": folder, "paths": "part"}}
     )
-    return spark.read.csv(names, header=True)
+    return spark.read.csv(name, header=True)
 
 
 @query("delivery_text_export", CUSTOMER_TEXT)
 def delivery_text_export(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = scratch_dir(spark, "outbox") + "/customer.txt"
-    names = _write(_customer(spark, sf_dir), out, "csv", "ftp", sep="|")
-    return spark.read.csv(names, header=True, sep="|")
+    name = _write(_customer(spark, sf_dir), out, "csv", "ftp", sep="|")
+    return spark.read.csv(name, header=True, sep="|")
 
 
 @query(
@@ -335,11 +335,11 @@ def delivery_quoted_export(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents").selectExpr(
         "doc_id", "source", """concat(lang, ',"', source, '"') as quoted"""
     )
-    names = _write(
+    name = _write(
         documents, out, "csv", "sftp", header="true", quote="'", escape="\\", compression="gzip"
     )
     return spark.read.csv(
-        names, header=True, quote="'", escape="\\", schema="doc_id bigint, source string, quoted string"
+        name, header=True, quote="'", escape="\\", schema="doc_id bigint, source string, quoted string"
     )
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions.text import quoted, real_separator
@@ -28,7 +28,7 @@ def writer_options(options: Mapping[str, object], kind: str) -> dict[str, str]:
     return extra
 
 
-def write_files(df: DataFrame, options: Mapping[str, object]) -> list[str] | None:
+def write_files(df: DataFrame, options: Mapping[str, object]) -> str | None:
     """Write files: format, mode, compaction, partitions; or an export by file name."""
     path = full_path(options)
     kind = format_name(options.get("fileType"))
@@ -54,52 +54,32 @@ def write_files(df: DataFrame, options: Mapping[str, object]) -> list[str] | Non
 
 def export_file(
     df: DataFrame, path: str, kind: str = "csv", options: Mapping[str, str] | None = None
-) -> list[str]:
-    """Write under a file name and return the names written.
+) -> str:
+    """Write under a file name and return it.
 
-    Spark sizes the partitions. Data that fit one partition become the one file
-    ``path``. More data become ``name-00000.ext``, ``name-00001.ext`` and so on, each
-    with its header, so no task writes the whole; the target size is
+    Spark sizes the partitions. Data that fit one partition become one file of that name;
+    more data become a folder of that name with a file per partition, each with its
+    header, so no task writes the whole. The size is
     ``spark.sql.adaptive.advisoryPartitionSizeInBytes``. What had the name before is
     replaced.
     """
     spark = df.sparkSession
     staging = f"{path}.writing"
-    one_by_size = {"spark.sql.adaptive.coalescePartitions.parallelismFirst": "false"}
-    with session_conf(spark, one_by_size):
-        df.hint("rebalance").write.format(kind).mode("overwrite").options(**dict(options or {})).save(
-            staging
-        )
-    return _give_names(spark, staging, path)
-
-
-def _give_names(spark: SparkSession, staging: str, path: str) -> list[str]:
+    by_size = {"spark.sql.adaptive.coalescePartitions.parallelismFirst": "false"}
+    with session_conf(spark, by_size):
+        writer = df.hint("rebalance").write.format(kind).mode("overwrite")
+        writer.options(**dict(options or {})).save(staging)
     store, folder = hadoop_path(spark, staging)
-    found = [status.getPath() for status in store.listStatus(folder)]
-    parts = sorted((p for p in found if p.getName().startswith("part-")), key=lambda p: p.getName())
     _, target = hadoop_path(spark, path)
+    parts = [f.getPath() for f in store.listStatus(folder) if f.getPath().getName().startswith("part-")]
     store.delete(target, True)
-    for old in store.globStatus(_named(spark, path, "-[0-9][0-9][0-9][0-9][0-9]")) or []:
-        store.delete(old.getPath(), True)
-    if len(parts) == 1:
-        names = [target]
-    else:
-        names = [_named(spark, path, f"-{i:05d}") for i in range(len(parts))]
-    for part, name in zip(parts, names):
-        if not store.rename(part, name):
-            raise OSError(f"could not rename {part} to {name}")
+    if not store.rename(parts[0] if len(parts) == 1 else folder, target):
+        raise OSError(f"could not name the export {path}")
     store.delete(folder, True)
-    return [str(name) for name in names]
-
-
-def _named(spark: SparkSession, path: str, suffix: str):
-    stem, dot, ext = path.rpartition(".")
-    if not dot or "/" in ext:
-        stem, dot, ext = path, "", ""
-    return hadoop_path(spark, f"{stem}{suffix}{dot}{ext}")[1]
+    return path
 
 
-def write_download(df: DataFrame, options: Mapping[str, object]) -> list[str]:
+def write_download(df: DataFrame, options: Mapping[str, object]) -> str:
     """A csv to fetch, ``<root_path>/<paths>.csv``: header, NULL text as empty."""
     root = str(options.get("root_path") or "").rstrip("/")
     name = str(options.get("paths") or "").strip("/")
@@ -109,7 +89,7 @@ def write_download(df: DataFrame, options: Mapping[str, object]) -> list[str]:
     return export_file(text, f"{root}/{name}.csv", "csv", {"header": "true", "emptyValue": ""})
 
 
-def write_delivery(df: DataFrame, options: Mapping[str, object], text_only: bool = False) -> list[str]:
+def write_delivery(df: DataFrame, options: Mapping[str, object], text_only: bool = False) -> str:
     """A file for a transfer to pick up: text with a header, or any file type."""
     kind = "csv" if text_only else format_name(options.get("fileType"))
     extra = writer_options(options, kind)

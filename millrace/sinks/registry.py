@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame
@@ -17,9 +18,11 @@ from millrace.session import apply_options
 from millrace.sinks.files import write_delivery, write_download, write_files
 from millrace.sources import connectors as c
 from millrace.sources.files import format_name, full_path, spark_options
-from millrace.sources.jdbc import write_jdbc
+from millrace.sources.jdbc import clear_target, write_jdbc
 from millrace.sources.tables import write_table
 
+log = logging.getLogger(__name__)
+
 Writer = Callable[[DataFrame, Mapping, "str | None"], object]
 
 
@@ -29,8 +32,19 @@ def _save(df: DataFrame, link: c.Connection, mode: str) -> None:
     writer.save(link.path) if link.path else writer.save()
 
 
-def _connector(connect: Callable[[Mapping], c.Connection], mode: str | None = None) -> Writer:
+def _connector(
+    connect: Callable[[Mapping], c.Connection],
+    mode: str | None = None,
+    reach: Callable[[Mapping], Mapping] | None = None,
+) -> Writer:
+    """Write through a connector; ``reach`` gives the options to clear the target by JDBC."""
+
     def write(df, options, clear):
+        if clear and clear.strip():
+            if reach:
+                clear_target(df.sparkSession, reach(options), clear)
+            else:
+                log.warning("this store takes no clear statement; %r was not run", clear)
         df = compact(df, options.get("merge", -1))
         _save(df, connect(options), mode or save_mode(options.get("model")))
 
@@ -51,7 +65,9 @@ def _messages(df, options, clear):
 def _wide_rows(df, options, clear):
     """Cells as files; for a bulk load, sorted inside the given key ranges."""
     cells = to_cells(df)
+    mode = save_mode(options.get("model"))
     if str(options.get("write_mode") or "").lower() == "hfile":
+        mode = "overwrite"
         cells = range_sorted(
             cells, field_names(options.get("splits")), then_by=("family", "qualifier")
         )
@@ -59,9 +75,7 @@ def _wide_rows(df, options, clear):
         cells = compact(cells, options.get("merge", -1))
     kind = format_name(str(options.get("fileType") or "parquet"))
     extra = {k: v for k, v in spark_options(options).items() if k not in ("sep", "header", "splits", "write_mode", "encoding")}
-    cells.write.format(kind).mode(save_mode(options.get("model"))).options(**extra).save(
-        full_path(options)
-    )
+    cells.write.format(kind).mode(mode).options(**extra).save(full_path(options))
 
 
 def _elasticsearch(df, options, clear):
@@ -69,6 +83,12 @@ def _elasticsearch(df, options, clear):
     _save(compact(df, options.get("merge", -1)), c.elasticsearch(options), mode)
 
 
+def _mongodb(df, options, clear):
+    if clear and clear.strip():
+        raise ValueError("this store cannot be cleared from here; see delete_then_append")
+    _connector(c.mongodb)(df, options, None)
+
+
 def _kudu(df, options, clear):
     if clear and clear.strip():
         raise ValueError("this store cannot be cleared before a load")
@@ -88,7 +108,7 @@ WRITERS: dict[str, Writer] = {
     "hdfs": lambda df, options, clear: write_files(df, options),
     "hbase": _wide_rows,
     "es": _elasticsearch,
-    "mongodb": _connector(c.mongodb),
+    "mongodb": _mongodb,
     "kafka": _messages,
     "redis": _connector(lambda options: c.redis(options, write=True)),
     "cassandra": _connector(c.cassandra),
@@ -96,20 +116,20 @@ WRITERS: dict[str, Writer] = {
     "kudu": _kudu,
     "外部上传": _read_only,
     "外部下载": lambda df, options, clear: write_download(df, options),
-    "greenplum": _connector(c.greenplum, "append"),
-    "tidb": _connector(c.tidb_sink, "append"),
+    "greenplum": _connector(c.greenplum, "append", dict),
+    "tidb": _connector(c.tidb_sink, "append", lambda o: c.jdbc_beside(o, c.TIDB_JDBC)),
     "iceberg": _connector(lambda options: c.iceberg(options, write=True)),
     "ftp": lambda df, options, clear: write_delivery(df, options, text_only=True),
     "http": _read_only,
     "solr": _read_only,
     "flume": _read_only,
     # Writable, though tasks could not name it before.
-    "memsql": _connector(c.memsql),
+    "memsql": _connector(c.memsql, None, lambda o: c.jdbc_beside(o, c.MEMSQL_JDBC)),
 }
 
 
 def write_sink(df: DataFrame, sink: Mapping) -> object:
-    """Write to ``{"type", "options", "clear"}``; exports return the names written."""
+    """Write to ``{"type", "options", "clear"}``; an export returns its name."""
     kind = str(sink.get("type", "")).strip().lower()
     writer = WRITERS.get(kind)
     if writer is None:

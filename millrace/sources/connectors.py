@@ -40,6 +40,8 @@ HUDI_FORMAT = "hudi"
 REDIS_PORT = "6379"
 TIDB_PORT = "4000"
 DEFAULT_GROUP = "g1"
+TIDB_JDBC = ("jdbc:mysql://", "com.mysql.cj.jdbc.Driver")
+MEMSQL_JDBC = ("jdbc:mariadb://", "org.mariadb.jdbc.Driver")
 
 
 def _need(options: Mapping[str, object], *keys: str) -> list[str]:
@@ -182,6 +184,13 @@ def tidb_sink(options: Mapping[str, object]) -> Connection:
     )
 
 
+def jdbc_beside(options: Mapping[str, object], address: tuple[str, str]) -> dict[str, object]:
+    """Options to reach the store of a connector over JDBC, for its clear statement."""
+    prefix, driver = address
+    (url,) = _need(options, "url")
+    return {**options, "url": prefix + url, "driver": options.get("driver") or driver}
+
+
 def memsql(options: Mapping[str, object]) -> Connection:
     url, name = _need(options, "url", "paths")
     chosen = {**spark_options(options), "ddlEndpoint": url}

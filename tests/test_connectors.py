@@ -235,6 +235,37 @@ def test_clear_statement():
     ]
 
 
+def connector_frame(jvm):
+    frame = FakeFrame()
+    frame.sparkSession = FakeSpark(jvm)
+    return frame
+
+
+@pytest.mark.parametrize(
+    ("kind", "url"), [("tidb", "jdbc:mysql://h:1234"), ("memsql", "jdbc:mariadb://h:1234"), ("greenplum", "h:1234")]
+)
+def test_clear_before_a_connector_writes(kind, url):
+    jvm = FakeJvm()
+    frame = connector_frame(jvm)
+    WRITERS[kind](frame, {**BASE, "user": "u"}, "delete from t")
+    assert jvm.log[:3] == [("connect", url, [("user", "u")]), ("prepare", "delete from t"), "execute"]
+    names = [call[0] for call in frame.write.calls]
+    assert names == ["format", "options", "mode", "save"]
+    assert frame.write.calls[2][1] == ("append",)
+
+
+def test_stores_without_a_clear_statement():
+    jvm = FakeJvm()
+    with pytest.raises(ValueError, match="delete_then_append"):
+        WRITERS["mongodb"](connector_frame(jvm), BASE, "delete from t where a = 1")
+    with pytest.raises(ValueError, match="cleared"):
+        WRITERS["kudu"](connector_frame(jvm), BASE, "delete from t")
+    frame = connector_frame(jvm)
+    WRITERS["mongodb"](frame, BASE, "")
+    assert [call[0] for call in frame.write.calls] == ["format", "options", "mode", "save"]
+    assert jvm.log == []
+
+
 def test_clear_statement_failures():
     missing = FakeJvm("Table 't' doesn't exist")
     jdbc.clear_target(FakeSpark(missing), JDBC, "delete from t")

@@ -36,7 +36,7 @@ def test_ranks_are_limited_before_the_shuffle(spark, name):
 @pytest.mark.parametrize(
     ("name", "pushed", "columns"),
     [
-        ("filter_predicates", "GreaterThanOrEqual(l_shipdate", 7),
+        ("filter_predicates", "GreaterThanOrEqual(l_shipdate", 8),
         ("parquet_source", "GreaterThanOrEqual(o_orderdate", 3),
         ("etl_apply", "GreaterThan(s_acctbal", 3),
         ("dedup_keys", "EqualTo(l_returnflag,R)", 3),
