@@ -49,6 +49,10 @@ OUTPUT_KEYS = {
 }
 
 
+# UDFs by the name SQL text calls them by.
+Functions = Mapping[str, object]
+
+
 @dataclass
 class TaskResult:
     """What a task built: the frame (lazy), its reports, and what the sink returned."""
@@ -180,15 +184,29 @@ def report_keeper(
     return keep
 
 
-def _session(spark: SparkSession, task: Mapping, info: Mapping) -> SparkSession:
+def _session(
+    spark: SparkSession, task: Mapping, info: Mapping, functions: Functions | None
+) -> SparkSession:
+    """The session of a task: its options, its views, and the functions it may call."""
     store = task.get("dsi_Input") or {}
-    return private_session(spark, {**store, **_json(info.get("data_sources_params_input"))})
+    own = private_session(spark, {**store, **_json(info.get("data_sources_params_input"))})
+    for name, function in (functions or {}).items():
+        own.udf.register(name, function)
+    return own
 
 
-def run_etl(spark: SparkSession, task: Mapping, block: str = ETL_BLOCK) -> TaskResult:
-    """One source, one mapping, one sink."""
+def run_etl(
+    spark: SparkSession,
+    task: Mapping,
+    functions: Functions | None = None,
+    block: str = ETL_BLOCK,
+) -> TaskResult:
+    """One source, one mapping, one sink.
+
+    ``functions`` are UDFs the SQL text of the task may call by name.
+    """
     info = task.get(block, {})
-    own = _session(spark, task, info)
+    own = _session(spark, task, info, functions)
     with job_group(spark, *_group(task, info)):
         df, report = read_mapped(
             own,
@@ -201,9 +219,11 @@ def run_etl(spark: SparkSession, task: Mapping, block: str = ETL_BLOCK) -> TaskR
         return TaskResult(df, own, report, _write(task, info, df))
 
 
-def run_apply(spark: SparkSession, task: Mapping) -> TaskResult:
+def run_apply(
+    spark: SparkSession, task: Mapping, functions: Functions | None = None
+) -> TaskResult:
     """The same as ``run_etl``, under its own task block."""
-    return run_etl(spark, task, APPLY_BLOCK)
+    return run_etl(spark, task, functions, APPLY_BLOCK)
 
 
 def _read_views(
@@ -232,11 +252,13 @@ def _drop_list(info: Mapping, views: Mapping[str, DataFrame]) -> list[str]:
     return [*views, *field_names(info.get("drop_tmp_tables"))]
 
 
-def run_multi(spark: SparkSession, task: Mapping) -> TaskResult:
+def run_multi(
+    spark: SparkSession, task: Mapping, functions: Functions | None = None
+) -> TaskResult:
     """Several sources as views, one script over them, one sink."""
     info = task.get(MULTI_BLOCK, {})
     script = str(info.get("etl_sql", ""))
-    own = private_session(spark)
+    own = _session(spark, task, info, functions)
     with job_group(spark, *_group(task, info)):
         views = _read_views(own, task, script, hashed=False)
         try:
@@ -246,21 +268,25 @@ def run_multi(spark: SparkSession, task: Mapping) -> TaskResult:
             drop_views(own, _drop_list(info, views))
 
 
-def run_sql(spark: SparkSession, task: Mapping) -> TaskResult:
+def run_sql(
+    spark: SparkSession, task: Mapping, functions: Functions | None = None
+) -> TaskResult:
     """A script over what the catalog has; without a sink it only runs."""
     info = task.get(SQL_BLOCK, {})
-    own = _session(spark, task, info)
+    own = _session(spark, task, info, functions)
     with job_group(spark, *_group(task, info)):
         df = run_script(own, str(info.get("etl_sql", "")), None, run_date(task))
         return TaskResult(df, own, None, _write(task, info, df))
 
 
-def run_rules(spark: SparkSession, task: Mapping) -> TaskResult:
+def run_rules(
+    spark: SparkSession, task: Mapping, functions: Functions | None = None
+) -> TaskResult:
     """Rules over the result of another task, a filter on what they give, one sink."""
     info = task.get(RULES_BLOCK, {})
     date = run_date(task)
     kind = str(info.get("more_task", "")).upper()
-    own = private_session(spark)
+    own = _session(spark, task, info, functions)
     views: dict[str, DataFrame] = {}
     with job_group(spark, *_group(task, info)):
         if kind == "ETL":
@@ -291,10 +317,12 @@ def run_rules(spark: SparkSession, task: Mapping) -> TaskResult:
         return TaskResult(df, own, None, _write(task, info, df), list(views))
 
 
-def run_quality(spark: SparkSession, task: Mapping) -> TaskResult:
+def run_quality(
+    spark: SparkSession, task: Mapping, functions: Functions | None = None
+) -> TaskResult:
     """Rules of a quality task over its source; the frame is the report."""
     info = task.get(QUALITY_BLOCK, {})
-    own = _session(spark, task, info)
+    own = _session(spark, task, info, functions)
     with job_group(spark, *_group(task, info)):
         fields = field_names(info.get("data_sources_file_columns"))
         df, _ = read_mapped(

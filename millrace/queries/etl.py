@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -33,6 +34,7 @@ from millrace.plans.jobs import (
 from millrace.queries.base import query, table, table_path
 from millrace.schema import fields_to_schema
 from millrace.session import scratch_dir
+from millrace.sinks import write_sink
 
 RUN_DATE = "2024-01-31"
 
@@ -621,3 +623,80 @@ def compact_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = scratch_dir(spark, "compact") + "/events"
     compact(table(spark, sf_dir, "events"), "auto").write.parquet(out)
     return spark.read.parquet(out)
+
+
+@query(
+    "etl_wide_row_source",
+    """
+    SELECT lpad(CAST(s_suppkey AS VARCHAR), 6, '0') AS row_key, upper(s_name) AS name, s_acctbal AS balance
+    FROM supplier WHERE lpad(CAST(s_suppkey AS VARCHAR), 6, '0') >= '000007'
+    """,
+)
+def etl_wide_row_source(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A task over cells: the filter is a key range and expressions name family and cell."""
+    folder = scratch_dir(spark, "wide")
+    cells = {"paths": folder + "/cells", "fileType": "parquet"}
+    wide = table(spark, sf_dir, "supplier").selectExpr(
+        "lpad(s_suppkey, 6, '0') as row_key", "s_name as `cf1:name`", "s_acctbal as `cf2:balance`"
+    )
+    write_sink(wide, {"type": "hbase", "options": cells})
+    info = {
+        "file_type_input": "parquet",
+        "data_sources_params_input": json.dumps({"paths": cells["paths"]}),
+        "data_sources_file_columns": "cf1:name,cf2:balance",
+        "data_sources_filter_input": "000007",
+        "column_data_list": [
+            column("row_key", "row_key"),
+            column("cf1:upper(name)", "name"),
+            column("cf2:cast(balance as double)", "balance"),
+        ],
+        **file_output(folder + "/out"),
+    }
+    task = {"dsi_Input": {"data_source_type": "hbase"}, "dsi_Output": HDFS, ETL_BLOCK: info}
+    run_etl(spark, task)
+    return spark.read.parquet(folder + "/out")
+
+
+@query(
+    "etl_with_function",
+    """
+    SELECT c_custkey AS id, reverse(c_mktsegment) AS reversed FROM customer
+    WHERE length(c_mktsegment) > 8
+    """,
+)
+def etl_with_function(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A function of the caller in the filter and the mapping of a task."""
+
+    def backwards(text: pd.Series) -> pd.Series:
+        return text.str[::-1]
+
+    info = parquet_input(
+        sf_dir,
+        "customer",
+        data_sources_filter_input="length(backwards(c_mktsegment)) > 8",
+        column_data_list=[column("c_custkey", "id"), column("backwards(c_mktsegment)", "reversed")],
+    )
+    functions = {"backwards": F.pandas_udf(backwards, "string")}
+    return run_etl(spark, {"dsi_Input": HDFS, ETL_BLOCK: info}, functions).frame
+
+
+@query(
+    "sql_dynamic_partition_overwrite",
+    """
+    SELECT c_custkey, c_name, c_mktsegment FROM customer WHERE c_mktsegment <> 'BUILDING'
+    UNION ALL SELECT -c_custkey, upper(c_name), c_mktsegment FROM customer WHERE c_mktsegment = 'BUILDING'
+    """,
+)
+def sql_dynamic_partition_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A SQL task that replaces one partition of a table."""
+    folder = scratch_dir(spark, "overwrite")
+    name = f"millrace_overwrite_{folder.rsplit('-', 1)[1]}"
+    source = table_path(sf_dir, "customer")
+    script = f"""create table {name} (c_custkey bigint, c_name string, c_mktsegment string) using parquet
+partitioned by (c_mktsegment) location '{folder}/t';
+insert into {name} select c_custkey, c_name, c_mktsegment from parquet.`{source}`;
+set spark.sql.sources.partitionOverwriteMode=dynamic;
+insert overwrite table {name} select -c_custkey, upper(c_name), c_mktsegment from parquet.`{source}`
+where c_mktsegment = 'BUILDING';
+select * from {name}"""
+    return run_sql(spark, {SQL_BLOCK: {"etl_sql": script}}).frame

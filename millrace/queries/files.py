@@ -439,3 +439,51 @@ def dynamic_partition_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
     corrected = orders.filter("o_orderstatus = 'P'").withColumn("o_totalprice", F.lit(0.0))
     overwrite_partitions(corrected, name)
     return read_source(spark, {"type": "hive", "options": {"tableName": name}})
+
+
+@query(
+    "delivered_file_types",
+    """
+    SELECT p_partkey, p_name, p_retailprice, kind FROM part, (SELECT unnest(['json', 'orc', 'parquet', 'xml']) AS kind)
+    """,
+)
+def delivered_file_types(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One file in each format a transfer may deliver, read by type and field list."""
+    folder = scratch_dir(spark, "delivery")
+    part = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_retailprice")
+    schema = "p_partkey bigint, p_name string, p_retailprice double"
+    found = []
+    for kind in ("json", "orc", "parquet", "xml"):
+        extra = {"rowTag": "part", "rootTag": "parts"} if kind == "xml" else {}
+        path = str(_write(part, f"{folder}/part.{kind}", kind, "sftp", **extra))
+        df = _read(spark, path, kind, ",".join(part.columns), "", "sftp", schema=schema, **extra)
+        found.append(df.withColumn("kind", F.lit(kind)))
+    return reduce(DataFrame.unionByName, found)
+
+
+@query(
+    "fetched_documents_source",
+    """
+    SELECT CAST(conv_id AS VARCHAR) AS conv_id, CAST(turn AS VARCHAR) AS turn, role, text
+    FROM conversations WHERE role = 'user'
+    """,
+)
+def fetched_documents_source(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that each hold an array of rows at a dotted path, read as a source."""
+    folder = scratch_dir(spark, "fetched")
+    turn = F.struct("conv_id", "turn", "role", "text")
+    reply = F.struct(F.struct(F.array(turn).alias("list")).alias("result"))
+    documents = table(spark, sf_dir, "conversations").select(F.to_json(reply).alias("body"))
+    documents.write.parquet(folder + "/bodies")
+    source = {
+        "type": "http",
+        "options": {
+            "paths": folder + "/bodies",
+            "payload_column": "body",
+            "fileType": "json",
+            "result_column": "result.list",
+        },
+        "fields": "conv_id,turn,role,text",
+        "where": "role = 'user'",
+    }
+    return read_source(spark, source)

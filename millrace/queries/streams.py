@@ -103,3 +103,25 @@ def stream_restart(spark: SparkSession, sf_dir: str) -> DataFrame:
         .groupBy("event_id", "event_type", "user_id")
         .agg(F.count(F.lit(1)).alias("copies"))
     )
+
+
+@query(
+    "stream_into_table",
+    """
+    SELECT CAST(event_id AS BIGINT) AS event_id, event_type, CAST(user_id AS VARCHAR) AS user_id FROM events
+    """,
+)
+def stream_into_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same messages into a catalog table, created by the first batch."""
+    folder = scratch_dir(spark, "stream")
+    name = f"millrace_stream_{folder.rsplit('-', 1)[1]}"
+    _csv_messages(table(spark, sf_dir, "events"), ",").write.text(folder + "/in")
+    source = {
+        "type": "flume",
+        "options": {"paths": folder + "/in", "checkpoint": folder + "/progress"},
+        "fields": "event_id,event_type,user_id",
+        "once": True,
+    }
+    sink = {"type": "hive", "options": {"paths": name, "path": folder + "/table"}}
+    ingest_stream(spark, source, sink).awaitTermination()
+    return spark.table(name).withColumn("event_id", F.col("event_id").cast("bigint"))

@@ -132,6 +132,19 @@ def test_task_options_stay_in_the_task(spark, source):
     assert result.session.conf.get("spark.sql.session.timeZone") == "UTC"
 
 
+def test_functions_of_the_caller(spark, source):
+    from pyspark.sql.functions import udf
+
+    functions = {"plus": udf(lambda n: n + 100, "bigint")}
+    mapping = [{"column_expr": "plus(id)", "column_alias": "n"}]
+    task = {"dsi_Input": HDFS, "etlTaskInfo": info(source, column_data_list=mapping)}
+    assert run_etl(spark, task, functions).frame.agg({"n": "min"}).first()[0] == 100
+    with pytest.raises(Exception, match="UNRESOLVED_ROUTINE"):
+        run_etl(spark, task)
+    script = "create temporary view t as select 5 as id;\nselect plus(id) as n from t"
+    assert rows(run_sql(spark, {"sqlTaskInfo": {"etl_sql": script}}, functions).frame) == [(105,)]
+
+
 def multi(source, script, context=("left one", "right"), **more):
     return {
         "tli": TLI,
