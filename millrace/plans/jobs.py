@@ -13,6 +13,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from millrace.operators.quality import InlineSpec, gate, inline_quality, quality_report, rule_quality
 from millrace.operators.rows import redistribute, select_rows
@@ -24,6 +25,7 @@ from millrace.session import job_group, private_session
 from millrace.sinks import write_sink
 from millrace.sources import source_frame
 from millrace.sources.registry import STREAM_TYPES
+from millrace.streaming.ingest import ingest_stream
 
 # Keys of a task, and what a writer assumes where a task is silent.
 ETL_BLOCK = "etlTaskInfo"
@@ -55,13 +57,17 @@ Functions = Mapping[str, object]
 
 @dataclass
 class TaskResult:
-    """What a task built: the frame (lazy), its reports, and what the sink returned."""
+    """What a task built: the frame (lazy), its reports, and what the sink returned.
 
-    frame: DataFrame
+    A task over a stream has the running query instead of a frame.
+    """
+
+    frame: DataFrame | None
     session: SparkSession
     quality: dict | None = None
     written: object = None
     views: list[str] = field(default_factory=list)
+    stream: StreamingQuery | None = None
 
 
 def _json(text: object) -> dict:
@@ -143,19 +149,18 @@ def read_mapped(
     )
 
 
-def _write(task: Mapping, info: Mapping, df: DataFrame) -> object:
+def _sink(task: Mapping, info: Mapping) -> dict[str, object]:
     store = task.get("dsi_Output") or {}
-    kind = str(store.get("data_source_type") or "").strip()
-    if not kind:
-        return None
-    return write_sink(
-        df,
-        {
-            "type": kind,
-            "options": output_options(store, info),
-            "clear": info.get("data_sources_clear_output"),
-        },
-    )
+    return {
+        "type": str(store.get("data_source_type") or "").strip(),
+        "options": output_options(store, info),
+        "clear": info.get("data_sources_clear_output"),
+    }
+
+
+def _write(task: Mapping, info: Mapping, df: DataFrame) -> object:
+    sink = _sink(task, info)
+    return write_sink(df, sink) if sink["type"] else None
 
 
 def report_keeper(
@@ -203,10 +208,13 @@ def run_etl(
 ) -> TaskResult:
     """One source, one mapping, one sink.
 
-    ``functions`` are UDFs the SQL text of the task may call by name.
+    ``functions`` are UDFs the SQL text of the task may call by name. From a stream the
+    task goes on until ``stop_stream`` is called with its ``job_id``.
     """
     info = task.get(block, {})
     own = _session(spark, task, info, functions)
+    if str(task.get("dsi_Input", {}).get("data_source_type", "")).lower() in STREAM_TYPES:
+        return _start_stream(own, task, info)
     with job_group(spark, *_group(task, info)):
         df, report = read_mapped(
             own,
@@ -219,6 +227,21 @@ def run_etl(
         return TaskResult(df, own, report, _write(task, info, df))
 
 
+def _start_stream(own: SparkSession, task: Mapping, info: Mapping) -> TaskResult:
+    options = input_options(task["dsi_Input"], info)
+    stream = {
+        "type": task["dsi_Input"]["data_source_type"],
+        "options": options,
+        "fields": input_fields(info),
+        "mapping": info.get("column_data_list"),
+        "where": str(info.get("data_sources_filter_input") or ""),
+        "name": str(task.get("tli", {}).get("job_id", "001")),
+        "once": str(options.get("once", "false")).lower() == "true",
+        "run_date": run_date(task),
+    }
+    return TaskResult(None, own, stream=ingest_stream(own, stream, _sink(task, info)))
+
+
 def run_apply(
     spark: SparkSession, task: Mapping, functions: Functions | None = None
 ) -> TaskResult:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from millrace.plans.jobs import ETL_BLOCK, run_etl
 from millrace.queries.base import query, table
 from millrace.session import scratch_dir
 from millrace.streaming.ingest import ingest_stream
@@ -125,3 +126,35 @@ def stream_into_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     sink = {"type": "hive", "options": {"paths": name, "path": folder + "/table"}}
     ingest_stream(spark, source, sink).awaitTermination()
     return spark.table(name).withColumn("event_id", F.col("event_id").cast("bigint"))
+
+
+@query(
+    "etl_stream_source",
+    """
+    SELECT CAST(event_id AS VARCHAR) AS event_id, upper(event_type) AS kind, '2024-01-31' AS etl_date FROM events
+    WHERE event_type <> 'view'
+    """,
+)
+def etl_stream_source(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A single-source task whose source is a stream of JSON messages."""
+    folder = scratch_dir(spark, "stream")
+    _json_messages(table(spark, sf_dir, "events")).write.text(folder + "/in")
+    source = {"msgType": "json", "checkpoint": folder + "/progress", "once": "true"}
+    task = {
+        "tli": {"job_id": folder.rsplit("-", 1)[1], "params": '{"ETL_DATE": "2024-01-31"}'},
+        "dsi_Input": {"data_source_type": "flume", "paths": folder + "/in"},
+        "dsi_Output": {"data_source_type": "hdfs", "paths": folder + "/out", "batch_path": True},
+        ETL_BLOCK: {
+            "data_sources_file_columns": JSON_FIELDS,
+            "data_sources_params_input": source,
+            "data_sources_filter_input": "kind <> 'VIEW'",
+            "column_data_list": [
+                {"column_expr": "event.id", "column_alias": "event_id"},
+                {"column_expr": "upper(event.kind)", "column_alias": "kind"},
+                {"column_expr": "$etl_date", "column_alias": "etl_date"},
+            ],
+            "file_type_output": "parquet",
+        },
+    }
+    run_etl(spark, task).stream.awaitTermination()
+    return spark.read.parquet(folder + "/out").drop("batch_id")

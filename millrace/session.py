@@ -28,7 +28,6 @@ _FIXED = ("CANNOT_MODIFY_CONFIG", "CANNOT_MODIFY_STATIC_CONFIG")
 # not end the job, and an insert casts to the type of the table. A task may set the
 # options back.
 TASK_DEFAULTS = {
-    "spark.sql.session.timeZone": "UTC",
     "spark.sql.ansi.enabled": "false",
     "spark.sql.storeAssignmentPolicy": "legacy",
     # A hot key compresses well, so its partition looks smaller than it is to work on.

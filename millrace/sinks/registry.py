@@ -74,7 +74,8 @@ def _wide_rows(df, options, clear):
     else:
         cells = compact(cells, options.get("merge", -1))
     kind = format_name(str(options.get("fileType") or "parquet"))
-    extra = {k: v for k, v in spark_options(options).items() if k not in ("sep", "header", "splits", "write_mode", "encoding")}
+    not_for_cells = ("sep", "header", "splits", "write_mode", "encoding")
+    extra = {k: v for k, v in spark_options(options).items() if k not in not_for_cells}
     cells.write.format(kind).mode(mode).options(**extra).save(full_path(options))
 
 

@@ -124,22 +124,26 @@ def ingest_stream(spark: SparkSession, stream: Mapping, sink: Mapping) -> Stream
     if name:
         writer = writer.queryName(name)
     if stream.get("once"):
-        return writer.trigger(availableNow=True).start()
-    return writer.trigger(processingTime=TRIGGERS[kind]).start()
+        query = writer.trigger(availableNow=True).start()
+    else:
+        query = writer.trigger(processingTime=TRIGGERS[kind]).start()
+    if name:
+        _STARTED[name] = query
+    return query
+
+
+# Streams by name. Spark lists them per session, and every task has a session of its own.
+_STARTED: dict[str, StreamingQuery] = {}
 
 
-def running_stream(spark: SparkSession, name: str) -> StreamingQuery | None:
-    for query in spark.streams.active:
-        if query.name == name:
-            return query
-    return None
+def running_stream(name: str) -> StreamingQuery | None:
+    query = _STARTED.get(name)
+    return query if query is not None and query.isActive else None
 
 
-def stop_stream(
-    spark: SparkSession, name: str, finish: bool = True, timeout: float = 60.0
-) -> bool:
+def stop_stream(name: str, finish: bool = True, timeout: float = 60.0) -> bool:
     """Stop a stream by name; with ``finish`` the batch it is in ends first."""
-    query = running_stream(spark, name)
+    query = running_stream(name)
     if query is None:
         return False
     deadline = time.monotonic() + timeout
@@ -148,4 +152,5 @@ def stop_stream(
             break
         time.sleep(0.05)
     query.stop()
+    _STARTED.pop(name, None)
     return True

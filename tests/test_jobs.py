@@ -21,6 +21,7 @@ from millrace.plans.jobs import (
 )
 from millrace.plans.script import run_script, statements, view_names, view_of
 from millrace.session import cancel_group, job_group, private_session, scratch_dir, shared_dir
+from millrace.streaming.ingest import stop_stream
 
 HDFS = {"data_source_type": "HDFS"}
 TLI = {"params": '{"ETL_DATE": "2020-01-26"}', "job_context": "j"}
@@ -132,6 +133,35 @@ def test_task_options_stay_in_the_task(spark, source):
     assert result.session.conf.get("spark.sql.session.timeZone") == "UTC"
 
 
+def test_stream_source(spark, folder):
+    messages = ['{"n": 1, "d": {"t": "a"}}', '{"n": 2, "d": {"t": "b"}}', '{"n": 3}']
+    spark.createDataFrame([(m,) for m in messages], "value string").write.text(f"{folder}/in")
+    job = f"job_{uuid.uuid4().hex}"
+    output = {"paths": f"{folder}/out", "batch_path": True}
+    task = {
+        "tli": {**TLI, "job_id": job},
+        "dsi_Input": {"data_source_type": "flume", "paths": f"{folder}/in"},
+        "dsi_Output": HDFS,
+        "etlTaskInfo": {
+            "data_sources_file_columns": "n,d.t",
+            "data_sources_params_input": json.dumps({"msgType": "json", "checkpoint": f"{folder}/progress"}),
+            "data_sources_filter_input": "kind is not null",
+            "column_data_list": [
+                {"column_expr": "n", "column_alias": "n", "column_type": "int"},
+                {"column_expr": "d.t", "column_alias": "kind"},
+                {"column_expr": "$etl_date", "column_alias": "day"},
+            ],
+            "file_type_output": "parquet",
+            "data_sources_params_output": json.dumps(output),
+        },
+    }
+    result = run_etl(spark, task)
+    result.stream.processAllAvailable()
+    assert stop_stream(job)
+    found = spark.read.parquet(f"{folder}/out").select("n", "kind", "day")
+    assert rows(found) == [("1", "a", "2020-01-26"), ("2", "b", "2020-01-26")]
+
+
 def test_functions_of_the_caller(spark, source):
     from pyspark.sql.functions import udf
 

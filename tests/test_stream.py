@@ -108,10 +108,10 @@ def test_stop_by_name(spark, folder, finish):
     messages(spark, "1,a").write.text(f"{folder}/in")
     query = ingest_stream(spark, stream(folder, name=name, once=False), sink(folder))
     query.processAllAvailable()
-    assert running_stream(spark, name).id == query.id
-    assert stop_stream(spark, name, finish)
-    assert not query.isActive and running_stream(spark, name) is None
-    assert not stop_stream(spark, name)
+    assert running_stream(name).id == query.id
+    assert stop_stream(name, finish)
+    assert not query.isActive and running_stream(name) is None
+    assert not stop_stream(name)
     assert spark.read.parquet(f"{folder}/out").count() == 1
 
 
