@@ -444,20 +444,20 @@ def dynamic_partition_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     "delivered_file_types",
     """
-    SELECT p_partkey, p_name, p_retailprice, kind FROM part, (SELECT unnest(['json', 'orc', 'parquet', 'xml']) AS kind)
+    SELECT p_partkey, p_name, p_retailprice, kind FROM part, (SELECT unnest(['csv', 'json', 'orc', 'parquet', 'xml']) AS kind)
     """,
 )
 def delivered_file_types(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One file in each format a transfer may deliver, read by type and field list."""
     folder = scratch_dir(spark, "delivery")
     part = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_retailprice")
-    schema = "p_partkey bigint, p_name string, p_retailprice double"
     found = []
-    for kind in ("json", "orc", "parquet", "xml"):
+    for kind in ("csv", "json", "orc", "parquet", "xml"):
         extra = {"rowTag": "part", "rootTag": "parts"} if kind == "xml" else {}
         path = str(_write(part, f"{folder}/part.{kind}", kind, "sftp", **extra))
-        df = _read(spark, path, kind, ",".join(part.columns), "", "sftp", schema=schema, **extra)
-        found.append(df.withColumn("kind", F.lit(kind)))
+        df = _read(spark, path, kind, ",".join(part.columns), "", "sftp", **extra)
+        typed = [F.col(f.name).cast(f.dataType).alias(f.name) for f in part.schema]
+        found.append(df.select(*typed, F.lit(kind).alias("kind")))
     return reduce(DataFrame.unionByName, found)
 
 

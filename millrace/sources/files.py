@@ -6,6 +6,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from millrace.functions.text import line_fields, quoted, real_separator
 from millrace.operators.rows import select_rows
@@ -72,14 +73,13 @@ def read_files(
     path = full_path(options)
     kind = format_name(options.get("fileType"))
     extra = spark_options(options)
-    if options.get("copyLatest") and str(options["copyLatest"]).lower() == "true":
-        path = newest_file(spark, path)
+    schema = extra.pop("schema", None)
     if kind == "csv":
-        df = read_delimited(spark, path, extra, fields)
+        df = read_delimited(spark, path, extra, fields, schema)
     elif kind == EXCEL_FORMAT:
         df = rename_all(spark.read.format(kind).options(**extra).load(path), fields)
     else:
-        df = read_format(spark, path, kind, extra, fields)
+        df = read_format(spark, path, kind, extra, fields, schema)
     return select_rows(df, where)
 
 
@@ -88,18 +88,18 @@ def read_delimited(
     path: str,
     options: Mapping[str, str] | None = None,
     fields: str | Sequence[str] | None = None,
+    schema: str | T.StructType | None = None,
 ) -> DataFrame:
     """Delimited text.
 
     With a header and a one-character separator, or a tab spelled ``\\t``, the columns are
     those of the file, whatever the field list. Otherwise they are the field list: all
     text, a short line ends in NULLs, and the separator is taken literally however long
-    it is. A ``schema`` option settles names and types for either.
+    it is. A ``schema`` settles names and types for either.
     """
     extra = dict(options or {})
     spelled = extra.pop("sep", ",")
     sep = real_separator(spelled)
-    schema = extra.pop("schema", None)
     names = field_names(fields)
     header = extra.get("header", "false").lower() == "true"
     reader = spark.read.options(**extra)
@@ -119,13 +119,13 @@ def read_format(
     kind: str,
     options: Mapping[str, str] | None = None,
     fields: str | Sequence[str] | None = None,
+    schema: str | T.StructType | None = None,
 ) -> DataFrame:
     """Any format Spark reads, reduced to the listed fields.
 
-    Without a ``schema`` option Spark reads JSON and XML twice, first for their types.
+    Without a ``schema`` Spark reads JSON and XML twice, first for their types.
     """
     extra = {key: value for key, value in (options or {}).items() if key not in ("sep", "header")}
-    schema = extra.pop("schema", None)
     if kind == "hudi":
         path = path.rstrip("/") + "/*"
     reader = spark.read.format(kind).options(**extra)
@@ -175,6 +175,37 @@ def read_delivered_text(
     return select_rows(df.filter(quoted(names[0]) != names[0]), where)
 
 
+def read_delivered(
+    spark: SparkSession,
+    options: Mapping[str, object],
+    fields: str | Sequence[str] | None = None,
+    where: str | None = None,
+) -> DataFrame:
+    """A file a transfer has put in place; with ``copyLatest`` the newest of a folder.
+
+    A field list names the columns of text, whether or not it has a header line, and is
+    the schema of JSON and XML, all text; of other formats it picks columns by name.
+    """
+    names = field_names(fields)
+    path = full_path(options)
+    kind = format_name(options.get("fileType"))
+    extra = spark_options(options)
+    schema = extra.pop("schema", None)
+    if str(options.get("copyLatest", "false")).lower() == "true":
+        path = newest_file(spark, path)
+    if kind == "csv":
+        listed = text_schema(names) if names else None
+        df = read_delimited(spark, path, extra, names, schema or listed)
+    elif kind in ("json", "xml"):
+        listed = fields_to_schema(names) if names else None
+        df = read_format(spark, path, kind, extra, (), schema or listed)
+    elif kind in ("text", EXCEL_FORMAT):
+        df = rename_all(read_format(spark, path, kind, extra), names)
+    else:
+        df = read_format(spark, path, kind, extra, names)
+    return select_rows(df, where)
+
+
 def newest_file(spark: SparkSession, path: str) -> str:
     """The file of a folder that changed last; of several, the one last by name.
 

@@ -9,11 +9,19 @@ from pyspark.sql import DataFrame, SparkSession
 from millrace.operators.cells import row_range, scan_cells
 from millrace.operators.payload import payload_lines, payload_rows
 from millrace.operators.rows import select_rows
-from millrace.operators.transform import rename_all, select_fields
+from millrace.operators.transform import rename_all
 from millrace.schema import field_names
 from millrace.session import apply_options
 from millrace.sources import connectors as c
-from millrace.sources.files import format_name, full_path, read_delivered_text, read_files, read_uploaded, spark_options
+from millrace.sources.files import (
+    format_name,
+    full_path,
+    read_delivered,
+    read_delivered_text,
+    read_files,
+    read_uploaded,
+    spark_options,
+)
 from millrace.sources.jdbc import read_jdbc
 from millrace.sources.tables import read_table
 
@@ -65,14 +73,6 @@ def _fetched(spark, options, fields, where):
     return select_rows(df, where)
 
 
-def _delivered(spark, options, fields, where):
-    """A file a transfer has put in place; the transfer itself is not part of this."""
-    df = read_files(spark, options, (), None)
-    if field_names(fields) and format_name(options.get("fileType")) == "csv":
-        df = df if str(options.get("header")).lower() == "true" else rename_all(df, fields)
-    return select_rows(select_fields(df, fields), where)
-
-
 def _sql_table(spark, options, fields, where):
     return spark.sql(c.tidb_query(options, fields, where))
 
@@ -97,7 +97,7 @@ READERS: dict[str, Reader] = {
     "http": _fetched,
     "redis": _renamed(c.redis),
     "cassandra": _connector(c.cassandra),
-    "sftp": _delivered,
+    "sftp": read_delivered,
     "kudu": _connector(c.kudu),
     "外部上传": read_uploaded,
     "flume": _streaming,

@@ -22,6 +22,9 @@ from millrace.sources.files import full_path
 TRIGGERS = {"kafka": "2 seconds", "flume": "5 seconds"}
 DEFAULT_MESSAGE = "csv"
 
+# Options of Spark's file stream that a task may set.
+FILE_LIMITS = ("maxFilesPerTrigger", "maxBytesPerTrigger", "latestFirst", "maxFileAge", "cleanSource")
+
 
 def message_stream(spark: SparkSession, kind: str, options: Mapping[str, object]) -> DataFrame:
     """One text column ``value`` per message: a topic, or lines of files as they arrive."""
@@ -29,11 +32,8 @@ def message_stream(spark: SparkSession, kind: str, options: Mapping[str, object]
         link = kafka_source(options)
         stream = spark.readStream.format(link.format).options(**link.options).load()
         return stream.select(F.col("value").cast("string").alias("value"))
-    reader = spark.readStream.schema("value string")
-    per_batch = options.get("maxFilesPerTrigger")
-    if per_batch:
-        reader = reader.option("maxFilesPerTrigger", int(per_batch))
-    return reader.text(full_path(options))
+    limits = {key: str(options[key]) for key in FILE_LIMITS if options.get(key)}
+    return spark.readStream.schema("value string").options(**limits).text(full_path(options))
 
 
 def parse_messages(

@@ -137,6 +137,20 @@ def test_delivered_file_types(spark, folder):
         assert {(str(r["id"]), r["v"]) for r in back.collect()} == {("1", "a"), ("2", "b")}
 
 
+def test_delivered_names_and_types(spark, folder):
+    path = put(f"{folder}/d.csv", "h1;h2\n1;a\n")
+    assert rows(read(spark, path, fields="id,v", source="sftp", sep=";", header="true")) == [("1", "a")]
+    assert read(spark, path, source="sftp", sep=";", header="true").columns == ["h1", "h2"]
+    path = put(f"{folder}/e.csv", "1||a\n2\n")
+    assert rows(read(spark, path, fields="id,v", source="sftp", sep="||")) == [("1", "a"), ("2", None)]
+    path = put(f"{folder}/d.json", '{"id": 1, "o": {"x": 2}}\n')
+    df = read(spark, path, "json", "id,o.x", source="sftp")
+    assert df.schema.simpleString() == "struct<id:string,o:struct<x:string>>"
+    assert read(spark, path, "json", source="sftp").schema["id"].dataType.simpleString() == "bigint"
+    path = put(f"{folder}/d.txt", "one\ntwo\n")
+    assert rows(read(spark, path, "txt", "line", source="sftp")) == [("one",), ("two",)]
+
+
 def test_newest_file(spark, folder):
     put(f"{folder}/b.csv", "id\n1\n")
     time.sleep(0.05)
