@@ -700,3 +700,29 @@ insert overwrite table {name} select -c_custkey, upper(c_name), c_mktsegment fro
 where c_mktsegment = 'BUILDING';
 select * from {name}"""
     return run_sql(spark, {SQL_BLOCK: {"etl_sql": script}}).frame
+
+
+@query(
+    "map_more_types",
+    """
+    SELECT o_orderkey AS id, CAST(o_orderdate AS DATE) AS order_day, o_orderdate AS order_time,
+           CAST(coalesce(TRY_CAST(o_orderkey AS TINYINT), -1) AS INTEGER) AS tiny, CAST(CAST(o_totalprice AS FLOAT) AS DOUBLE) AS price,
+           o_orderstatus = 'F' AS closed, CAST(o_custkey AS VARCHAR) AS customer
+    FROM orders
+    """,
+)
+def map_more_types(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mapped = map_columns(
+        table(spark, sf_dir, "orders"),
+        [
+            column("o_orderkey", "id"),
+            column("o_orderdate", "order_day", "date"),
+            column("cast(o_orderdate as string)", "order_time", "timestamp_ntz"),
+            column("cast(o_orderkey as string)", "tiny", "tinyint"),
+            column("o_totalprice", "price", "float"),
+            column("if(o_orderstatus = 'F', 'true', 'false')", "closed", "boolean"),
+            column("o_custkey", "customer", "string"),
+        ],
+    )
+    tiny = F.coalesce(F.col("tiny").cast("int"), F.lit(-1))
+    return mapped.withColumns({"tiny": tiny, "price": F.col("price").cast("double")})

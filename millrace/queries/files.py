@@ -444,7 +444,8 @@ def dynamic_partition_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     "delivered_file_types",
     """
-    SELECT p_partkey, p_name, p_retailprice, kind FROM part, (SELECT unnest(['csv', 'json', 'orc', 'parquet', 'xml']) AS kind)
+    SELECT p_partkey, p_name, p_retailprice, kind
+    FROM part, (SELECT unnest(['csv', 'json', 'orc', 'parquet', 'xml']) AS kind)
     """,
 )
 def delivered_file_types(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -487,3 +488,34 @@ def fetched_documents_source(spark: SparkSession, sf_dir: str) -> DataFrame:
         "where": "role = 'user'",
     }
     return read_source(spark, source)
+
+
+@query(
+    "nested_types_roundtrip",
+    """
+    SELECT vec_id, label, kind, CAST(len(embedding) AS INTEGER) AS size, CAST(embedding[1] AS DOUBLE) AS first_value,
+           CAST(embedding[len(embedding)] AS DOUBLE) AS last_value
+    FROM embeddings, (SELECT unnest(['orc', 'parquet', 'json']) AS kind)
+    """,
+)
+def nested_types_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An array inside a struct through each format that can hold it."""
+    folder = scratch_dir(spark, "nested")
+    vectors = table(spark, sf_dir, "embeddings").select(
+        "vec_id", F.struct("label", F.col("embedding").alias("vector")).alias("data")
+    )
+    schema = "vec_id bigint, data struct<label:int,vector:array<float>>"
+    found = []
+    for kind in ("orc", "parquet", "json"):
+        _write(vectors, f"{folder}/{kind}", kind)
+        df = _read(spark, f"{folder}/{kind}", kind, "vec_id,data", schema=schema)
+        found.append(df.withColumn("kind", F.lit(kind)))
+    vector = F.col("data.vector")
+    return reduce(DataFrame.unionByName, found).select(
+        "vec_id",
+        "data.label",
+        "kind",
+        F.size(vector).alias("size"),
+        F.element_at(vector, 1).cast("double").alias("first_value"),
+        F.element_at(vector, -1).cast("double").alias("last_value"),
+    )

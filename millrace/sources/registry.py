@@ -9,8 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from millrace.operators.cells import row_range, scan_cells
 from millrace.operators.payload import payload_lines, payload_rows
 from millrace.operators.rows import select_rows
-from millrace.operators.transform import rename_all
-from millrace.schema import field_names
+from millrace.schema import field_names, fields_to_schema
 from millrace.session import apply_options
 from millrace.sources import connectors as c
 from millrace.sources.files import (
@@ -28,22 +27,16 @@ from millrace.sources.tables import read_table
 Reader = Callable[[SparkSession, Mapping, Sequence[str], "str | None"], DataFrame]
 
 
-def _load(spark: SparkSession, link: c.Connection) -> DataFrame:
-    apply_options(spark, link.settings)
-    reader = spark.read.format(link.format).options(**link.options)
-    return reader.load(link.path) if link.path else reader.load()
+def _connector(connect: Callable[[Mapping], c.Connection], by_fields: bool = False) -> Reader:
+    """Read through a connector; ``by_fields`` gives it the field list as schema."""
 
-
-def _connector(connect: Callable[[Mapping], c.Connection]) -> Reader:
-    def read(spark, options, fields, where):
-        return select_rows(_load(spark, connect(options)), where)
-
-    return read
-
-
-def _renamed(connect: Callable[[Mapping], c.Connection]) -> Reader:
     def read(spark, options, fields, where):
-        return select_rows(rename_all(_load(spark, connect(options)), fields), where)
+        link = connect(options)
+        apply_options(spark, link.settings)
+        reader = spark.read.format(link.format).options(**link.options)
+        if by_fields and fields:
+            reader = reader.schema(fields_to_schema(fields))
+        return select_rows(reader.load(link.path) if link.path else reader.load(), where)
 
     return read
 
@@ -95,7 +88,7 @@ READERS: dict[str, Reader] = {
     "mongodb": _connector(c.mongodb),
     "kafka": _streaming,
     "http": _fetched,
-    "redis": _renamed(c.redis),
+    "redis": _connector(c.redis, by_fields=True),
     "cassandra": _connector(c.cassandra),
     "sftp": read_delivered,
     "kudu": _connector(c.kudu),

@@ -254,6 +254,31 @@ def test_clear_before_a_connector_writes(kind, url):
     assert frame.write.calls[2][1] == ("append",)
 
 
+class FakeReading:
+    """A session whose reader notes what it is told."""
+
+    def __init__(self):
+        self.read, self.conf = Recorder(), Recorder()
+
+
+def test_reads_through_a_connector():
+    spark = FakeReading()
+    READERS["redis"](spark, {**BASE, "data_type": "hash"}, ["name", "age"], None)
+    names = [call[0] for call in spark.read.calls]
+    assert names == ["format", "options", "schema", "load"]
+    assert spark.read.calls[2][1][0].fieldNames() == ["name", "age"]
+    spark = FakeReading()
+    READERS["cassandra"](spark, BASE, ["name"], None)
+    assert [call[0] for call in spark.read.calls] == ["format", "options", "load"]
+    assert [call[1] for call in spark.conf.calls] == [
+        ("spark.cassandra.connection.host", "h"),
+        ("spark.cassandra.connection.port", "1234"),
+    ]
+    spark = FakeReading()
+    READERS["es"](spark, BASE, [], None)
+    assert spark.read.calls[-1] == ("load", ("a.b",), {})
+
+
 def test_stores_without_a_clear_statement():
     jvm = FakeJvm()
     with pytest.raises(ValueError, match="delete_then_append"):
