@@ -65,12 +65,15 @@ def select_rows(
 def redistribute(
     df: DataFrame, count: int | str | None = None, columns: str | Sequence[str] | None = None
 ) -> DataFrame:
-    """Repartition by a count, by columns, or by both; by neither it is a no-op."""
-    number = int(count) if count not in (None, "") else None
-    keys = [quoted(name) for name in field_names(columns)]
-    if number is not None:
-        return df.repartition(number, *keys)
-    return df.repartition(*keys) if keys else df
+    """Repartition by a count, by columns, or by both; by neither it is a no-op.
+
+    By columns alone Spark sizes the partitions: it joins small ones and splits that of a
+    value with much of the data.
+    """
+    names = field_names(columns)
+    if count not in (None, ""):
+        return df.repartition(int(count), *[quoted(name) for name in names])
+    return df.hint("rebalance", *names) if names else df
 
 
 def compact(

@@ -65,7 +65,11 @@ def export_file(
     """
     spark = df.sparkSession
     staging = f"{path}.writing"
-    by_size = {"spark.sql.adaptive.coalescePartitions.parallelismFirst": "false"}
+    by_size = {
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+    }
     with session_conf(spark, by_size):
         writer = df.hint("rebalance").write.format(kind).mode("overwrite")
         writer.options(**dict(options or {})).save(staging)

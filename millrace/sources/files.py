@@ -12,6 +12,7 @@ from millrace.functions.text import line_fields, quoted, real_separator
 from millrace.operators.rows import select_rows
 from millrace.operators.transform import rename_all, select_fields
 from millrace.schema import field_names, fields_to_schema, text_schema
+from millrace.session import hadoop_path
 
 # Spellings of a file type, and the packages behind two of them.
 EXCEL_FORMAT = "com.crealytics.spark.excel"
@@ -207,12 +208,17 @@ def read_delivered(
 
 
 def newest_file(spark: SparkSession, path: str) -> str:
-    """The file of a folder that changed last; of several, the one last by name.
+    """What changed last in a folder: a file, or an export of several files in a folder.
 
-    Only file names and times are read, and one name comes back.
+    Of several that changed at once it is the one last by name. Only file names and times
+    are read, and one name comes back.
     """
-    files = spark.read.format("binaryFile").load(path).select("path", "modificationTime")
-    newest = files.orderBy(F.desc("modificationTime"), F.desc("path")).first()
+    store, folder = hadoop_path(spark, path)
+    root = store.makeQualified(folder).toString().rstrip("/") + "/"
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+    entry = F.substring_index(F.substring("path", len(root) + 1, 1_000_000), "/", 1)
+    changed = files.groupBy(entry.alias("entry")).agg(F.max("modificationTime").alias("changed"))
+    newest = changed.orderBy(F.desc("changed"), F.desc("entry")).first()
     if newest is None:
         raise ValueError(f"no file in {path}")
-    return newest["path"]
+    return root + newest["entry"]

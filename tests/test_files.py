@@ -161,6 +161,8 @@ def test_newest_file(spark, folder):
     for name in "ab":
         os.utime(f"{folder}/{name}.csv", (same, same))
     assert newest_file(spark, folder).endswith("/b.csv")
+    spark.range(5).write.csv(f"{folder}/c.csv")
+    assert newest_file(spark, folder).endswith("/c.csv")  # an export of several files
     os.mkdir(f"{folder}/empty")
     with pytest.raises(ValueError):
         newest_file(spark, f"{folder}/empty")
