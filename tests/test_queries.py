@@ -5,10 +5,10 @@ import pytest
 
 import __spark_entry__ as contract
 from check import TABLES, compare
+from millrace.queries import ORACLE, REGISTRY
 
 SF_DIR = "/root/testdata/sf0.001"
-QUERIES = contract.queries()
-ORACLE = contract.oracle_sql()
+QUERIES = dict(REGISTRY)
 
 
 @pytest.fixture(scope="module")
