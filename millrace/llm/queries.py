@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from millrace.llm.decontamination import contaminated
 from millrace.llm.minhash import near_duplicates
+from millrace.llm.sharding import assign_shards
 from millrace.queries.base import table
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -56,3 +58,43 @@ _WORDS = r"regexp_extract_all({text}, '[^\x20\x09-\x0D]+')"
 )
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), shingle_words=2, percent=80)
+
+
+@query("op3_shards")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    placed = assign_shards(table(spark, sf_dir, "documents"), shards=24)
+    return placed.select(
+        "doc_id",
+        "size",
+        "text_crc32",
+        F.lit("rows").alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
+def _shingles_sql(name: str, key: str) -> str:
+    """Distinct five-word shingles of a table, hashed words kept as text."""
+    words = _WORDS.format(text=_LOWERED)
+    return f"""
+        SELECT {key}, unnest(list_distinct(CASE
+            WHEN len(w) >= 5 THEN list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))
+            WHEN len(w) > 0 THEN [array_to_string(w, ' ')]
+            ELSE [] END)) AS s
+        FROM (SELECT {key}, {words} AS w FROM {name})"""
+
+
+@query(
+    "op7_contaminated",
+    f"""
+    WITH i AS MATERIALIZED ({_shingles_sql("benchmark", "item_id")}),
+    n AS (SELECT item_id, count(*) AS n FROM i GROUP BY item_id),
+    d AS ({_shingles_sql("documents", "doc_id")}),
+    c AS (SELECT doc_id, item_id, count(*) AS c FROM d JOIN i USING (s) GROUP BY ALL)
+    SELECT doc_id, item_id, n AS item_shingles, c AS shared_shingles
+    FROM c JOIN n USING (item_id) WHERE 100 * c >= 80 * n
+    """,
+)
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
