@@ -13,6 +13,7 @@ from millrace.llm.minhash import near_duplicates
 from millrace.llm.mixing import mixing_rates
 from millrace.llm.sharding import assign_shards
 from millrace.llm.tokens import count_tokens
+from millrace.llm.warc import round_trip
 from millrace.queries.base import table
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -146,6 +147,30 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_back(format_chats(turns.unionByName(hostile)))
 
 
+_BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
+
+
+@query(
+    "op5_warc",
+    f"""
+    WITH p AS (
+        SELECT page_id, coalesce(html, '') AS html, sha1(coalesce(html, '')) AS sha FROM pages),
+    g AS (SELECT *, max(page_id) OVER (PARTITION BY html) AS last FROM p)
+    SELECT page_id, strlen(html)::BIGINT AS payload_bytes,
+        array_to_string(list_transform(range(0, 32), lambda i: substr('{_BASE32}',
+            ((('0x' || substr(sha, (i // 4 * 5 + 1)::INTEGER, 5))::BIGINT >> (15 - 5 * (i % 4))::INTEGER) & 31)::INTEGER + 1,
+            1)), '') AS payload_digest,
+        CASE WHEN page_id = last THEN 'response' ELSE 'revisit' END AS record_type,
+        CASE WHEN page_id = last THEN NULL ELSE last END AS refers_to
+    FROM g
+    """,
+)
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return round_trip(table(spark, sf_dir, "pages")).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
+    )
+
+
 @query("op6_token_counts")
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(table(spark, sf_dir, "documents"))
