@@ -11,6 +11,7 @@ from millrace.llm.chat import format_chats, read_back
 from millrace.llm.decontamination import contaminated
 from millrace.llm.minhash import near_duplicates
 from millrace.llm.mixing import mixing_rates
+from millrace.llm.repeats import remove_repeats
 from millrace.llm.sharding import assign_shards
 from millrace.llm.tokens import count_tokens
 from millrace.llm.warc import round_trip
@@ -174,3 +175,29 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op6_token_counts")
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(table(spark, sf_dir, "documents"))
+
+
+@query(
+    "op8_repeats",
+    f"""
+    WITH w AS MATERIALIZED (SELECT doc_id, {_WORDS.format(text="coalesce(text, '')")} AS w FROM documents),
+    p AS MATERIALIZED (
+        SELECT doc_id, i, array_to_string(w[i:i + 12], ' ') AS s
+        FROM (SELECT doc_id, w, unnest(range(1, len(w) - 11)) AS i FROM w WHERE len(w) >= 13)),
+    g AS (SELECT s, min(doc_id) AS low FROM p GROUP BY s),
+    gone AS (
+        SELECT doc_id, list(DISTINCT i + k) AS gone
+        FROM (SELECT doc_id, i, unnest(range(0, 13)) AS k FROM p JOIN g USING (s) WHERE doc_id > low)
+        GROUP BY doc_id),
+    kept AS (
+        SELECT doc_id, len(w) AS n, list_transform(list_filter(range(1, len(w) + 1),
+            lambda i: gone IS NULL OR NOT list_contains(gone, i)), lambda i: w[i]) AS k
+        FROM w LEFT JOIN gone USING (doc_id))
+    SELECT doc_id, n::BIGINT AS n_words, (n - len(k))::BIGINT AS n_removed,
+        sha256(coalesce(array_to_string(k, ' '), '')) AS kept_sha256
+    FROM kept
+    """,
+)
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = remove_repeats(table(spark, sf_dir, "documents"), window=13)
+    return cut.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
