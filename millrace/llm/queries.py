@@ -14,6 +14,7 @@ from millrace.llm.mixing import mixing_rates
 from millrace.llm.repeats import remove_repeats
 from millrace.llm.sharding import assign_shards
 from millrace.llm.tokens import count_tokens
+from millrace.llm.toxicity import toxicity
 from millrace.llm.warc import round_trip
 from millrace.queries.base import table
 
@@ -201,3 +202,9 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     cut = remove_repeats(table(spark, sf_dir, "documents"), window=13)
     return cut.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query("op10_toxicity")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return scored.select(F.col("id").alias("doc_id"), "held_out", "score", "predicted")
