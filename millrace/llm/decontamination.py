@@ -5,10 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from millrace.llm.joins import small
 from millrace.session import written
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-BROADCAST_ROWS = 500_000
 
 
 def word_array(text: Column) -> Column:
@@ -40,11 +40,6 @@ def string_shingles(words: str, size: int) -> Column:
     return F.array_distinct(_runs(words, size, lambda parts: F.concat_ws(" ", *parts), "string"))
 
 
-def small(df: DataFrame, rows: int) -> DataFrame:
-    """Marked for broadcast if it has been counted and is small; else Spark joins by shuffle."""
-    return F.broadcast(df) if rows <= BROADCAST_ROWS else df
-
-
 def contaminated(
     docs: DataFrame,
     benchmark: DataFrame,

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm.components import components
+from millrace.llm.joins import small
 from millrace.llm.text import chunks, mix, randoms, shingles, split_words
 from millrace.session import written
 
@@ -209,3 +210,25 @@ def near_duplicates(
         .select(F.col("__id").alias(id_col), "n_shingles", own.alias("component_id"))
         .withColumn("kept", F.coalesce(F.col(id_col) == F.col("component_id"), F.col("component_id").isNull()))
     )
+
+
+def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """The documents, with all their columns, of which one stays per group (see ``near_duplicates``).
+
+    The one with the smallest id stays. Rows with an id that occurs repeatedly are
+    compared by id and text, and one of each stays; rows without id stay unless their
+    group has an id.
+    """
+    result = written(near_duplicates(docs, id_col, text_col, **options).select(id_col, "component_id", "kept"), "kept")
+    # Rows without id that copy a document with one cannot be told apart by id.
+    gone = result.where(~F.col("kept") & F.col(id_col).isNotNull()).select(F.col(id_col).alias("__gone")).distinct()
+    gone = written(gone, "gone")
+    left = docs.join(small(gone, gone.count()), docs[id_col] == gone["__gone"], "left_anti")
+    again = result.where("kept").groupBy(F.col(id_col).alias("__again")).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    again = written(again.where("__again is not null").select("__again"), "again")
+    repeated = again.count()
+    if not repeated:
+        return left
+    some = small(again, repeated)
+    once = left.join(some, left[id_col] == again["__again"], "left_semi").dropDuplicates([id_col, text_col])
+    return left.join(some, left[id_col] == again["__again"], "left_anti").unionByName(once)

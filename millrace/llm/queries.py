@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from millrace.llm.chat import format_chats, read_back
 from millrace.llm.decontamination import contaminated
+from millrace.llm.embeddings import near_vectors
 from millrace.llm.minhash import near_duplicates
 from millrace.llm.mixing import mixing_rates
 from millrace.llm.repeats import remove_repeats
@@ -204,6 +205,11 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cut.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+@query("op9_near_vectors")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_vectors(table(spark, sf_dir, "embeddings"), least=0.9)
+
+
 @query("op10_toxicity")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))

@@ -6,6 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -13,6 +14,7 @@ from millrace.llm.text import chunks, hash_spans, mix, randoms, split_words
 from millrace.session import written
 
 BITS = 20
+BLOCK = 1 << 12
 STEM_BYTES = (4, 6)
 _U = np.uint64
 # Words of letters and digits: everything beyond ASCII counts as a letter.
@@ -54,7 +56,9 @@ class Ftrl:
 
     def __init__(self, bits: int, alpha: float = 1.0, beta: float = 1.0, l1: float = 4.0, l2: float = 0.5):
         self.alpha, self.beta, self.l1, self.l2 = alpha, beta, l1, l2
-        self.z, self.n = np.zeros((1 << bits) + 1), np.zeros((1 << bits) + 1)
+        # The intercept follows the features; the rest of its block is unused.
+        self.bias = 1 << bits
+        self.z, self.n = np.zeros(self.bias + BLOCK), np.zeros(self.bias + BLOCK)
 
     def weights(self, at: np.ndarray | slice) -> np.ndarray:
         z, n = self.z[at], self.n[at]
@@ -62,13 +66,13 @@ class Ftrl:
         return np.where(np.abs(z) <= self.l1, 0.0, size)
 
     def intercept(self) -> float:
-        z, n = self.z[-1], self.n[-1]
+        z, n = self.z[self.bias], self.n[self.bias]
         return float(-z * self.alpha / (self.beta + np.sqrt(n)))
 
     def learn(self, at: np.ndarray, label: int) -> None:
         weights = self.weights(at)
         gradient = 1 / (1 + np.exp(-np.clip(weights.sum() + self.intercept(), -35, 35))) - label
-        for i, w in ((at, weights), (-1, self.intercept())):
+        for i, w in ((at, weights), (self.bias, self.intercept())):
             step = (np.sqrt(self.n[i] + gradient * gradient) - np.sqrt(self.n[i])) / self.alpha
             self.z[i] += gradient - step * w
             self.n[i] += gradient * gradient
@@ -86,9 +90,14 @@ class ToxicityModel:
         return table
 
 
-def _total(name: str) -> Column:
-    """The sum of a field over ``moves``, in their order, so that reruns agree to the last bit."""
-    return F.aggregate("moves", F.lit(0.0), lambda total, move: total + move[name]).alias(name)
+def _merge(table: pa.Table) -> pa.Table:
+    """One block's changes, averaged over the learners that met a feature, in the order of learners."""
+    table = table.sort_by("part")
+    moves = np.stack([np.frombuffer(m, dtype="<f8").reshape(2, BLOCK) for m in table.column("moves").to_pylist()])
+    met = np.maximum((moves != 0).any(axis=1).sum(axis=0), 1)
+    block = table.column("block")[0].as_py()
+    mean = moves.sum(axis=0) / met
+    return pa.table({"block": pa.array([block], pa.int32()), "moves": pa.array([mean.tobytes()], pa.binary())})
 
 
 def fit_toxicity(
@@ -131,6 +140,8 @@ def fit_toxicity(
     train = written(train.withColumn("part", F.pmod("order", F.lit(parts)).cast("int")), "toxicity-train")
 
     state = Ftrl(bits)
+    if train.isEmpty():
+        return ToxicityModel(bits, np.empty(0, np.int64), np.empty(0), -1.0)
     for _ in range(epochs):
         held = spark.sparkContext.broadcast((state.z, state.n))
 
@@ -141,25 +152,24 @@ def fit_toxicity(
             table = table.sort_by([("order", "ascending"), ("label", "ascending"), ("features", "ascending")])
             for label, data in zip(table.column("label").to_pylist(), table.column("features").to_pylist()):
                 own.learn(np.frombuffer(data, dtype="<i4"), int(label > 0))
-            at = np.flatnonzero((own.z != z) | (own.n != n))
+            moves = np.stack([own.z - z, own.n - n]).reshape(2, -1, BLOCK)
+            blocks = np.flatnonzero(moves.any(axis=(0, 2)))
             part = table.column("part")[0].as_py()
             return pa.table(
                 {
-                    "number": pa.array(at, pa.int64()),
-                    "part": pa.array(np.full(len(at), part), pa.int32()),
-                    "dz": own.z[at] - z[at],
-                    "dn": own.n[at] - n[at],
+                    "block": pa.array(blocks, pa.int32()),
+                    "part": pa.array([part] * len(blocks), pa.int32()),
+                    "moves": pa.array([moves[:, b].tobytes() for b in blocks], pa.binary()),
                 }
             )
 
-        moved = train.groupBy("part").applyInArrow(learn, "number long, part int, dz double, dn double")
-        moved = moved.groupBy("number").agg(F.array_sort(F.collect_list(F.struct("part", "dz", "dn"))).alias("moves"))
-        moved = moved.select("number", _total("dz"), _total("dn"), F.size("moves").alias("met"))
-        moved = moved.toArrow()
-        at = moved.column("number").to_numpy()
-        met = moved.column("met").to_numpy()
-        state.z[at] += moved.column("dz").to_numpy() / met
-        state.n[at] += moved.column("dn").to_numpy() / met
+        moved = train.groupBy("part").applyInArrow(learn, "block int, part int, moves binary")
+        moved = moved.groupBy("block").applyInArrow(_merge, "block int, moves binary")
+        for row in moved.collect():
+            at = slice(row.block * BLOCK, (row.block + 1) * BLOCK)
+            dz, dn = np.frombuffer(row.moves, dtype="<f8").reshape(2, BLOCK)
+            state.z[at] += dz
+            state.n[at] += dn
         held.unpersist()
     weights = state.weights(slice(0, 1 << bits))
     numbers = np.flatnonzero(weights)
@@ -169,26 +179,29 @@ def fit_toxicity(
 def score_toxicity(
     docs: DataFrame, model: ToxicityModel, id_col: str = "doc_id", text_col: str = "text", keep: bool = False
 ) -> DataFrame:
-    """``(id, score)`` of every document's whole text, from 0 to 1; with ``keep`` also ``doc``, the whole row.
+    """``(id, score)`` of every document's whole text, from 0 to 1; with ``keep`` the whole row
+    (``doc``) in place of the id.
 
     A null or empty text has the score of the intercept. Null ids and repeated rows are
     scored like others.
     """
     held = docs.sparkSession.sparkContext.broadcast(model)
+    chosen = docs.select(F.struct("*").alias("doc")) if keep else docs.select(
+        F.col(id_col).alias("id"), F.col(text_col).alias("text")
+    )
+
+    name, place = chosen.columns[0], docs.columns.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table, intercept = held.value.dense(), held.value.intercept
-        for part in chunks(batches, 0):
-            total = np.array([table[at].sum() for at in features(part.column(0), held.value.bits)])
-            score = 1 / (1 + np.exp(-np.clip(total + intercept, -35, 35)))
-            yield pa.record_batch(
-                [*(part.column(i) for i in range(1, part.num_columns)), pa.array(score, pa.float64())],
-                names=[*(part.schema.names[1:]), "score"],
-            )
-
-    kept = [F.col(id_col).alias("id")] + ([F.struct("*").alias("doc")] if keep else [])
-    chosen = docs.select(F.col(text_col).alias("text"), *kept)
-    schema = chosen.drop("text").schema.add("score", "double")
+        for batch in batches:
+            texts = pc.struct_field(batch.column(0), [place]) if keep else batch.column(1)
+            parts = chunks([pa.record_batch([texts], names=["text"])], 0)
+            total = [table[at].sum() for part in parts for at in features(part.column(0), held.value.bits)]
+            score = 1 / (1 + np.exp(-np.clip(np.array(total, dtype=float) + intercept, -35, 35)))
+            yield pa.record_batch([batch.column(0), pa.array(score, pa.float64())], names=[name, "score"])
+
+    schema = chosen.select(name).schema.add("score", "double")
     return chosen.mapInArrow(run, schema)
 
 
@@ -203,16 +216,21 @@ def toxicity(
     id_col: str = "doc_id",
     text_col: str = "text",
     label_col: str = "toxic",
-    keep: bool = False,
     **options,
 ) -> DataFrame:
     """``(id, held_out, score, predicted)`` per document, learned from rows not held out.
 
-    An empty table of labels, or one that matches no document, gives every document the
-    score 0.5 and so the prediction 1; callers that filter should see to labels.
+    Without any labelled document to learn from, all scores are the same and below 0.5.
+    Empty tables give an empty result.
     """
     model = fit_toxicity(docs, labels, id_col, text_col, label_col, train_on=~held_out(id_col), **options)
-    scored = score_toxicity(docs, model, id_col, text_col, keep)
-    return scored.withColumns(
-        {"held_out": held_out("id"), "predicted": (F.col("score") >= 0.5).cast("int")}
-    )
+    scored = score_toxicity(docs, model, id_col, text_col)
+    return scored.withColumns({"held_out": held_out("id"), "predicted": (F.col("score") >= 0.5).cast("int")})
+
+
+def drop_toxic(
+    docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", **options
+) -> DataFrame:
+    """The documents, with all their columns, whose score (see ``toxicity``) is below 0.5."""
+    model = fit_toxicity(docs, labels, id_col, text_col, label_col, train_on=~held_out(id_col), **options)
+    return score_toxicity(docs, model, id_col, text_col, keep=True).where("score < 0.5").select("doc.*")
