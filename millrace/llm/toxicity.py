@@ -24,8 +24,8 @@ _LETTERS[ord("a") : ord("z") + 1] = True
 _LETTERS[ord("0") : ord("9") + 1] = True
 
 
-def features(texts: pa.Array, bits: int = BITS) -> list[np.ndarray]:
-    """The distinct feature numbers of each text, ascending.
+def occurrences(texts: pa.Array, bits: int = BITS) -> tuple[np.ndarray, np.ndarray]:
+    """Row and number of every feature of the texts, as often as it occurs.
 
     Features are words (lower-cased A-Z, without signs), pairs of neighbours, pairs with
     one word between them, and the first bytes (``STEM_BYTES``) of longer words, for
@@ -44,11 +44,20 @@ def features(texts: pa.Array, bits: int = BITS) -> list[np.ndarray]:
         long = np.flatnonzero(words.end - words.start > size)
         stem = hash_spans(words.data, words.start[long], words.start[long] + size)
         parts.append((row[long], mix(stem * salt)))
-    number = np.concatenate([h for _, h in parts]) >> _U(64 - bits)
-    both = np.unique((np.concatenate([r for r, _ in parts]).astype(np.uint64) << _U(bits)) | number)
-    bounds = np.searchsorted(both >> _U(bits), np.arange(len(texts) + 1, dtype=np.uint64))
-    number = (both & _U((1 << bits) - 1)).astype(np.int64)
-    return [number[bounds[i] : bounds[i + 1]] for i in range(len(texts))]
+    numbers = np.concatenate([h for _, h in parts]) >> _U(64 - bits)
+    return np.concatenate([r for r, _ in parts]), numbers.astype(np.int64)
+
+
+def _distinct(rows: np.ndarray, numbers: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    both = np.unique((rows << bits) | numbers)
+    return both >> bits, both & ((1 << bits) - 1)
+
+
+def features(texts: pa.Array, bits: int = BITS) -> list[np.ndarray]:
+    """The distinct feature numbers of each text, ascending."""
+    rows, numbers = _distinct(*occurrences(texts, bits), bits)
+    bounds = np.searchsorted(rows, np.arange(len(texts) + 1))
+    return [numbers[bounds[i] : bounds[i + 1]] for i in range(len(texts))]
 
 
 class Ftrl:
@@ -84,10 +93,21 @@ class ToxicityModel:
     def __init__(self, bits: int, numbers: np.ndarray, weights: np.ndarray, intercept: float):
         self.bits, self.numbers, self.weights, self.intercept = bits, numbers, weights, intercept
 
-    def dense(self) -> np.ndarray:
-        table = np.zeros(1 << self.bits, dtype=np.float64)
+    def scorer(self):
+        """A function from texts to scores. Features without a weight are dropped before
+        the rest are made distinct, so most of a text costs one look-up."""
+        table = np.zeros(1 << self.bits)
         table[self.numbers] = self.weights
-        return table
+        weighs = table != 0
+
+        def score(texts: pa.Array) -> np.ndarray:
+            rows, numbers = occurrences(texts, self.bits)
+            met = weighs[numbers]
+            rows, numbers = _distinct(rows[met], numbers[met], self.bits)
+            total = np.bincount(rows, weights=table[numbers], minlength=len(texts)) + self.intercept
+            return 1 / (1 + np.exp(-np.clip(total, -35, 35)))
+
+        return score
 
 
 def _merge(table: pa.Table) -> pa.Table:
@@ -193,12 +213,11 @@ def score_toxicity(
     name, place = chosen.columns[0], docs.columns.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table, intercept = held.value.dense(), held.value.intercept
+        scorer = held.value.scorer()
         for batch in batches:
             texts = pc.struct_field(batch.column(0), [place]) if keep else batch.column(1)
             parts = chunks([pa.record_batch([texts], names=["text"])], 0)
-            total = [table[at].sum() for part in parts for at in features(part.column(0), held.value.bits)]
-            score = 1 / (1 + np.exp(-np.clip(np.array(total, dtype=float) + intercept, -35, 35)))
+            score = np.concatenate([np.empty(0), *(scorer(part.column(0)) for part in parts)])
             yield pa.record_batch([batch.column(0), pa.array(score, pa.float64())], names=[name, "score"])
 
     schema = chosen.select(name).schema.add("score", "double")
