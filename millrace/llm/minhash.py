@@ -16,6 +16,7 @@ from millrace.llm.text import chunks, mix, randoms, shingles, split_words
 from millrace.session import written
 
 _ODD = np.uint64(1)
+BLOCK, BEST = 512, 4
 
 
 def _class_of(own: np.ndarray) -> tuple[int, bytes]:
@@ -96,6 +97,62 @@ def _alike(least: float):
     return run
 
 
+def _across(bands: int, rows: int, least: float, best: int | None):
+    """Pairs of a stray and a member of another component that look alike, of each sorted group.
+
+    A pair is given in the first band that it shares, so it is given once. ``best`` gives
+    only the pairs of a stray that look most alike, for a first try.
+    """
+
+    def pairs(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+        node, root = table.column("node").to_numpy(), table.column("root").to_numpy()
+        stray = table.column("stray").to_numpy()
+        sign = np.frombuffer(b"".join(table.column("sign").to_pylist()), dtype="<u2").reshape(len(node), -1)
+        number = table.column("number")[0].as_py()
+        them, us = np.flatnonzero(~stray), np.flatnonzero(stray)
+        found = []
+        for low in range(0, len(us), 16):
+            own = us[low : low + 16]
+            same = sign[own][:, None, :] == sign[them][None, :, :]
+            shared = same[:, :, : bands * rows].reshape(len(own), len(them), bands, rows).all(axis=3)
+            share = same.mean(axis=2)
+            keep = (share >= least) & (shared.argmax(axis=2) == number)
+            keep &= root[own][:, None] != root[them][None, :]
+            if best is not None and len(them) > best:
+                share = np.where(keep, share, -1.0)
+                keep &= share >= np.partition(share, -best, axis=1)[:, -best, None]
+            r, c = np.nonzero(keep)
+            found.append(np.stack([node[own[r]], node[them[c]]]))
+        u, v = np.concatenate(found, axis=1) if found else np.empty((2, 0), np.int64)
+        return np.minimum(u, v), np.maximum(u, v)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.Table] = []
+
+        def flush():
+            u, v = pairs(pa.concat_tables(held).combine_chunks())
+            held.clear()
+            return pa.record_batch([pa.array(u), pa.array(v)], names=["u", "v"])
+
+        last = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            table = pa.Table.from_batches([batch])
+            keys = np.stack([table.column(k).to_numpy().astype(np.int64) for k in ("band", "block", "chunk")])
+            cuts = [0, *(np.flatnonzero((keys[:, 1:] != keys[:, :-1]).any(axis=0)) + 1).tolist(), batch.num_rows]
+            for low, high in zip(cuts, cuts[1:]):
+                key = tuple(keys[:, low])
+                if held and key != last:
+                    yield flush()
+                held.append(table.slice(low, high - low))
+                last = key
+        if held:
+            yield flush()
+
+    return run
+
+
 def near_duplicates(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -104,6 +161,7 @@ def near_duplicates(
     percent: int = 80,
     bands: int = 32,
     rows: int = 5,
+    minima: int = 256,
 ) -> DataFrame:
     """One row per document: ``(id, n_shingles, component_id, kept)``.
 
@@ -112,10 +170,14 @@ def near_duplicates(
     Two documents are linked when ``100 * intersection >= percent * union`` of their sets.
 
     * Documents with equal sets become one node (a 64-bit digest of the set).
-    * Each node gets ``bands * rows`` universal hash minima. Nodes that share a band are
-      candidates: first with the smallest node of the band, which is linear in the
-      number of nodes, then, where a band still holds several components, with each
-      member of another component.
+    * Each node gets ``minima`` universal hash minima, the first ``bands * rows`` of which
+      are banded. Nodes that share a band are candidates.
+    * Candidates are first the nodes of a band with one of them, its centre, which is
+      linear in the number of nodes. While bands hold several components and many pairs
+      across them, another centre is tried, then for each member outside the band's
+      largest component the few others that look most like it. Last, each such member is
+      compared with all members of other components, in blocks, by signature. So every
+      pair of a band is linked, in one component already, or compared.
     * Candidates whose signatures agree well enough (four deviations below the
       threshold) are confirmed on their full sets of 64-bit shingle hashes.
     * Components come from alternating large-star and small-star.
@@ -132,20 +194,13 @@ def near_duplicates(
     texts = docs.select(F.col(id_col).alias("__id"), F.col(text_col).alias("__text"))
     kind = texts.schema["__id"].dataType.simpleString()
     signed = written(
-        texts.mapInArrow(
-            _sign(shingle_words, bands * rows),
-            f"__id {kind}, n_shingles long, __node long, __sign binary",
-        ),
+        texts.mapInArrow(_sign(shingle_words, minima), f"__id {kind}, n_shingles long, __node long, __sign binary"),
         "signatures",
     )
     nodes = written(
         signed.where("__node is not null")
         .groupBy(F.col("__node").alias("node"))
-        .agg(
-            F.min("__id").alias("least_id"),
-            F.first("n_shingles").alias("n"),
-            F.first("__sign").alias("sign"),
-        ),
+        .agg(F.min("__id").alias("least_id"), F.first("n_shingles").alias("n"), F.first("__sign").alias("sign")),
         "nodes",
     )
 
@@ -154,51 +209,82 @@ def near_duplicates(
         F.sequence(F.lit(0), F.lit(bands - 1)),
         lambda i: F.xxhash64(i, F.substring("sign", i * step + 1, F.lit(step))),
     )
-    banded = nodes.select("node", F.explode(keys).alias("band"))
+    banded = nodes.select("node", F.posexplode(keys).alias("number", "band"))
     centres = banded.groupBy("band").agg(F.min("node").alias("centre"), F.count(F.lit(1)).alias("n"))
-    centres = centres.where("n > 1").drop("n")
-    members = written(banded.join(centres, "band").where("node <> centre"), "members")
-
-    spread = (percent / 100 * (1 - percent / 100) / (bands * rows)) ** 0.5
+    members = written(banded.join(centres.where("n > 1").drop("n"), "band"), "members")
+    # Full sets of all nodes that share a band; they are needed for any confirmation.
+    needed = nodes.join(members.select("node").distinct(), "node", "left_semi")
+    needed = needed.where("least_id is not null").select("least_id").distinct()
+    wanted = texts.join(needed, texts["__id"] == needed["least_id"]).select("__text")
+    sets = wanted.mapInArrow(_sets(shingle_words), "node long, members array<long>")
+    sets = written(sets.groupBy("node").agg(F.first("members").alias("members")), "sets")
+
+    spread = (percent / 100 * (1 - percent / 100) / minima) ** 0.5
     least = percent / 100 - 4 * spread
-    sides = nodes.select("node", "n", "sign")
 
-    def confirmed(pairs: DataFrame, label: str) -> DataFrame:
-        """Of distinct pairs ``(u, v)``, those whose sets are alike enough."""
-        u = sides.select(F.col("node").alias("u"), F.col("n").alias("n_u"), F.col("sign").alias("sign_u"))
-        v = sides.select(F.col("node").alias("v"), F.col("n").alias("n_v"), F.col("sign").alias("sign_v"))
+    def alike(pairs: DataFrame) -> DataFrame:
+        """Of distinct pairs ``(u, v)``, those whose sizes and signatures allow a link."""
+        u = nodes.select(F.col("node").alias("u"), F.col("n").alias("n_u"), F.col("sign").alias("sign_u"))
+        v = nodes.select(F.col("node").alias("v"), F.col("n").alias("n_v"), F.col("sign").alias("sign_v"))
         sized = pairs.join(u, "u").join(v, "v")
         sized = sized.where(F.lit(100) * F.least("n_u", "n_v") >= F.lit(percent) * F.greatest("n_u", "n_v"))
-        alike = written(
-            sized.select("u", "v", "sign_u", "sign_v").mapInArrow(_alike(least), "u long, v long"),
-            f"{label}-alike",
-        )
-        needed = alike.select(F.col("u").alias("node")).unionByName(alike.select(F.col("v").alias("node")))
-        needed = nodes.join(needed.distinct(), "node").where("least_id is not null").select("least_id").distinct()
-        wanted = texts.join(needed, texts["__id"] == needed["least_id"]).select("__text")
-        sets = wanted.mapInArrow(_sets(shingle_words), "node long, members array<long>")
-        sets = written(sets.groupBy("node").agg(F.first("members").alias("members")), f"{label}-sets")
-        both = alike.join(sets.select(F.col("node").alias("u"), F.col("members").alias("set_u")), "u").join(
-            sets.select(F.col("node").alias("v"), F.col("members").alias("set_v")), "v"
-        )
+        return sized.select("u", "v", "sign_u", "sign_v").mapInArrow(_alike(least), "u long, v long")
+
+    def confirmed(pairs: DataFrame) -> DataFrame:
+        """Of distinct pairs ``(u, v)``, those whose sets are alike enough."""
+        u = sets.select(F.col("node").alias("u"), F.col("members").alias("set_u"))
+        v = sets.select(F.col("node").alias("v"), F.col("members").alias("set_v"))
         shared = F.size(F.array_intersect("set_u", "set_v"))
         union = F.size("set_u") + F.size("set_v") - shared
+        both = pairs.join(u, "u").join(v, "v")
         return both.where(F.lit(100) * shared >= F.lit(percent) * union).select("u", "v")
 
-    first = members.select(F.col("node").alias("u"), F.col("centre").alias("v")).distinct()
-    edges = written(confirmed(first, "first"), "edges")
-    roots = components(edges)
-
-    placed = members.join(roots, "node", "left").select("band", "node", F.coalesce("root", "node").alias("root"))
-    mixed = placed.groupBy("band").agg(F.min("root").alias("low"), F.max("root").alias("high"))
-    mixed = placed.join(mixed.where("low <> high").select("band"), "band")
-    a = mixed.select("band", F.col("node").alias("u"), F.col("root").alias("root_u"))
-    b = mixed.select("band", F.col("node").alias("v"), F.col("root").alias("root_v"))
-    second = written(a.join(b, "band").where("root_u < root_v").select("u", "v").distinct(), "second")
-    if not second.isEmpty():
-        more = written(confirmed(second, "second"), "more-edges")
-        if not more.isEmpty():
-            roots = components(edges.unionByName(more))
+    pairs = members.where("node <> centre").select(F.col("node").alias("u"), F.col("centre").alias("v")).distinct()
+    edges: DataFrame | None = None
+    phase = "centre"
+    while True:
+        more = written(confirmed(alike(pairs) if phase in ("centre", "other centre") else pairs), "edges")
+        edges = more if edges is None else edges.unionByName(more)
+        roots = components(edges)
+        if phase == "all":
+            break
+        placed = members.join(roots, "node", "left")
+        placed = placed.select("band", "number", "node", F.coalesce("root", "node").alias("root"))
+        parts = placed.groupBy("band", "root").agg(F.count(F.lit(1)).alias("n"))
+        mixed = parts.groupBy("band").agg(
+            F.sum("n").alias("size"),
+            F.max(F.struct("n", "root")).alias("main"),
+            (F.pow(F.sum("n"), 2) - F.sum(F.col("n") * F.col("n"))).alias("across"),
+        )
+        mixed = mixed.where("across > 0")
+        across, size = mixed.agg(F.sum("across"), F.sum("size")).first()
+        if not across:
+            break
+        placed = written(placed.join(mixed, "band"), "mixed")
+        # Tries that are linear in the members come first while the pairs are many.
+        tries = {"centre": "other centre", "other centre": "best", "best": "all"}
+        phase = tries[phase] if across > 4 * size else "all"
+        if phase == "other centre":
+            centre = placed.groupBy("band").agg(
+                F.min_by(F.struct("node", "root"), F.xxhash64("node", F.lit(1))).alias("centre")
+            )
+            pairs = placed.join(centre, "band").where("root <> centre.root")
+            u, v = F.col("node"), F.col("centre.node")
+            pairs = pairs.select(F.least(u, v).alias("u"), F.greatest(u, v).alias("v")).distinct()
+            continue
+        blocks = F.ceil(F.col("size") / BLOCK).cast("int")
+        chunks_of = F.ceil((F.col("size") - F.col("main.n")) / BLOCK).cast("int")
+        own = F.pmod(F.xxhash64("node"), blocks).cast("int")
+        part = F.pmod(F.xxhash64("node", F.lit("chunk")), chunks_of).cast("int")
+        kept = ["band", "number", "node", "root"]
+        member = placed.select(*kept, own.alias("block"), F.explode(F.sequence(F.lit(0), chunks_of - 1)).alias("chunk"))
+        stray = placed.where("root <> main.root")
+        stray = stray.select(*kept, F.explode(F.sequence(F.lit(0), blocks - 1)).alias("block"), part.alias("chunk"))
+        both = member.withColumn("stray", F.lit(False)).unionByName(stray.withColumn("stray", F.lit(True)))
+        both = both.join(nodes.select("node", "sign"), "node").repartition("band", "block", "chunk")
+        both = both.sortWithinPartitions("band", "block", "chunk")
+        look = _across(bands, rows, least, BEST if phase == "best" else None)
+        pairs = written(both.mapInArrow(look, "u long, v long").distinct(), "across")
 
     known = nodes.join(roots, "node", "left").select("node", "least_id", F.coalesce("root", "node").alias("root"))
     smallest = known.groupBy("root").agg(F.min("least_id").alias("component_id"))
