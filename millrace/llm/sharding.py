@@ -14,9 +14,10 @@ _BITS = 62
 
 def ring(spark: SparkSession, shards: int, virtual: int) -> list[tuple[int, int]]:
     """``(position, shard)`` of every virtual node, clockwise. Its size is given by the parameters."""
+    shard, copy = (F.col("id") / virtual).cast("int"), F.col("id") % virtual
     nodes = spark.range(shards * virtual).select(
-        F.shiftrightunsigned(F.xxhash64(F.lit("ring"), "id"), 64 - _BITS).alias("position"),
-        (F.col("id") % shards).cast("int").alias("shard"),
+        F.shiftrightunsigned(F.xxhash64(F.lit("ring"), shard, copy), 64 - _BITS).alias("position"),
+        shard.alias("shard"),
     )
     return sorted((row.position, row.shard) for row in nodes.collect())
 
@@ -26,26 +27,34 @@ def walk(
 ) -> list[tuple[int, int, int, int, int]]:
     """``(ring slot, first rank, end rank, shard, first place)`` of every run of keys.
 
-    Slots are taken clockwise. The keys of a slot go to the first virtual node at or after
-    the slot; those that find its shard full go on clockwise. Shard ``s`` holds
-    ``n // shards`` keys, one more if ``s < n % shards``, so every key finds a place.
+    The keys of a slot belong to the first virtual node at or after the slot, and its
+    shard takes them, slot by slot, until it is full. Keys that a full shard could not take
+    then go on clockwise to the next node whose shard has room, so they push out no others
+    and few keys move when a shard is added. Shard ``s`` holds ``n // shards`` keys, one
+    more if ``s < n % shards``, so every key finds a place.
     """
     total = sum(counts.values())
     room = [total // shards + (s < total % shards) for s in range(shards)]
     taken = [0] * shards
     positions = [position for position, _ in nodes]
-    runs = []
+    runs, over = [], []
+
+    def take(slot: int, low: int, left: int, shard: int) -> int:
+        fits = min(left, room[shard] - taken[shard])
+        if fits:
+            runs.append((slot, low, low + fits, shard, taken[shard]))
+            taken[shard] += fits
+        return fits
+
     for slot in sorted(counts):
         at = bisect_left(positions, slot * ((1 << _BITS) // slots))
-        low, left, steps = 0, counts[slot], 0
-        while left:
-            shard = nodes[(at + steps) % len(nodes)][1]
-            fits = min(left, room[shard] - taken[shard])
-            if fits:
-                runs.append((slot, low, low + fits, shard, taken[shard]))
-                taken[shard] += fits
-                low, left = low + fits, left - fits
-            steps += 1
+        fits = take(slot, 0, counts[slot], nodes[at % len(nodes)][1])
+        if fits < counts[slot]:
+            over.append((slot, at, fits))
+    for slot, at, low in over:
+        while low < counts[slot]:
+            at += 1
+            low += take(slot, low, counts[slot] - low, nodes[at % len(nodes)][1])
     return runs
 
 
@@ -54,20 +63,20 @@ def assign_shards(
     id_col: str = "doc_id",
     text_col: str = "text",
     shards: int = 24,
-    virtual: int = 64,
+    virtual: int = 256,
     slots: int = 1 << 14,
 ) -> DataFrame:
     """One row per document: ``(id, size, text_crc32, shard, slot)``.
 
     The ring is cut into ``slots`` equal pieces; a document's id, CRC and size give its
     place on it. ``shards * virtual`` virtual nodes lie on the ring. Loads are bounded by
-    the row count: every shard gets as many rows as any other, or one less, and a full
-    shard's further rows go on clockwise. ``slot`` counts the rows of a shard from 0.
+    the row count: every shard gets as many rows as any other, or one less, and rows that
+    find their shard full go on clockwise. ``slot`` counts the rows of a shard from 0.
 
     Only the number of rows per ring slot and the runs that follow from it are held by
     the driver; both are bounded by ``slots`` and ``shards``, not by the documents. A
-    shard more moves the keys that its nodes take over, and those that the smaller room
-    of each shard pushes on.
+    shard more moves the keys that its nodes take over, and some of those that find no
+    room; the others stay.
 
     ``size`` is the UTF-8 length plus 8; a null text has CRC 0 and size 8, as has an
     empty one. Null ids have a place like any other id. Repeated rows are counted before
