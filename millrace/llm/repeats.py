@@ -9,10 +9,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from millrace.llm.joins import release
 from millrace.llm.text import Words, chunks, grams, split_words
 from millrace.session import written
 
-SEED_WORDS = 4
+SEED_WORDS = 5
 
 
 def _seeds(words: Words, window: int) -> tuple[np.ndarray, np.ndarray]:
@@ -53,12 +54,12 @@ def _seed_rows(window: int):
 
 def _window_rows(window: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in chunks(batches, 2):
-            words = split_words(part.column(2))
+        for part in chunks(batches, 1):
+            words = split_words(part.column(1))
             first, seed = _seeds(words, window)
-            value, at = grams(words, window)
+            value, _ = grams(words, window)
             row = words.row[first]
-            lists = part.column(3)
+            lists = part.column(2)
             ends = lists.offsets.to_numpy()
             wanted = lists.values.to_numpy(zero_copy_only=False).view(np.uint64)
             keep = np.zeros(len(first), dtype=bool)
@@ -66,15 +67,8 @@ def _window_rows(window: int):
             for i in range(part.num_rows):
                 own = slice(bounds[i], bounds[i + 1])
                 keep[own] = np.isin(seed[own], wanted[ends[i] : ends[i + 1]])
-            row, first, value = row[keep], first[keep], value[keep]
             yield pa.record_batch(
-                [
-                    part.column(0).take(pa.array(row)),
-                    part.column(1).take(pa.array(row)),
-                    pa.array((first - words.first[row]).astype(np.int32)),
-                    pa.array(value.view(np.int64)),
-                ],
-                names=["id", "mark", "place", "window"],
+                [part.column(0).take(pa.array(row[keep])), pa.array(value[keep].view(np.int64))], names=["id", "window"]
             )
 
     return run
@@ -93,24 +87,31 @@ def _spans(places: np.ndarray, window: int) -> list[tuple[int, int]]:
 
 def _cut(window: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            counts, removed, kept, spans = [], [], [], []
-            for text, places in zip(batch.column(1), batch.column(2)):
+        for part in chunks(batches, 1):
+            found = split_words(part.column(1))
+            value, at = grams(found, window)
+            bounds = np.searchsorted(at, found.first)
+            removed, kept, spans = [], [], []
+            for i, (text, gone) in enumerate(zip(part.column(1), part.column(2))):
+                own = slice(bounds[i], bounds[i + 1])
+                hit = np.empty(0, np.int64)
+                if gone.is_valid:
+                    marked = gone.values.to_numpy(zero_copy_only=False).view(np.uint64)
+                    hit = at[own][np.isin(value[own], marked)] - found.first[i]
+                ranges = _spans(hit, window)
                 words = (text.as_py() or "").encode().split()
-                found = _spans(places.values.to_numpy() if places.is_valid else np.empty(0, np.int32), window)
                 left, last = [], 0
-                for first, end in found:
+                for first, end in ranges:
                     left += words[last:first]
                     last = end
                 left += words[last:]
-                counts.append(len(words))
                 removed.append(len(words) - len(left))
                 kept.append(b" ".join(left).decode())
-                spans.append([{"first": a, "end": b} for a, b in found])
+                spans.append([{"first": a, "end": b} for a, b in ranges])
             yield pa.record_batch(
                 [
-                    batch.column(0),
-                    pa.array(counts, pa.int64()),
+                    part.column(0),
+                    pa.array(np.diff(found.first), pa.int64()),
                     pa.array(removed, pa.int64()),
                     pa.array(kept, pa.string()),
                     pa.array(spans, pa.list_(pa.struct([("first", pa.int32()), ("end", pa.int32())]))),
@@ -135,7 +136,8 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     * Extension: the windows around a shared seed, which reach up to ``window -
       SEED_WORDS`` words to either side, are compared by a hash of all their words. Each
       distinct window keeps its least id, so a passage that very many documents share
-      costs a row per occurrence and no pairs.
+      costs a row per occurrence and no pairs. Whether a window goes depends on it and
+      the id alone, so its hash says where: no places are moved.
 
     Hashes have 64 bits. Null and empty texts have no words. A null id is neither smaller
     nor larger than any other: its rows lose nothing and take nothing. Rows with the same
@@ -151,16 +153,16 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     shared = shared.where("low < high").select("seed")
     listed = seeds.join(shared, "seed").groupBy("id").agg(F.collect_list("seed").alias("seeds"))
     listed = written(listed, "seeds")
-    marked = texts.select("id", F.xxhash64("text").alias("mark"), "text")
-    windows = written(
-        marked.join(listed, "id").mapInArrow(_window_rows(window), f"id {kind}, mark long, place int, window long"),
-        "windows",
-    )
+    release(docs.sparkSession)
+    windows = texts.join(listed, "id").mapInArrow(_window_rows(window), f"id {kind}, window long")
+    windows = written(windows, "windows")
+    release(docs.sparkSession)
     first = windows.groupBy("window").agg(F.min("id").alias("low"), F.max("id").alias("high"))
     first = first.where("low < high").select("window", "low")
     found = windows.join(first, "window").where("id > low")
-    found = found.groupBy("id", "mark").agg(F.collect_list("place").alias("places"))
-    cut = marked.join(found, ["id", "mark"], "left").select("id", "text", "places")
+    found = written(found.groupBy("id").agg(F.collect_list("window").alias("gone")), "repeats")
+    release(docs.sparkSession)
+    cut = texts.join(found, "id", "left").select("id", "text", "gone")
     done = cut.mapInArrow(
         _cut(window),
         f"id {kind}, n_words long, n_removed long, kept string, spans array<struct<first:int,end:int>>",
