@@ -67,12 +67,12 @@ def redistribute(
 ) -> DataFrame:
     """Repartition by a count, by columns, or by both; by neither it is a no-op.
 
-    By columns alone Spark sizes the partitions: it joins small ones and splits that of a
-    value with much of the data.
+    With columns Spark sizes the partitions: it joins small ones and splits that of a
+    value with much of the data. A count then is the number it starts from.
     """
     names = field_names(columns)
     if count not in (None, ""):
-        return df.repartition(int(count), *[quoted(name) for name in names])
+        return df.hint("rebalance", int(count), *names) if names else df.repartition(int(count))
     return df.hint("rebalance", *names) if names else df
 
 

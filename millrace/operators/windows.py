@@ -2,8 +2,8 @@
 
 A plain window puts all rows of a group into one task. Here group counts are
 aggregated before they are joined back, ranks are limited before the shuffle, and
-running values of a large group work on ranges of it. How large the groups are is
-looked up first, so building a running value starts a job.
+running values work on ranges of (group, order) that are written once, so building
+one starts jobs.
 """
 
 from __future__ import annotations
@@ -22,8 +22,9 @@ from millrace.session import written
 _KEY = "__key"
 _RANGE = "__range"
 
-# Groups up to this many rows are left to a plain window.
-ROWS_PER_TASK = 5_000_000
+# About how many rows a range of a running value holds.
+ROWS_PER_RANGE = 1_000_000
+_RESERVED = (_KEY, _RANGE, "__part", "__before", "__inside", "__carried", "__next")
 
 
 def _group_key(keys: str | Sequence[str]) -> Column:
@@ -54,47 +55,42 @@ def top_per_group(
     return df.withColumn(name, F.rank().over(window)).filter(F.col(name) <= limit)
 
 
-def _largest_group(rows: DataFrame) -> int:
-    sizes = rows.groupBy(_KEY).agg(F.count(F.lit(1)).alias("n"))
-    return sizes.agg(F.max("n")).first()[0] or 0
+def _in_ranges(df: DataFrame, keys: str | Sequence[str], order_by) -> DataFrame:
+    """The rows with their group key and the number of their range of (group, order).
 
-
-def _in_ranges(rows: DataFrame, order_by: Sequence[str]) -> DataFrame:
-    """Number the ranges of (group, order) that Spark spreads the rows over.
-
-    A range holds about one shuffle partition, so a large group spans many of them, and
-    within a group the number grows along the order. The rows are written once: Spark
-    samples for the ranges, and every later step must see the same ones.
+    There are as many ranges as the rows need, so a large group spans several, and within
+    a group the number grows along the order. The rows are written once: Spark samples
+    for the ranges, and every later step must see the same ones.
     """
-    count = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    taken = [name for name in df.columns if name.lower() in _RESERVED]
+    if taken:
+        raise ValueError(f"columns {taken} are reserved for running values")
+    rows = df.withColumn(_KEY, _group_key(keys))
+    count = -(-df.count() // ROWS_PER_RANGE) or 1
     spread = rows.repartitionByRange(count, F.col(_KEY), *order_columns(order_by))
     return written(spread.withColumn(_RANGE, F.spark_partition_id()), "ranges")
 
 
-def _within(order_by: Sequence[str], *groups: str) -> WindowSpec:
+def _within(order_by, *groups: str) -> WindowSpec:
     return W.partitionBy(*groups).orderBy(*order_columns(order_by))
 
 
 def running_total(
     df: DataFrame,
     keys: str | Sequence[str],
-    order_by: Sequence[str],
+    order_by,
     value: str,
     name: str = "running_total",
-    rows_per_task: int = ROWS_PER_TASK,
 ) -> DataFrame:
     """Sum of ``value`` over the group's rows up to and including this one.
 
-    ``order_by`` lists ascending columns that together order the rows of a group fully.
-    Where a group has more than ``rows_per_task`` rows, ranges are summed apart, and each
-    starts from the sum of the ranges before it.
+    ``order_by`` takes what ``order_columns`` takes and orders the rows of a group fully.
+    Ranges are summed apart, and each starts from the sum of the ranges before it. The
+    result has the type of a plain sum.
     """
-    rows = df.withColumn(_KEY, _group_key(keys))
+    rows = _in_ranges(df, keys, order_by)
     amount, so_far = F.sum(quoted(value)), (W.unboundedPreceding, W.currentRow)
-    if _largest_group(rows) <= rows_per_task:
-        total = amount.over(_within(order_by, _KEY).rowsBetween(*so_far))
-        return rows.withColumn(name, total).drop(_KEY)
-    rows = _in_ranges(rows, order_by)
+    kind = df.select(amount.alias("sum")).schema["sum"].dataType
     earlier = W.partitionBy(_KEY).orderBy(_RANGE).rowsBetween(W.unboundedPreceding, -1)
     before = (
         rows.groupBy(_KEY, _RANGE)
@@ -106,7 +102,7 @@ def running_total(
     return (
         rows.withColumn("__part", part)
         .join(before, [_KEY, _RANGE], "left")
-        .withColumn(name, total)
+        .withColumn(name, total.cast(kind))
         .drop(_KEY, _RANGE, "__part", "__before")
     )
 
@@ -114,24 +110,19 @@ def running_total(
 def previous_value(
     df: DataFrame,
     keys: str | Sequence[str],
-    order_by: Sequence[str],
+    order_by,
     value: str,
     name: str = "previous_value",
-    rows_per_task: int = ROWS_PER_TASK,
 ) -> DataFrame:
     """``value`` of the group's row before this one, NULL for the first.
 
-    The order and the handling of large groups are as for ``running_total``. The first
-    row of a range takes the last value of the nearest range before it.
+    The order and the ranges are as for ``running_total``. The first row of a range takes
+    the last value of the nearest range before it.
     """
-    rows = df.withColumn(_KEY, _group_key(keys))
-    if _largest_group(rows) <= rows_per_task:
-        before = F.lag(quoted(value)).over(_within(order_by, _KEY))
-        return rows.withColumn(name, before).drop(_KEY)
-    rows = _in_ranges(rows, order_by)
+    rows = _in_ranges(df, keys, order_by)
     boxed = F.struct(quoted(value).alias("v"))
-    place = F.struct(*[quoted(column) for column in order_by])
-    last = rows.groupBy(_KEY, _RANGE).agg(F.max_by(boxed, place).alias("__last"))
+    after = F.lead(F.lit(1)).over(_within(order_by, _KEY, _RANGE))
+    last = rows.withColumn("__next", after).where("__next is null").select(_KEY, _RANGE, boxed.alias("__last"))
     carried = last.select(
         _KEY, _RANGE, F.lag("__last").over(_within([_RANGE], _KEY)).alias("__carried")
     )

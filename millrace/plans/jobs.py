@@ -21,7 +21,7 @@ from millrace.operators.rules import apply_rules
 from millrace.operators.transform import identity_mapping, map_columns, strip_family
 from millrace.plans.script import drop_views, run_script, view_names, view_of
 from millrace.schema import field_names
-from millrace.session import job_group, private_session
+from millrace.session import job_group, private_session, written
 from millrace.sinks import write_sink
 from millrace.sources import source_frame
 from millrace.sources.registry import STREAM_TYPES
@@ -135,6 +135,8 @@ def read_mapped(
     df = select_rows(df, None, info.get("duplicate_columns"), info.get("duplicate_order_by"))
     report = None
     if str(info.get("enable_quality", "off")).strip() == "on":
+        # Checked and loaded from one read: duplicates may stay otherwise another time.
+        df = written(df, "gated")
         checks = inline_quality(df, InlineSpec.from_task(info, mapping))
         report = checks.first().asDict()
         if keep_report:
@@ -354,6 +356,8 @@ def run_quality(
         rules = info.get("quality_rule_config") or []
         rules = json.loads(rules) if isinstance(rules, str) else rules
         report = quality_report(rule_quality(df, rules))
+        # One row per rule of the task: computed once, whoever asks for it.
+        report = own.createDataFrame(report.collect(), report.schema)
         keep_report = report_keeper(task, info)
         if keep_report:
             keep_report(report)

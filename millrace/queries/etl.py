@@ -601,13 +601,11 @@ def dedup_first(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "dedup_keys",
-    "SELECT DISTINCT l_orderkey, l_linenumber FROM lineitem WHERE l_returnflag = 'R'",
+    "SELECT DISTINCT l_orderkey, l_linenumber FROM lineitem",
 )
 def dedup_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Which row stays is open, so only the key columns are shown."""
-    rows = select_rows(
-        table(spark, sf_dir, "lineitem"), "l_returnflag = 'R'", "l_orderkey,l_linenumber"
-    )
+    rows = select_rows(table(spark, sf_dir, "lineitem"), None, "l_orderkey,l_linenumber")
     return rows.select("l_orderkey", "l_linenumber")
 
 

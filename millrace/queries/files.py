@@ -257,7 +257,7 @@ def save_modes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "partitioned_write",
-    "SELECT o_orderkey, o_totalprice, o_orderstatus, o_orderpriority FROM orders WHERE o_orderstatus = 'O'",
+    "SELECT o_orderkey, o_totalprice, o_orderstatus, o_orderpriority FROM orders",
 )
 def partitioned_write(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = scratch_dir(spark, "parts") + "/orders"
@@ -271,7 +271,7 @@ def partitioned_write(spark: SparkSession, sf_dir: str) -> DataFrame:
         partition_by="o_orderstatus,o_orderpriority",
         merge="auto",
     )
-    return _read(spark, out, "parquet", where="o_orderstatus = 'O'")
+    return _read(spark, out, "parquet")
 
 
 @query(

@@ -32,8 +32,7 @@ def sql_query(name: str, tables: str, text: str, oracle: str | None = None) -> N
 sql_query(
     "join_inner",
     "orders customer",
-    """SELECT o_orderkey, c_name, c_mktsegment FROM orders JOIN customer ON o_custkey = c_custkey
-       WHERE o_orderpriority = '1-URGENT'""",
+    """SELECT o_orderkey, c_name, c_mktsegment FROM orders JOIN customer ON o_custkey = c_custkey""",
 )
 sql_query(
     "join_left",
@@ -53,7 +52,7 @@ sql_query(
 sql_query(
     "join_right",
     "nation region",
-    """SELECT r_name, n_name FROM (SELECT * FROM nation WHERE n_nationkey > 12) n
+    """SELECT r_name, n_name FROM nation
        RIGHT JOIN region ON n_regionkey = r_regionkey""",
 )
 sql_query(
@@ -85,13 +84,13 @@ sql_query(
          FROM lineitem GROUP BY l_orderkey),
        per_customer AS (
          SELECT o_custkey, sum(line_count) AS line_count, sum(price) AS price
-         FROM per_order JOIN orders ON l_orderkey = o_orderkey WHERE o_orderstatus = 'F' GROUP BY o_custkey)
+         FROM per_order JOIN orders ON l_orderkey = o_orderkey GROUP BY o_custkey)
        SELECT c_mktsegment, sum(line_count) AS line_count, CAST(sum(price) AS DOUBLE) AS price
        FROM per_customer JOIN customer ON o_custkey = c_custkey GROUP BY c_mktsegment""",
     """SELECT c_mktsegment, count(*) AS line_count,
               CAST(sum(CAST(l_extendedprice AS DECIMAL(14,2))) AS DOUBLE) AS price
        FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey
-       WHERE o_orderstatus = 'F' GROUP BY c_mktsegment""",
+       GROUP BY c_mktsegment""",
 )
 sql_query(
     "agg_group_count",
@@ -171,8 +170,8 @@ sql_query(
 sql_query(
     "set_intersect",
     "lineitem part",
-    """SELECT l_partkey AS partkey FROM (SELECT DISTINCT l_partkey FROM lineitem WHERE l_quantity = 1)
-       INTERSECT SELECT p_partkey FROM part WHERE p_size < 25""",
+    """SELECT l_partkey AS partkey FROM (SELECT DISTINCT l_partkey FROM lineitem)
+       INTERSECT SELECT p_partkey FROM part""",
 )
 sql_query(
     "set_except",

@@ -11,7 +11,6 @@ from millrace.functions.text import quoted, real_separator
 from millrace.modes import save_mode
 from millrace.operators.rows import compact
 from millrace.schema import field_names
-from millrace.session import hadoop_path, session_conf
 from millrace.sources.connectors import hudi_sink
 from millrace.sources.files import format_name, full_path, spark_options
 
@@ -55,31 +54,13 @@ def write_files(df: DataFrame, options: Mapping[str, object]) -> str | None:
 def export_file(
     df: DataFrame, path: str, kind: str = "csv", options: Mapping[str, str] | None = None
 ) -> str:
-    """Write under a file name and return it.
+    """Write a folder of that name and return it.
 
-    Spark sizes the partitions. Data that fit one partition become one file of that name;
-    more data become a folder of that name with a file per partition, each with its
-    header, so no task writes the whole. The size is
-    ``spark.sql.adaptive.advisoryPartitionSizeInBytes``. What had the name before is
-    replaced.
+    Whatever the size, the export is a folder with a file per partition, each with its
+    header if one is asked for, written straight to its place. Spark sizes the files.
+    What had the name before is replaced.
     """
-    spark = df.sparkSession
-    staging = f"{path}.writing"
-    by_size = {
-        "spark.sql.adaptive.enabled": "true",
-        "spark.sql.adaptive.coalescePartitions.enabled": "true",
-        "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
-    }
-    with session_conf(spark, by_size):
-        writer = df.hint("rebalance").write.format(kind).mode("overwrite")
-        writer.options(**dict(options or {})).save(staging)
-    store, folder = hadoop_path(spark, staging)
-    _, target = hadoop_path(spark, path)
-    parts = [f.getPath() for f in store.listStatus(folder) if f.getPath().getName().startswith("part-")]
-    store.delete(target, True)
-    if not store.rename(parts[0] if len(parts) == 1 else folder, target):
-        raise OSError(f"could not name the export {path}")
-    store.delete(folder, True)
+    df.hint("rebalance").write.format(kind).mode("overwrite").options(**dict(options or {})).save(path)
     return path
 
 

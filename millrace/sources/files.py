@@ -216,7 +216,7 @@ def newest_file(spark: SparkSession, path: str) -> str:
     store, folder = hadoop_path(spark, path)
     root = store.makeQualified(folder).toString().rstrip("/") + "/"
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
-    entry = F.substring_index(F.substring("path", len(root) + 1, 1_000_000), "/", 1)
+    entry = F.substring_index(F.expr(f"substring(path, {len(root) + 1})"), "/", 1)
     changed = files.groupBy(entry.alias("entry")).agg(F.max("modificationTime").alias("changed"))
     newest = changed.orderBy(F.desc("changed"), F.desc("entry")).first()
     if newest is None:

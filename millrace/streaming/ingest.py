@@ -33,6 +33,8 @@ def message_stream(spark: SparkSession, kind: str, options: Mapping[str, object]
         stream = spark.readStream.format(link.format).options(**link.options).load()
         return stream.select(F.col("value").cast("string").alias("value"))
     limits = {key: str(options[key]) for key in FILE_LIMITS if options.get(key)}
+    # By default Spark leaves out files a week older than the newest; here a task asks for that.
+    limits.setdefault("maxFileAge", "36500d")
     return spark.readStream.schema("value string").options(**limits).text(full_path(options))
 
 
@@ -141,15 +143,19 @@ def running_stream(name: str) -> StreamingQuery | None:
     return query if query is not None and query.isActive else None
 
 
-def stop_stream(name: str, finish: bool = True, timeout: float = 60.0) -> bool:
-    """Stop a stream by name; with ``finish`` the batch it is in ends first."""
+def stop_stream(name: str, finish: bool = True, timeout: float | None = None) -> bool:
+    """Stop a stream by name; with ``finish`` the batch it is in ends first.
+
+    If it has not ended within ``timeout`` seconds, the stream is left running and the
+    answer is ``False``. Without a timeout it is waited for.
+    """
     query = running_stream(name)
     if query is None:
         return False
-    deadline = time.monotonic() + timeout
+    deadline = None if timeout is None else time.monotonic() + timeout
     while finish and query.isActive and query.status["isTriggerActive"]:
-        if time.monotonic() > deadline:
-            break
+        if deadline is not None and time.monotonic() > deadline:
+            return False
         time.sleep(0.05)
     query.stop()
     _STARTED.pop(name, None)

@@ -35,7 +35,7 @@ def test_ordered_dedup_limits_a_hot_key_before_the_shuffle(spark):
 
 
 @pytest.mark.parametrize(
-    ("count", "columns", "partitions"), [("3", "", 3), (5, "id", 5), ("", "id", None), (None, None, 2)]
+    ("count", "columns", "partitions"), [("3", "", 3), (5, "id", None), ("", "id", None), (None, None, 2)]
 )
 def test_redistribute(spark, count, columns, partitions):
     df = redistribute(spark.range(0, 100, 1, 2), count, columns)
