@@ -41,8 +41,8 @@ def _signatures(found: list[np.ndarray], minima: int) -> np.ndarray:
 
 def _sign(size: int, minima: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in chunks(batches, 1):
-            found = shingles(split_words(part.column(1), lower=True), size)
+        for part in chunks(batches, 2):
+            found = shingles(split_words(part.column(2), lower=True), size)
             full = [i for i, own in enumerate(found) if len(own)]
             sign: list[bytes | None] = [None] * len(found)
             node: list[int | None] = [None] * len(found)
@@ -52,11 +52,12 @@ def _sign(size: int, minima: int):
             yield pa.record_batch(
                 [
                     part.column(0),
+                    part.column(1),
                     pa.array([len(own) for own in found], pa.int64()),
                     pa.array(node, pa.int64()),
                     pa.array(sign, pa.binary()),
                 ],
-                names=["__id", "n_shingles", "__node", "__sign"],
+                names=["__id", "__at", "n_shingles", "__node", "__sign"],
             )
 
     return run
@@ -154,14 +155,7 @@ def _across(bands: int, rows: int, least: float, best: int | None):
 
 
 def near_duplicates(
-    docs: DataFrame,
-    id_col: str = "doc_id",
-    text_col: str = "text",
-    shingle_words: int = 5,
-    percent: int = 80,
-    bands: int = 32,
-    rows: int = 5,
-    minima: int = 256,
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options
 ) -> DataFrame:
     """One row per document: ``(id, n_shingles, component_id, kept)``.
 
@@ -189,18 +183,49 @@ def near_duplicates(
     the result, with ``component_id`` null and ``kept`` true unless its group has an id,
     which then is the component's. Repeated rows are copies of each other: all rows with
     the id of the component are kept. Other columns are not read, whatever their names.
-    An empty table gives an empty result.
+    An empty table gives an empty result. The options are those of ``_grouped``.
     """
-    texts = docs.select(F.col(id_col).alias("__id"), F.col(text_col).alias("__text"))
+    signed, known = _grouped(docs, id_col, text_col, **options)
+    known = known.select("__node", F.col("first.id").alias("component_id"))
+    own = F.when(F.col("__node").isNull(), F.col("__id")).otherwise(F.col("component_id"))
+    return (
+        signed.select("__id", "n_shingles", "__node")
+        .join(known, "__node", "left")
+        .select(F.col("__id").alias(id_col), "n_shingles", own.alias("component_id"))
+        .withColumn("kept", F.coalesce(F.col(id_col) == F.col("component_id"), F.col("component_id").isNull()))
+    )
+
+
+def _grouped(
+    docs: DataFrame,
+    id_col: str,
+    text_col: str,
+    shingle_words: int = 5,
+    percent: int = 80,
+    bands: int = 32,
+    rows: int = 5,
+    minima: int = 256,
+) -> tuple[DataFrame, DataFrame]:
+    """Rows ``(__id, __at, n_shingles, __node, __sign)`` and, per node, the first row of its component.
+
+    ``__at`` is a hash of the text. ``first`` is ``(none, id, at)``: rows without id come
+    after all others, and rows of one id in the order of their hashes.
+    """
+    texts = docs.select(
+        F.col(id_col).alias("__id"), F.xxhash64(F.col(text_col)).alias("__at"), F.col(text_col).alias("__text")
+    )
     kind = texts.schema["__id"].dataType.simpleString()
     signed = written(
-        texts.mapInArrow(_sign(shingle_words, minima), f"__id {kind}, n_shingles long, __node long, __sign binary"),
+        texts.mapInArrow(
+            _sign(shingle_words, minima), f"__id {kind}, __at long, n_shingles long, __node long, __sign binary"
+        ),
         "signatures",
     )
+    first = F.struct(F.col("__id").isNull().alias("none"), F.col("__id").alias("id"), F.col("__at").alias("at"))
     nodes = written(
         signed.where("__node is not null")
         .groupBy(F.col("__node").alias("node"))
-        .agg(F.min("__id").alias("least_id"), F.first("n_shingles").alias("n"), F.first("__sign").alias("sign")),
+        .agg(F.min(first).alias("first"), F.first("n_shingles").alias("n"), F.first("__sign").alias("sign")),
         "nodes",
     )
 
@@ -214,8 +239,9 @@ def near_duplicates(
     members = written(banded.join(centres.where("n > 1").drop("n"), "band"), "members")
     # Full sets of all nodes that share a band; they are needed for any confirmation.
     needed = nodes.join(members.select("node").distinct(), "node", "left_semi")
-    needed = needed.where("least_id is not null").select("least_id").distinct()
-    wanted = texts.join(needed, texts["__id"] == needed["least_id"]).select("__text")
+    needed = needed.select(F.col("first.id").alias("needed_id"), F.col("first.at").alias("needed_at")).distinct()
+    same = texts["__id"].eqNullSafe(needed["needed_id"]) & (texts["__at"] == needed["needed_at"])
+    wanted = texts.join(needed, same).select("__text")
     sets = wanted.mapInArrow(_sets(shingle_words), "node long, members array<long>")
     sets = written(sets.groupBy("node").agg(F.first("members").alias("members")), "sets")
 
@@ -286,16 +312,9 @@ def near_duplicates(
         look = _across(bands, rows, least, BEST if phase == "best" else None)
         pairs = written(both.mapInArrow(look, "u long, v long").distinct(), "across")
 
-    known = nodes.join(roots, "node", "left").select("node", "least_id", F.coalesce("root", "node").alias("root"))
-    smallest = known.groupBy("root").agg(F.min("least_id").alias("component_id"))
-    known = known.join(smallest, "root").select(F.col("node").alias("__node"), "component_id")
-    own = F.when(F.col("__node").isNull(), F.col("__id")).otherwise(F.col("component_id"))
-    return (
-        signed.select("__id", "n_shingles", "__node")
-        .join(known, "__node", "left")
-        .select(F.col("__id").alias(id_col), "n_shingles", own.alias("component_id"))
-        .withColumn("kept", F.coalesce(F.col(id_col) == F.col("component_id"), F.col("component_id").isNull()))
-    )
+    known = nodes.join(roots, "node", "left").select("node", "first", F.coalesce("root", "node").alias("root"))
+    smallest = known.groupBy("root").agg(F.min("first").alias("first"))
+    return signed, known.drop("first").join(smallest, "root").select(F.col("node").alias("__node"), "first")
 
 
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:

@@ -111,6 +111,22 @@ def test_near_duplicates_edge(spark, edge, nothing):
     assert near_duplicates(nothing).count() == 0
 
 
+def test_near_copies_without_id(spark):
+    """Documents without id are linked like all others, and join the groups on their two sides."""
+    base = [f"b{i}" for i in range(100)]
+    near, far = [*base[:90], *(f"n{i}" for i in range(8))], [*base[8:90], *(f"n{i}" for i in range(8))]
+    alone = [f"c{i}" for i in range(60)]
+    rows = [(1, base), (None, near), (2, far), (None, alone), (None, [*alone, "more"]), (3, [f"d{i}" for i in range(9)])]
+    docs = spark.createDataFrame([(i, " ".join(own)) for i, own in rows], "doc_id long, text string")
+    sets = [shingle_set(" ".join(own), 1) for _, own in rows]
+    assert groups(dict(enumerate(sets))) == {0: 0, 1: 0, 2: 0, 3: 3, 4: 3, 5: 5}
+    assert groups({0: sets[0], 2: sets[2]}) == {0: 0, 2: 2}
+    found = near_duplicates(docs, shingle_words=1).collect()
+    assert sorted(((r.doc_id or 0), r.n_shingles, (r.component_id or 0), r.kept) for r in found) == [
+        (0, 60, 0, True), (0, 61, 0, True), (0, 98, 1, False), (1, 100, 1, True), (2, 90, 1, False), (3, 9, 3, True)
+    ]
+
+
 def test_near_copies_of_every_degree(spark):
     """A band-sharing group in which some pairs are linked and many are not."""
     rng = random.Random(5)
