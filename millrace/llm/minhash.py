@@ -320,20 +320,29 @@ def _grouped(
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """The documents, with all their columns, of which one stays per group (see ``near_duplicates``).
 
-    The one with the smallest id stays. Rows with an id that occurs repeatedly are
-    compared by id and text, and one of each stays; rows without id stay unless their
-    group has an id.
+    The one with the smallest id stays. Rows are told apart by id and text, so a repeated
+    id is decided for each of its texts; of several texts of that id in one group the one
+    whose hash is smallest stays, and of rows equal in both any one. A row without id
+    stays only in a group in which no row has one. Rows without words are in no group:
+    they stay, once per id and text where they have an id.
     """
-    result = written(near_duplicates(docs, id_col, text_col, **options).select(id_col, "component_id", "kept"), "kept")
-    # Rows without id that copy a document with one cannot be told apart by id.
-    gone = result.where(~F.col("kept") & F.col(id_col).isNotNull()).select(F.col(id_col).alias("__gone")).distinct()
-    gone = written(gone, "gone")
-    left = docs.join(small(gone, gone.count()), docs[id_col] == gone["__gone"], "left_anti")
-    again = result.where("kept").groupBy(F.col(id_col).alias("__again")).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    again = written(again.where("__again is not null").select("__again"), "again")
+    signed, known = _grouped(docs, id_col, text_col, **options)
+    rows = signed.groupBy("__id", "__at").agg(F.first("__node").alias("__node"), F.count(F.lit(1)).alias("n"))
+    leads = F.col("__id").eqNullSafe(F.col("first.id")) & (F.col("__at") == F.col("first.at"))
+    rows = rows.join(known, "__node", "left").withColumn("stays", F.col("__node").isNull() | leads)
+    rows = written(rows.select("__id", "__at", "__node", "n", "stays"), "kept")
+    key = ["__id", "__at"]
+
+    def same(left: DataFrame, some: DataFrame):
+        return left[id_col].eqNullSafe(some["__id"]) & (F.xxhash64(left[text_col]) == some["__at"])
+
+    gone = rows.where(~F.col("stays")).select(*key)
+    gone = small(gone, gone.count())
+    left = docs.join(gone, same(docs, gone), "left_anti")
+    again = rows.where("stays and n > 1 and (__node is not null or __id is not null)").select(*key)
     repeated = again.count()
     if not repeated:
         return left
     some = small(again, repeated)
-    once = left.join(some, left[id_col] == again["__again"], "left_semi").dropDuplicates([id_col, text_col])
-    return left.join(some, left[id_col] == again["__again"], "left_anti").unionByName(once)
+    once = left.join(some, same(left, some), "left_semi").dropDuplicates([id_col, text_col])
+    return left.join(some, same(left, some), "left_anti").unionByName(once)

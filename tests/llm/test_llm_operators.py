@@ -127,6 +127,20 @@ def test_near_copies_without_id(spark):
     ]
 
 
+def test_dropped_near_duplicates_are_rows(spark):
+    """A repeated id is decided text by text, and rows without id are copies like all others."""
+    a, b, c, d = (" ".join(f"{x}{i}" for i in range(40)) for x in "abcd")
+    rows = [(3, a), (5, a), (5, b), (5, b), (None, a), (None, a + " end"), *[(None, c)] * 30, (None, d)]
+    rows += [(6, ""), (6, ""), (6, None), (None, ""), (None, ""), (7, d + " x"), (7, d + " y")]
+    docs = spark.createDataFrame([(*r, "kept") for r in rows], "doc_id long, text string, slot string")
+    left = drop_near_duplicates(docs, shingle_words=2)
+    assert left.columns == docs.columns
+    left = sorted(((r.doc_id or 0), r.text or repr(r.text)) for r in left.collect())
+    seven = [r for r in left if r[0] == 7]
+    assert len(seven) == 1 and seven[0][1] in (d + " x", d + " y")
+    assert [r for r in left if r[0] != 7] == [(0, "''"), (0, "''"), (0, c), (3, a), (5, b), (6, "''"), (6, "None")]
+
+
 def test_near_copies_of_every_degree(spark):
     """A band-sharing group in which some pairs are linked and many are not."""
     rng = random.Random(5)
