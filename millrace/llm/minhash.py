@@ -81,6 +81,12 @@ def _sets(size: int):
     return run
 
 
+def _least_share(percent: int, minima: int) -> float:
+    """The share of equal minima below which a pair is not confirmed: 5.5 deviations below the threshold."""
+    share = percent / 100
+    return share - 5.5 * (share * (1 - share) / minima) ** 0.5
+
+
 def _alike(least: float):
     """Keep the pairs whose signatures agree in at least this share of the minima."""
 
@@ -172,12 +178,13 @@ def near_duplicates(
       largest component the few others that look most like it. Last, each such member is
       compared with all members of other components, in blocks, by signature. So every
       pair of a band is linked, in one component already, or compared.
-    * Candidates whose signatures agree well enough (four deviations below the
-      threshold) are confirmed on their full sets of 64-bit shingle hashes.
+    * Candidates whose signatures agree well enough (five and a half deviations below
+      the threshold) are confirmed on their full sets of 64-bit shingle hashes.
     * Components come from alternating large-star and small-star.
 
     At the threshold a pair shares no band with probability ``(1 - 0.8 ** 5) ** 32``,
-    about three in a million; further above it much less.
+    about three in a million; further above it much less. Its signatures agree too little
+    with a probability of about one in ten million.
 
     An empty or null text has size 0 and is linked with nothing. A null id stays null in
     the result, with ``component_id`` null and ``kept`` true unless its group has an id,
@@ -245,8 +252,7 @@ def _grouped(
     sets = wanted.mapInArrow(_sets(shingle_words), "node long, members array<long>")
     sets = written(sets.groupBy("node").agg(F.first("members").alias("members")), "sets")
 
-    spread = (percent / 100 * (1 - percent / 100) / minima) ** 0.5
-    least = percent / 100 - 4 * spread
+    least = _least_share(percent, minima)
 
     def alike(pairs: DataFrame) -> DataFrame:
         """Of distinct pairs ``(u, v)``, those whose sizes and signatures allow a link."""

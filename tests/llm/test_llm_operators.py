@@ -1,6 +1,7 @@
 """The numbered operators on small tables, against brute force and on edge rows."""
 
 import hashlib
+import math
 import random
 import zlib
 
@@ -15,7 +16,7 @@ from millrace.llm.chat import format_chats, parse_chat, read_back
 from millrace.llm.decontamination import contaminated, decontaminate
 from millrace.llm.embeddings import near_vectors
 from millrace.llm.hnsw import Graph
-from millrace.llm.minhash import drop_near_duplicates, near_duplicates
+from millrace.llm.minhash import _least_share, drop_near_duplicates, near_duplicates
 from millrace.llm.mixing import mix, mixing_rates
 from millrace.llm.repeats import remove_repeats
 from millrace.llm.sharding import assign_shards
@@ -127,6 +128,13 @@ def test_near_copies_without_id(spark):
     ]
 
 
+def test_signatures_lose_less_than_bands():
+    share, minima = 0.8, 256
+    few = range(math.ceil(_least_share(80, minima) * minima))
+    lost = sum(math.comb(minima, k) * share**k * (1 - share) ** (minima - k) for k in few)
+    assert lost < (1 - share**5) ** 32 / 10
+
+
 def test_dropped_near_duplicates_are_rows(spark):
     """A repeated id is decided text by text, and rows without id are copies like all others."""
     a, b, c, d = (" ".join(f"{x}{i}" for i in range(40)) for x in "abcd")
