@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
+import logging
 import pickle
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -15,6 +15,9 @@ from millrace.llm.hnsw import Graph
 from millrace.session import written
 
 SHARDS, SHARD_ROWS, GROUP_ROWS = 8, 250_000, 16_384
+AUDIT_BLOCK = 512
+
+log = logging.getLogger(__name__)
 
 
 def _matrix(column: pa.ChunkedArray) -> np.ndarray:
@@ -108,13 +111,51 @@ def _audit(nodes: np.ndarray, units: np.ndarray, least: float):
             if not batch.num_rows:
                 continue
             own = batch.column(0).to_numpy()
-            cosine = units @ _unit(_matrix(pa.chunked_array([batch.column(1)]))).T
-            links = ((cosine >= least) & (nodes[:, None] != own[None, :])).sum(axis=1)
-            yield pa.record_batch([pa.array(nodes), pa.array(links, pa.int64())], names=["node", "links"])
+            unit = _unit(_matrix(pa.chunked_array([batch.column(1)]))).T
+            for low in range(0, len(nodes), AUDIT_BLOCK):
+                some = nodes[low : low + AUDIT_BLOCK]
+                cosine = units[low : low + AUDIT_BLOCK] @ unit
+                links = ((cosine >= least) & (some[:, None] != own[None, :])).sum(axis=1)
+                met = np.flatnonzero(links)
+                yield pa.record_batch([pa.array(some[met]), pa.array(links[met], pa.int64())], names=["node", "links"])
 
     return run
 
 
+def _truth(nodes: DataFrame, least: float, hot: int, first: int, linked: int, most: int) -> dict[int, int]:
+    """Exact link counts of the linked ones among random nodes.
+
+    ``first`` nodes are drawn, then as many again as there are, until ``linked`` of them
+    have up to ``hot`` links, ``most`` are drawn or no node is left.
+    """
+    truth: dict[int, int] = {}
+    order = nodes.orderBy(F.xxhash64("node", F.lit("audit")), "node").select("dim", "node", "vector")
+    drawn, more = 0, min(first, most)
+    while more:
+        some = order.offset(drawn).limit(more).toArrow()
+        for dim in some.column("dim").unique().to_pylist():
+            own = some.filter(pa.array(some.column("dim").to_numpy() == dim))
+            check = _audit(own.column("node").to_numpy(), _unit(_matrix(own.column("vector"))), least)
+            exact = nodes.where(F.col("dim") == dim).select("node", "vector").mapInArrow(check, "node long, links long")
+            truth |= {r.node: r.links for r in exact.groupBy("node").agg(F.sum("links").alias("links")).collect()}
+        drawn += some.num_rows
+        few = sum(n <= hot for n in truth.values())
+        if some.num_rows < more or few >= linked:
+            break
+        more = min(drawn, most - drawn)
+        if not more:
+            log.warning("the audit drew %d vectors, of which %d have 1 to %d links", drawn, few, hot)
+    return truth
+
+
+def _recall(truth: dict[int, int], found: dict[int, int], hot: int) -> float:
+    """The mean share of its links that a node found, of nodes with up to ``hot`` links or of the others, whichever is less."""
+    parts: dict[bool, list[float]] = {}
+    for node, links in truth.items():
+        parts.setdefault(links > hot, []).append(min(found.get(node, 0), links) / links)
+    return min((sum(part) / len(part) for part in parts.values()), default=1.0)
+
+
 def near_vectors(
     vectors: DataFrame,
     id_col: str = "vec_id",
@@ -123,6 +164,8 @@ def near_vectors(
     beam: int = 48,
     audit_rows: int = 512,
     audit_recall: float = 0.99,
+    audit_linked: int = 200,
+    audit_most: int = 8192,
     shards: int = SHARDS,
 ) -> DataFrame:
     """One row per vector: ``(id, n_links, component_id, kept)``.
@@ -135,9 +178,12 @@ def near_vectors(
       small-world graph. Every node is in a graph and is a query to every shard, in
       groups of ``GROUP_ROWS``. A query whose whole beam is linked searches on with a
       beam twice as wide. Each hit is verified.
-    * Audit: ``audit_rows`` nodes are compared with all nodes. While the searches found
-      less than ``audit_recall`` of their links, all beams are doubled and the search
-      repeated.
+    * Audit: ``audit_rows`` random nodes are compared with all nodes, then more, until
+      ``audit_linked`` of them have links but no more than the first beam, or
+      ``audit_most`` are drawn, which is logged. Each linked node counts alike, whatever
+      its group's size, and nodes with more links than the first beam count apart. While
+      either part found on average less than ``audit_recall`` of a node's links, all beams
+      are doubled and the search repeated.
     * Each task hands on counts and a spanning forest of its links, not all pairs.
       Components are taken over the forests.
 
@@ -184,14 +230,9 @@ def near_vectors(
         group = F.pmod(F.xxhash64("node", F.lit("group")), groups).cast("int")
         asked = nodes.select("dim", "node", "vector", group.alias("part"), F.explode(F.sequence(F.lit(0), count - 1)).alias("shard"))
         offered = index.select("dim", "shard", "graph", F.explode(F.sequence(F.lit(0), groups - 1)).alias("part"))
-        audited = nodes.orderBy(F.xxhash64("node", F.lit("audit")), "node").limit(audit_rows).toArrow()
-        truth: dict[int, int] = {}
-        for dim in dims:
-            own = audited.filter(pc.equal(audited.column("dim"), dim))
-            if own.num_rows:
-                check = _audit(own.column("node").to_numpy(), _unit(_matrix(own.column("vector"))), least)
-                exact = nodes.where(F.col("dim") == dim).select("node", "vector").mapInArrow(check, "node long, links long")
-                truth |= {r.node: r.links for r in exact.groupBy("node").agg(F.sum("links").alias("links")).collect()}
+        hot = beam
+        truth = _truth(nodes, least, hot, audit_rows, audit_linked, audit_most)
+        linked = rows.sparkSession.createDataFrame([(node,) for node in truth], "node long")
         keys = ["dim", "shard", "part"]
         widest = max(dims.values())
         while True:
@@ -200,9 +241,8 @@ def near_vectors(
                 found.applyInArrow(_look_up(least, beam), "node long, other long, links long, vectors long"), "links"
             )
             links = found.where("other is null").groupBy("node").agg(F.sum("links").alias("links"), F.sum("vectors").alias("vectors"))
-            checked = links.where(F.col("node").isin(list(truth))).select("node", "links").collect()
-            hit = sum(min(r.links, truth[r.node]) for r in checked)
-            if hit >= audit_recall * sum(truth.values()) or beam >= widest:
+            hits = {r.node: r.links for r in links.join(F.broadcast(linked), "node").select("node", "links").collect()}
+            if _recall(truth, hits, hot) >= audit_recall or beam >= widest:
                 break
             beam *= 2
         roots = components(found.where("other is not null").select(F.col("node").alias("u"), F.col("other").alias("v")))

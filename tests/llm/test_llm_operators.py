@@ -14,7 +14,7 @@ from check import TABLES
 from millrace.llm import queries as llm
 from millrace.llm.chat import format_chats, parse_chat, read_back
 from millrace.llm.decontamination import contaminated, decontaminate
-from millrace.llm.embeddings import near_vectors
+from millrace.llm.embeddings import _recall, _truth, near_vectors
 from millrace.llm.hnsw import Graph
 from millrace.llm.minhash import _least_share, drop_near_duplicates, near_duplicates
 from millrace.llm.mixing import mix, mixing_rates
@@ -334,6 +334,21 @@ def test_near_vectors(spark):
     assert near_vectors(vectors.limit(0)).count() == 0
 
 
+def test_audit_sees_small_groups(spark):
+    """Few linked vectors are found by drawing on, and a hot group does not outweigh them."""
+    rng = np.random.default_rng(3)
+    base = rng.normal(size=(3000, 32))
+    base[:20] = base[20:40] + 0.01
+    rows = [(i, 32, v.tolist()) for i, v in enumerate(base)]
+    nodes = spark.createDataFrame(rows, "node long, dim int, vector array<double>")
+    assert _truth(nodes, 0.9, 48, 512, 200, 8192) == dict.fromkeys(range(40), 1)
+    assert len(_truth(nodes, 0.9, 48, 512, 1, 8192)) < 40
+    truth = {i: 20_000 for i in range(170)} | {i: 1 for i in range(170, 180)}
+    found = {i: 20_000 for i in range(170)}
+    assert sum(found.values()) >= 0.99 * sum(truth.values()) and _recall(truth, found, 48) == 0
+    assert _recall(truth, truth, 48) == _recall({}, {}, 48) == 1
+
+
 def test_toxicity(spark, edge, nothing):
     docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
     labels = spark.read.parquet("/root/testdata/sf0.1/labels.parquet")
