@@ -8,11 +8,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.llm.chat import format_chats, read_back
+from millrace.llm.collocations import collocations
 from millrace.llm.decontamination import contaminated
 from millrace.llm.embeddings import near_vectors
 from millrace.llm.minhash import near_duplicates
 from millrace.llm.mixing import mixing_rates
+from millrace.llm.quality import quality
 from millrace.llm.repeats import remove_repeats
+from millrace.llm.search import search
 from millrace.llm.sharding import assign_shards
 from millrace.llm.tokens import count_tokens
 from millrace.llm.toxicity import toxicity
@@ -214,3 +217,86 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
     return scored.select(F.col("id").alias("doc_id"), "held_out", "score", "predicted")
+
+
+@query("op11_quality")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return scored.select(F.col("id").alias("doc_id"), "held_out", "score", "predicted")
+
+
+_TERMS = rf"regexp_extract_all({_LOWERED}, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
+
+
+@query(
+    "op12_search",
+    f"""
+    WITH d AS MATERIALIZED (SELECT doc_id, {_TERMS} AS w FROM documents),
+    s AS (SELECT count(*) FILTER (len(w) > 0) AS nn, sum(len(w))::BIGINT AS ll FROM d),
+    i AS MATERIALIZED (
+        SELECT item_id, t, count(*) AS q
+        FROM (SELECT item_id, unnest({_TERMS}) AS t FROM benchmark) GROUP BY ALL),
+    f AS MATERIALIZED (
+        SELECT doc_id, n, t, count(*) AS tf
+        FROM (SELECT doc_id, len(w) AS n, unnest(w) AS t FROM d)
+        WHERE t IN (SELECT t FROM i) GROUP BY ALL),
+    g AS (
+        SELECT t, floor(1000 * ln((2 * nn + 2) / (2 * count(*) + 1)))::BIGINT AS g
+        FROM f, s GROUP BY t, nn),
+    p AS (
+        SELECT item_id, doc_id,
+            sum(q * g * ((1000000000 * tf) // (1000 * tf + 12 * (100 - 25 + (25 * n * nn) // ll))))::BIGINT AS score
+        FROM f JOIN g USING (t) JOIN i USING (t), s GROUP BY ALL)
+    SELECT item_id, rank::INTEGER AS rank, doc_id, score
+    FROM (
+        SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank
+        FROM p WHERE score > 0)
+    WHERE rank <= 20
+    """,
+)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), most=20)
+    return found.select(F.col("item").alias("item_id"), "rank", F.col("id").alias("doc_id"), "score")
+
+
+@query(
+    "op13_collocations",
+    rf"""
+    WITH d AS (
+        SELECT coalesce(lang, 'und') AS lang,
+            unnest(string_split_regex({_LOWERED}, '[.,;:!?\x0A-\x0D]')) AS piece
+        FROM documents),
+    w AS MATERIALIZED (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM d),
+    n AS (SELECT lang, sum(len(w))::BIGINT AS n FROM w GROUP BY lang),
+    f AS MATERIALIZED (
+        SELECT lang, k, phrase, count(*) AS a
+        FROM (
+            SELECT lang, k, unnest(list_transform(range(1, len(w) - k + 2),
+                lambda i: array_to_string(w[i:i + k - 1], ' '))) AS phrase
+            FROM w, (SELECT unnest(range(1, 6)) AS k) WHERE len(w) >= k)
+        GROUP BY ALL HAVING count(*) >= 100),
+    c AS MATERIALIZED (SELECT * FROM f WHERE k > 1),
+    kept AS (
+        SELECT * FROM c WHERE NOT EXISTS (
+            SELECT 1 FROM c AS b
+            WHERE b.lang = c.lang AND b.k > c.k AND 100 * b.a >= 100 * c.a
+                AND contains(' ' || b.phrase || ' ', ' ' || c.phrase || ' '))),
+    cuts AS (
+        SELECT lang, phrase, a, cut, array_to_string(string_split(phrase, ' ')[1:cut], ' ') AS one,
+            array_to_string(string_split(phrase, ' ')[cut + 1:], ' ') AS two
+        FROM (SELECT *, unnest(range(1, k)) AS cut FROM kept)),
+    scored AS (
+        SELECT c.lang, c.phrase, c.a, cut, x.a AS l, y.a AS r, n,
+            ((1000::HUGEINT * c.a * n) // (x.a::HUGEINT * y.a))::BIGINT AS score
+        FROM cuts c JOIN f x ON x.lang = c.lang AND x.phrase = one
+        JOIN f y ON y.lang = c.lang AND y.phrase = two JOIN n ON n.lang = c.lang),
+    least AS (
+        SELECT *, row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) AS place FROM scored),
+    ranked AS (
+        SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank
+        FROM least WHERE place = 1)
+    SELECT lang, rank, phrase, a, l, r, n, score FROM ranked WHERE rank <= 2000
+    """,
+)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(table(spark, sf_dir, "documents"))
