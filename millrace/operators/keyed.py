@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from millrace.functions.text import quoted
 from millrace.operators.rows import first_per_key
 from millrace.schema import field_names
+from millrace.session import written
 
 # The fields an upsert falls back to.
 DEFAULT_RECORD_KEY = "uuid"
@@ -62,30 +63,72 @@ def _merge(
 ) -> DataFrame:
     """Rows of ``current``, replaced where the best incoming one is not older, and new keys.
 
-    The key is a struct, in which a NULL equals a NULL.
+    The key is a struct, in which a NULL equals a NULL. The best incoming rows are written
+    once; of ``current`` the keys alone are read a second time, to tell which are new.
     """
     key, row = "__key", "__row"
     columns = current.columns
+    _refuse(columns, (key, row))
     latest = first_per_key(incoming, keys, [quoted(name).desc_nulls_last() for name in fields])
     old = current.withColumn(key, F.struct(*[quoted(name) for name in keys]))
     new = latest.select(
         F.struct(*[quoted(name) for name in keys]).alias(key),
         F.struct(*[quoted(name) for name in columns]).alias(row),
     )
-    joined = old.join(new, key, "left")
-    newest = F.struct(*[F.col(row)[name] for name in fields])
-    replaced = F.col(row).isNotNull() & (newest >= F.struct(*[quoted(name) for name in fields]))
-    kept = joined.select(
-        *[F.when(replaced, F.col(row)[name]).otherwise(quoted(name)).alias(name) for name in columns]
-    )
-    offered = incoming.select(F.struct(*[quoted(name) for name in keys]).alias(key))
-    known = old.select(key).join(offered.distinct(), key, "left_semi")
+    new = written(new, "incoming")
+    kept = old.join(new, key, "left").select(*_newer(columns, fields, row))
+    known = old.select(key).join(new.select(key), key, "left_semi")
     fresh = new.join(known, key, "left_anti").select(
         *[F.col(row)[name].alias(name) for name in columns]
     )
     return kept.unionByName(fresh)
 
 
+def _newer(columns: Sequence[str], fields: Sequence[str], row: str) -> list[Column]:
+    """The columns of the row beside the current one where that is there and not older."""
+    newest = F.struct(*[F.col(row)[name] for name in fields])
+    replaced = F.col(row).isNotNull() & (newest >= F.struct(*[quoted(name) for name in fields]))
+    return [F.when(replaced, F.col(row)[name]).otherwise(quoted(name)).alias(name) for name in columns]
+
+
+def _refuse(columns: Sequence[str], reserved: Sequence[str]) -> None:
+    taken = [name for name in columns if name.lower() in reserved]
+    if taken:
+        raise ValueError(f"columns {taken} are reserved for an upsert")
+
+
+def merge_in_place(
+    current: DataFrame,
+    incoming: DataFrame,
+    record_key: str | Sequence[str],
+    precombine: str | Sequence[str],
+    buckets: int,
+) -> DataFrame:
+    """Upsert into a table that is bucketed by its key, each input read once.
+
+    One full outer join: the incoming rows are dealt to the table's ``buckets``, ranked there
+    and met by the buckets as they lie, so ``current`` is not moved. Which row wins is as in
+    ``upsert_by_key``. ``current`` has each key once and none that is NULL; a NULL key
+    among the incoming rows ends the job.
+    """
+    keys, fields = field_names(record_key), field_names(precombine)
+    columns, row, mark = current.columns, "__row", "__current"
+    _refuse(columns, (row, mark, *(f"__key_{i}" for i in range(len(keys)))))
+    dealt = require_key(incoming.select(*[quoted(name) for name in columns]), keys)
+    dealt = dealt.repartition(buckets, *[quoted(name) for name in keys])
+    latest = first_per_key(dealt, keys, [quoted(name).desc_nulls_last() for name in fields])
+    new = latest.select(
+        *[quoted(name).alias(f"__key_{i}") for i, name in enumerate(keys)],
+        F.struct(*[quoted(name) for name in columns]).alias(row),
+    )
+    same = [quoted(name) == F.col(f"__key_{i}") for i, name in enumerate(keys)]
+    joined = current.withColumn(mark, F.lit(True)).join(new, same, "full_outer")
+    chosen = F.when(F.col(mark).isNull(), F.col(row)).otherwise(
+        F.struct(*_newer(columns, fields, row))
+    )
+    return joined.select(chosen.alias(row)).select(f"{row}.*")
+
+
 def delete_then_append(
     current: DataFrame, predicate: str | Column | None, incoming: DataFrame
 ) -> DataFrame:

@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from millrace.functions.text import full_match, quoted
@@ -101,25 +101,57 @@ def _flags(spec: InlineSpec) -> dict[str, Column]:
     }
 
 
+def _row_counts(spec: InlineSpec) -> list[Column]:
+    ones = F.count(F.lit(1)).alias("total_rows")
+    return [ones, *[F.count_if(flag).alias(name) for name, flag in _flags(spec).items()]]
+
+
 def inline_metrics(df: DataFrame, spec: InlineSpec) -> DataFrame:
     """One row of counts. With a key it still reads the input once.
 
     The flags are summed per key on the way, so the shuffle carries one row per key
     and map task, whatever a key's share of the data.
     """
-    flags = _flags(spec)
-    ones = [F.count(F.lit(1)).alias("total_rows")]
-    counts = ones + [F.count_if(flag).alias(name) for name, flag in flags.items()]
+    counts = _row_counts(spec)
     if not spec.primary_columns:
         return df.agg(*counts, F.lit(0).cast("bigint").alias("duplicate_keys"))
     keys = [quoted(name).alias(f"__k_{i}") for i, name in enumerate(spec.primary_columns)]
     per_key = df.groupBy(*keys).agg(*counts)
     sums = [
-        F.coalesce(F.sum(name), F.lit(0)).alias(name) for name in ("total_rows", *flags)
+        F.coalesce(F.sum(name), F.lit(0)).alias(name) for name in ("total_rows", *_flags(spec))
     ]
     return per_key.agg(*sums, F.count_if(F.col("total_rows") > 1).alias("duplicate_keys"))
 
 
+class WatchedRows:
+    """A frame whose row checks are counted by the action that writes it.
+
+    ``frame`` is to be written once, by an action of its own: the counts are made in the
+    tasks that write, where Spark counts a partition once however often its task is run.
+    """
+
+    def __init__(self, df: DataFrame, spec: InlineSpec):
+        self._spec, self._seen = spec, Observation()
+        self.frame = df.observe(self._seen, *_row_counts(spec))
+
+    def report(self, copy: DataFrame) -> DataFrame:
+        """The inline report, once ``frame`` has been written and ``copy`` reads what was.
+
+        Only a key check reads the copy, and of it the key columns alone.
+        """
+        spark, keys = copy.sparkSession, self._spec.primary_columns
+        kinds = ", ".join(f"{name} bigint" for name in self._seen.get)
+        seen = spark.createDataFrame([tuple(self._seen.get.values())], kinds)
+        if keys:
+            groups = copy.groupBy(*[quoted(name).alias(f"__k_{i}") for i, name in enumerate(keys)])
+            sizes = groups.agg(F.count(F.lit(1)).alias("n"))
+            row = sizes.agg(F.count_if(F.col("n") > 1).alias("duplicate_keys")).first()
+            seen = seen.withColumn("duplicate_keys", F.lit(row.duplicate_keys).cast("bigint"))
+        else:
+            seen = seen.withColumn("duplicate_keys", F.lit(0).cast("bigint"))
+        return _judged(seen, self._spec, len(copy.columns))
+
+
 def inline_quality(df: DataFrame, spec: InlineSpec) -> DataFrame:
     """The inline report as one row: counts, the outcome of each check, the verdict.
 
@@ -128,14 +160,18 @@ def inline_quality(df: DataFrame, spec: InlineSpec) -> DataFrame:
     errors and they stay within ``max(1, rows * error_rate)``, the verdict is
     *within tolerance* even so.
     """
+    return _judged(inline_metrics(df, spec), spec, len(df.columns))
+
+
+def _judged(counted: DataFrame, spec: InlineSpec, columns: int) -> DataFrame:
     bounds = spec.row_bounds()
-    metrics = inline_metrics(df, spec).select(
+    metrics = counted.select(
         "total_rows",
         "duplicate_keys",
         "null_rows",
         "length_rows",
         "regex_rows",
-        F.lit(len(df.columns)).alias("column_count"),
+        F.lit(columns).alias("column_count"),
     )
 
     def outcome(asked: bool, failed: Column) -> Column:
@@ -182,37 +218,67 @@ def gate(report: Mapping) -> None:
 def rule_quality(df: DataFrame, rules: Sequence[Mapping]) -> DataFrame:
     """Violations per rule and column, zero included, in the order of the report.
 
-    SQL and pattern rules count rows where the predicate is not true, NULL included,
-    all in one aggregate. A pattern may match anywhere in the value. The built-in key
-    rule counts all rows of duplicated keys, which differs from the inline check.
+    SQL and pattern rules count rows where the predicate is not true, NULL included. A
+    pattern may match anywhere in the value. The built-in key rule counts all rows of
+    duplicated keys, which differs from the inline check; NULL is a key value.
+
+    The input is read once whatever the list holds. Without a key rule all counts are one
+    aggregate; with key rules their keys are the grouping sets of one, in which the row
+    flags are summed on the way along the first set.
     """
     ordered = _ordered_checks(rules)
-    frames = []
-    row_checks = [check for check in ordered if check["type"] != RULE_BUILT_IN]
-    if row_checks:
-        counts = df.agg(
-            *[
-                F.count_if(~F.coalesce(check["ok"], F.lit(False))).alias(f"n_{check['seq']}")
-                for check in row_checks
-            ]
-        )
-        entries = [_entry(check, F.col(f"n_{check['seq']}")) for check in row_checks]
-        frames.append(counts.select(F.inline(F.array(*entries))))
-    for check in ordered:
-        if check["type"] == RULE_BUILT_IN:
-            keys = [F.expr(name).alias(f"__k_{i}") for i, name in enumerate(check["keys"])]
-            sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
-            total = sizes.agg(F.coalesce(F.sum(F.when(F.col("__n") > 1, F.col("__n"))), F.lit(0)).alias("n"))
-            frames.append(total.select(F.inline(F.array(_entry(check, F.col("n"))))))
-    if not frames:
+    if not ordered:
         return df.sparkSession.createDataFrame(
             [], "seq int, rule_code string, rule_name string, rule_type string, "
             "column_name string, violations bigint"
         )
-    result = frames[0]
-    for frame in frames[1:]:
-        result = result.unionByName(frame)
-    return result
+    row_checks = [check for check in ordered if check["type"] != RULE_BUILT_IN]
+    key_checks = [check for check in ordered if check["type"] == RULE_BUILT_IN]
+    failing = {f"n_{check['seq']}": ~F.coalesce(check["ok"], F.lit(False)) for check in row_checks}
+    if key_checks:
+        counts = _keyed_counts(df, key_checks, failing)
+    else:
+        counts = df.agg(*[F.count_if(flag).alias(name) for name, flag in failing.items()])
+    entries = [_entry(check, F.coalesce(F.col(f"n_{check['seq']}"), F.lit(0))) for check in ordered]
+    return counts.select(F.inline(F.array(*entries)))
+
+
+def _keyed_counts(
+    df: DataFrame, key_checks: Sequence[Mapping], failing: Mapping[str, Column]
+) -> DataFrame:
+    """One row: per key rule the rows of duplicated keys, per row rule the failing rows.
+
+    A row meets one grouping set per distinct key. The set's number comes from
+    ``grouping_id``, so a key column that is NULL is told from one that is not in the set.
+    """
+    texts = list(dict.fromkeys(name for check in key_checks for name in check["keys"]))
+    names = {text: f"__k_{i}" for i, text in enumerate(texts)}
+    rows = df.select(
+        *[F.expr(text).alias(name) for text, name in names.items()],
+        *[flag.alias(f"__f_{name}") for name, flag in failing.items()],
+    )
+    sets = list(dict.fromkeys(frozenset(check["keys"]) for check in key_checks))
+    # The bits of grouping_id, first column highest, are 1 for what a set leaves out.
+    bits = {text: 1 << (len(texts) - 1 - i) for i, text in enumerate(texts)}
+    numbers = {own: sum(bit for text, bit in bits.items() if text not in own) for own in sets}
+    per_key = rows.groupingSets(
+        [[F.col(names[text]) for text in texts if text in own] for own in sets],
+        *[F.col(name) for name in names.values()],
+    ).agg(
+        F.grouping_id().alias("__set"),
+        F.count(F.lit(1)).alias("__n"),
+        *[F.count_if(F.col(f"__f_{name}")).alias(f"__c_{name}") for name in failing],
+    )
+
+    def in_set(own: frozenset) -> Column:
+        return F.col("__set") == numbers[own]
+
+    duplicated = [
+        F.sum(F.when(in_set(frozenset(check["keys"])) & (F.col("__n") > 1), F.col("__n"))).alias(f"n_{check['seq']}")
+        for check in key_checks
+    ]
+    flagged = [F.sum(F.when(in_set(sets[0]), F.col(f"__c_{name}"))).alias(name) for name in failing]
+    return per_key.agg(*duplicated, *flagged)
 
 
 def _entry(check: Mapping, count: Column) -> Column:

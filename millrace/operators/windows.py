@@ -13,6 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, WindowSpec
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from millrace.functions.text import quoted
 from millrace.operators.rows import order_columns
@@ -21,6 +22,12 @@ from millrace.session import written
 
 _KEY = "__key"
 _RANGE = "__range"
+_SLICE = "__slice"
+
+# Spark cuts a ranked window before the shuffle up to this limit; above, groups are ranked
+# in so many slices first.
+SPARK_LIMIT = 1000
+SLICES = 256
 
 # About how many rows a range of a running value holds.
 ROWS_PER_RANGE = 1_000_000
@@ -48,11 +55,32 @@ def with_group_count(
 def top_per_group(
     df: DataFrame, keys: str | Sequence[str], order_by, limit: int, name: str = "rank"
 ) -> DataFrame:
-    """Rows whose rank in their group is at most ``limit``; ties share a rank."""
-    window = W.partitionBy(*[quoted(key) for key in field_names(keys)]).orderBy(
-        *order_columns(order_by)
-    )
-    return df.withColumn(name, F.rank().over(window)).filter(F.col(name) <= limit)
+    """Rows whose rank in their group is at most ``limit``; ties share a rank.
+
+    Up to ``SPARK_LIMIT`` Spark drops what ranks lower in its map task before the shuffle.
+    Above, a group is ranked in ``SLICES`` slices by the hash of its rows first: a row that
+    ranks beyond the limit in its slice does so in the group, and what is left of a hot
+    group, ties aside, is ``limit`` rows per slice.
+    """
+    taken = [column for column in df.columns if column.lower() in (name.lower(), _SLICE)]
+    if taken:
+        raise ValueError(f"columns {taken} are there already; give the rank another name")
+    groups, order = [quoted(key) for key in field_names(keys)], order_columns(order_by)
+
+    def cut(rows: DataFrame, parts: list[Column]) -> DataFrame:
+        ranked = rows.withColumn(name, F.rank().over(W.partitionBy(*parts).orderBy(*order)))
+        return ranked.filter(F.col(name) <= limit)
+
+    if limit > SPARK_LIMIT:
+        whole = F.to_json(F.struct("*")) if any(_unhashable(f.dataType) for f in df.schema) else F.struct("*")
+        sliced = df.withColumn(_SLICE, F.pmod(F.xxhash64(whole), F.lit(SLICES)))
+        df = cut(sliced, [*groups, F.col(_SLICE)]).drop(name, _SLICE)
+    return cut(df, groups)
+
+
+def _unhashable(kind: T.DataType) -> bool:
+    """Whether a type holds a map, which Spark does not hash."""
+    return "map<" in kind.simpleString()
 
 
 def _in_ranges(df: DataFrame, keys: str | Sequence[str], order_by) -> DataFrame:

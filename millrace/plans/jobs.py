@@ -15,7 +15,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from millrace.operators.quality import InlineSpec, gate, inline_quality, quality_report, rule_quality
+from millrace.operators.quality import InlineSpec, WatchedRows, gate, quality_report, rule_quality
+from millrace.operators.rejects import split_rejects, tag_rejects
 from millrace.operators.rows import redistribute, select_rows
 from millrace.operators.rules import apply_rules
 from millrace.operators.transform import identity_mapping, map_columns, strip_family
@@ -119,10 +120,13 @@ def read_mapped(
     mapping: Sequence[Mapping[str, str]] | None,
     date: str | None,
     keep_report: Callable[[DataFrame], None] | None = None,
+    keep_rejects: Callable[[DataFrame], None] | None = None,
 ) -> tuple[DataFrame, dict | None]:
     """Read, filter, drop duplicates, run the quality gate, map, repartition.
 
     ``keep_report`` gets the quality report, whether or not the gate lets the load go on.
+    ``keep_rejects`` gets the rows with a value that does not fit its type, which then are
+    not loaded; without it such a value becomes NULL.
     """
     kind = str(store.get("data_source_type", "")).lower()
     df = source_frame(
@@ -135,16 +139,22 @@ def read_mapped(
     df = select_rows(df, None, info.get("duplicate_columns"), info.get("duplicate_order_by"))
     report = None
     if str(info.get("enable_quality", "off")).strip() == "on":
-        # Checked and loaded from one read: duplicates may stay otherwise another time.
-        df = written(df, "gated")
-        checks = inline_quality(df, InlineSpec.from_task(info, mapping))
+        # Checked as it is written, and loaded from what was: the source is read once, and
+        # of duplicates the same stay for both.
+        watched = WatchedRows(df, InlineSpec.from_task(info, mapping))
+        df = written(watched.frame, "gated")
+        checks = watched.report(df)
         report = checks.first().asDict()
         if keep_report:
             keep_report(spark.createDataFrame([report], checks.schema))
         gate(report)
     if kind == "hbase" and mapping:
         mapping = strip_family(mapping)
-    df = map_columns(df, mapping, date)
+    if keep_rejects and mapping:
+        df, rejected = split_rejects(tag_rejects(df, mapping, date))
+        keep_rejects(rejected)
+    else:
+        df = map_columns(df, mapping, date)
     return (
         redistribute(df, info.get("repartition_num_input"), info.get("repartition_cols_input")),
         report,
@@ -166,10 +176,13 @@ def _write(task: Mapping, info: Mapping, df: DataFrame) -> object:
 
 
 def report_keeper(
-    task: Mapping, info: Mapping, source: Mapping | None = None
+    task: Mapping, info: Mapping, source: Mapping | None = None, kind: str = "dsi_Report"
 ) -> Callable[[DataFrame], None] | None:
-    """Append reports, with the run they belong to, to the store of ``dsi_Report``."""
-    store = task.get("dsi_Report") or {}
+    """Append reports, with the run they belong to, to the store of ``dsi_Report``.
+
+    With ``kind`` ``dsi_Reject`` it is rejected rows, to the store of that name.
+    """
+    store = task.get(kind) or {}
     if not store.get("data_source_type"):
         return None
     run, block = task.get("tli", {}), source or info
@@ -225,6 +238,7 @@ def run_etl(
             info.get("column_data_list"),
             run_date(task),
             report_keeper(task, info),
+            report_keeper(task, info, kind="dsi_Reject"),
         )
         return TaskResult(df, own, report, _write(task, info, df))
 
@@ -241,6 +255,10 @@ def _start_stream(own: SparkSession, task: Mapping, info: Mapping) -> TaskResult
         "once": str(options.get("once", "false")).lower() == "true",
         "run_date": run_date(task),
     }
+    if (task.get("dsi_Reject") or {}).get("data_source_type"):
+        store = task["dsi_Reject"]
+        kept = {"fileType": "parquet", "model": "append", **store}
+        stream["rejects"] = {"type": store["data_source_type"], "options": kept}
     return TaskResult(None, own, stream=ingest_stream(own, stream, _sink(task, info)))
 
 
@@ -269,6 +287,7 @@ def _read_views(
             info.get("column_data_list"),
             run_date(task),
             report_keeper(task, info),
+            report_keeper(task, info, kind="dsi_Reject"),
         )
     return views
 

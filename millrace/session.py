@@ -5,7 +5,7 @@ from __future__ import annotations
 import logging
 import tempfile
 import uuid
-from collections.abc import Iterator, Mapping
+from collections.abc import Iterator, Mapping, Sequence
 from contextlib import contextmanager
 
 from pyspark.errors import AnalysisException
@@ -147,12 +147,13 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
     return path
 
 
-def written(df: DataFrame, label: str) -> DataFrame:
+def written(df: DataFrame, label: str, partition_by: Sequence[str] = ()) -> DataFrame:
     """The frame written to a scratch folder and read from there.
 
     What follows starts from the files: it reads them as often as it likes, sees the same
     values each time, and survives lost executors without the work before.
     """
     path = scratch_dir(df.sparkSession, label) + "/data"
-    df.write.parquet(path)
+    writer = df.write.partitionBy(*partition_by) if partition_by else df.write
+    writer.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import logging
 from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame
@@ -14,15 +13,13 @@ from millrace.operators.cells import range_sorted, to_cells
 from millrace.operators.keyed import require_key, with_surrogate_key
 from millrace.operators.rows import compact
 from millrace.schema import field_names
-from millrace.session import apply_options
+from millrace.session import apply_options, session_conf
 from millrace.sinks.files import write_delivery, write_download, write_files
 from millrace.sources import connectors as c
 from millrace.sources.files import format_name, full_path, spark_options
 from millrace.sources.jdbc import clear_target, write_jdbc
 from millrace.sources.tables import write_table
 
-log = logging.getLogger(__name__)
-
 Writer = Callable[[DataFrame, Mapping, "str | None"], object]
 
 
@@ -41,10 +38,9 @@ def _connector(
 
     def write(df, options, clear):
         if clear and clear.strip():
-            if reach:
-                clear_target(df.sparkSession, reach(options), clear)
-            else:
-                log.warning("this store takes no clear statement; %r was not run", clear)
+            if not reach:
+                raise ValueError("this store cannot be cleared from here; see delete_then_append")
+            clear_target(df.sparkSession, reach(options), clear)
         df = compact(df, options.get("merge", -1))
         _save(df, connect(options), mode or save_mode(options.get("model")))
 
@@ -84,12 +80,6 @@ def _elasticsearch(df, options, clear):
     _save(compact(df, options.get("merge", -1)), c.elasticsearch(options), mode)
 
 
-def _mongodb(df, options, clear):
-    if clear and clear.strip():
-        raise ValueError("this store cannot be cleared from here; see delete_then_append")
-    _connector(c.mongodb)(df, options, None)
-
-
 def _kudu(df, options, clear):
     if clear and clear.strip():
         raise ValueError("this store cannot be cleared before a load")
@@ -109,7 +99,7 @@ WRITERS: dict[str, Writer] = {
     "hdfs": lambda df, options, clear: write_files(df, options),
     "hbase": _wide_rows,
     "es": _elasticsearch,
-    "mongodb": _mongodb,
+    "mongodb": _connector(c.mongodb),
     "kafka": _messages,
     "redis": _connector(lambda options: c.redis(options, write=True)),
     "cassandra": _connector(c.cassandra),
@@ -129,12 +119,25 @@ WRITERS: dict[str, Writer] = {
 }
 
 
+# The types that can run a clear statement before the load.
+CLEARABLE = frozenset({"jdbc", "greenplum", "tidb", "memsql"})
+
+
 def write_sink(df: DataFrame, sink: Mapping) -> object:
-    """Write to ``{"type", "options", "clear"}``; an export returns its name."""
+    """Write to ``{"type", "options", "clear"}``; an export returns its name.
+
+    A clear statement for a store that cannot run one is refused before anything is
+    written: left out, a repeated load would double its rows. ``delete_then_append``, or
+    overwriting, does the same there. The store's ``spark.*`` options hold for the write alone.
+    """
     kind = str(sink.get("type", "")).strip().lower()
     writer = WRITERS.get(kind)
     if writer is None:
         raise ValueError(f"no sink of type {kind!r}")
-    options = sink.get("options", {})
-    apply_options(df.sparkSession, options)
-    return writer(df, options, sink.get("clear"))
+    options, clear = sink.get("options", {}), sink.get("clear")
+    if clear and clear.strip() and kind not in CLEARABLE:
+        raise ValueError(f"a store of type {kind} cannot be cleared before a load; {clear!r} was not run")
+    spark = df.sparkSession
+    passing = {k: str(v) for k, v in options.items() if k.startswith("spark.") and spark.conf.isModifiable(k)}
+    with session_conf(spark, passing):
+        return writer(df, options, clear)

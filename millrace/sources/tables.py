@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from millrace.functions.text import quoted
 from millrace.modes import save_mode
+from millrace.operators.keyed import merge_in_place
 from millrace.operators.rows import compact, select_rows
 from millrace.schema import field_names
 from millrace.session import session_conf
@@ -59,6 +60,41 @@ def overwrite_partitions(df: DataFrame, name: str) -> None:
         df.select(*[quoted(c) for c in columns]).write.insertInto(name, overwrite=True)
 
 
+def write_bucketed(df: DataFrame, name: str, keys: str | list[str], buckets: int) -> None:
+    """Make a table bucketed and sorted by its key, one file per bucket."""
+    names = field_names(keys)
+    df.repartition(buckets, *[quoted(key) for key in names]).write.bucketBy(buckets, *names).sortBy(
+        *names
+    ).format("parquet").saveAsTable(name)
+
+
+def bucket_layout(spark: SparkSession, name: str) -> tuple[list[str], int]:
+    """The bucket columns of a table and how many buckets it has; none and 0 without."""
+    keys = [column.name for column in spark.catalog.listColumns(name) if column.isBucket]
+    told = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").where("col_name = 'Num Buckets'").first()
+    return keys, int(told.data_type) if told else 0
+
+
+def upsert_table(df: DataFrame, name: str, precombine: str | list[str]) -> None:
+    """Upsert into a table made by ``write_bucketed``, by its bucket columns as record key.
+
+    The next version is joined bucket by bucket and written with the same layout, beside
+    the table, and then takes its name; the table itself is not moved by any shuffle. A run
+    that ended between the two steps is completed by the next.
+    """
+    spark, next_name = df.sparkSession, f"{name}__next"
+    if not spark.catalog.tableExists(name) and spark.catalog.tableExists(next_name):
+        spark.sql(f"ALTER TABLE {next_name} RENAME TO {name}")
+    keys, buckets = bucket_layout(spark, name)
+    if not buckets:
+        raise ValueError(f"table {name} is not bucketed")
+    spark.sql(f"DROP TABLE IF EXISTS {next_name}")
+    merged = merge_in_place(spark.table(name), df, keys, precombine, buckets)
+    merged.write.bucketBy(buckets, *keys).sortBy(*keys).format("parquet").saveAsTable(next_name)
+    spark.sql(f"DROP TABLE {name}")
+    spark.sql(f"ALTER TABLE {next_name} RENAME TO {name}")
+
+
 def show_databases(spark: SparkSession) -> DataFrame:
     rows = [(db.name,) for db in spark.catalog.listDatabases()]
     return spark.createDataFrame(rows, "database_name string")

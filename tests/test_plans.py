@@ -57,6 +57,8 @@ def test_quality_reads_once(spark):
     assert plan(spark, "quality_inline_keys").count("FileScan") == 1
     assert plan(spark, "quality_rules_sql").count("FileScan") == 1
     assert plan(spark, "quality_rules_regex").count("FileScan") == 1
+    assert plan(spark, "quality_rules_key").count("FileScan") == 1
+    assert plan(spark, "quality_rules_many").count("FileScan") == 1
 
 
 def test_sort_limit_does_not_sort_everything(spark):
