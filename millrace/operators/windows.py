@@ -87,14 +87,18 @@ def _in_ranges(df: DataFrame, keys: str | Sequence[str], order_by) -> DataFrame:
     """The rows with their group key and the number of their range of (group, order).
 
     There are as many ranges as the rows need, so a large group spans several, and within
-    a group the number grows along the order. The rows are written once: Spark samples
-    for the ranges, and every later step must see the same ones.
+    a group the number grows along the order. The input is evaluated once, by a write;
+    counting its rows reads file footers, and sampling for the ranges reads the key and
+    order columns of the files. The ranges are written too: every later step must see the
+    same ones. Rows that fit into one range stay as they are.
     """
     taken = [name for name in df.columns if name.lower() in _RESERVED]
     if taken:
         raise ValueError(f"columns {taken} are reserved for running values")
-    rows = df.withColumn(_KEY, _group_key(keys))
-    count = -(-df.count() // ROWS_PER_RANGE) or 1
+    rows = written(df.withColumn(_KEY, _group_key(keys)), "rows")
+    count = -(-rows.count() // ROWS_PER_RANGE)
+    if count <= 1:
+        return rows.withColumn(_RANGE, F.lit(0))
     spread = rows.repartitionByRange(count, F.col(_KEY), *order_columns(order_by))
     return written(spread.withColumn(_RANGE, F.spark_partition_id()), "ranges")
 

@@ -182,6 +182,28 @@ def bulk_load_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query(
+    "bulk_load_balanced",
+    """
+    WITH w AS (SELECT 'k/' || CASE WHEN o_custkey % 3 = 0 THEN '0/' ELSE '9/' END || lpad(CAST(o_orderkey AS VARCHAR), 9, '0') AS row_key,
+                      o_orderstatus AS value FROM orders)
+    SELECT row_key, 'cf1' AS family, 'status' AS qualifier, value, true AS balanced FROM w
+    """,
+)
+def bulk_load_balanced(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ranges cut from the data: sixteen, none with twice its share, though the keys are dense in two places."""
+    out = scratch_dir(spark, "bulk") + "/orders"
+    rows = table(spark, sf_dir, "orders").selectExpr(
+        "concat('k/', if(o_custkey % 3 = 0, '0/', '9/'), lpad(o_orderkey, 9, '0')) as row_key", "o_orderstatus as `cf1:status`"
+    )
+    options = {"paths": out, "fileType": "parquet", "write_mode": "hfile", "splits": "auto:16"}
+    write_sink(rows, {"type": "hbase", "options": options})
+    cells = spark.read.parquet(out)
+    ranges = cells.groupBy("range_bucket").agg(F.count(F.lit(1)).alias("n"))
+    even = ranges.agg(((F.max("n") < 2 * F.sum("n") / 16) & (F.count(F.lit(1)) == 16)).alias("even")).first().even
+    return cells.select("row_key", "family", "qualifier", "value", F.lit(even).alias("balanced"))
+
+
 @query(
     "surrogate_key",
     "SELECT count(*) AS rows_written, count(*) AS distinct_keys, 32 AS key_length FROM lineitem",

@@ -9,9 +9,10 @@ from pyspark.sql import functions as F
 
 from millrace.functions.text import quoted
 from millrace.modes import save_mode
-from millrace.operators.cells import range_sorted, to_cells
+from millrace.operators.cells import range_sorted, split_points, to_cells
 from millrace.operators.keyed import require_key, with_surrogate_key
 from millrace.operators.rows import compact
+from millrace.operators.transform import ROW_KEY
 from millrace.schema import field_names
 from millrace.session import apply_options, session_conf
 from millrace.sinks.files import write_delivery, write_download, write_files
@@ -59,19 +60,28 @@ def _messages(df, options, clear):
 
 
 def _wide_rows(df, options, clear):
-    """Cells as files; for a bulk load, sorted inside the given key ranges."""
+    """Cells as files; for a bulk load, sorted inside the given key ranges.
+
+    ``splits`` lists the keys between ranges, or says ``auto:<ranges>`` to cut them from the
+    data. Parquet files get a Bloom filter on the key, for scans by key.
+    """
     cells = to_cells(df)
     mode = save_mode(options.get("model"))
     if str(options.get("write_mode") or "").lower() == "hfile":
         mode = "overwrite"
-        cells = range_sorted(
-            cells, field_names(options.get("splits")), then_by=("family", "qualifier")
-        )
+        asked = str(options.get("splits") or "")
+        if asked.startswith("auto:"):
+            splits = split_points(cells, int(asked.removeprefix("auto:")))
+        else:
+            splits = field_names(asked)
+        cells = range_sorted(cells, splits, then_by=("family", "qualifier"))
     else:
         cells = compact(cells, options.get("merge", -1))
     kind = format_name(str(options.get("fileType") or "parquet"))
     not_for_cells = ("sep", "header", "splits", "write_mode", "encoding")
     extra = {k: v for k, v in spark_options(options).items() if k not in not_for_cells}
+    if kind == "parquet":
+        extra = {f"parquet.bloom.filter.enabled#{ROW_KEY}": "true", **extra}
     cells.write.format(kind).mode(mode).options(**extra).save(full_path(options))
 
 

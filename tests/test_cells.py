@@ -2,8 +2,9 @@ import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
-from millrace.operators.cells import range_bucket, range_sorted, row_range, scan_cells, to_cells
+from millrace.operators.cells import range_bucket, range_sorted, row_range, scan_cells, split_points, to_cells
 from millrace.session import session_conf
+from millrace.sinks import write_sink
 
 W = [("r1", "a", "", "c1"), ("r2", None, "b", None), ("r3", None, None, ""), ("r4", "d", "e", "f")]
 
@@ -74,3 +75,42 @@ def test_range_sorted(spark):
     assert len(parts) == 4000
     hot = {p for p, rows_ in by_part.items() if any(r[0] == 2 for r in rows_)}
     assert len(hot) > 1
+
+
+def rows_scanned(df):
+    """Rows the file scan of a frame handed on, from the metrics of its plan."""
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan()
+    leaves = (plan.executedPlan() if "AdaptiveSparkPlan" in plan.getClass().getName() else plan).collectLeaves()
+    scan = leaves.head()
+    if "Stage" in scan.getClass().getName():
+        scan = scan.plan().collectLeaves().head()
+    return scan.metrics().apply("numOutputRows").value()
+
+
+def test_split_points_balance_a_skewed_key(spark):
+    frame = spark.range(8000).selectExpr("concat('row-', if(id % 4 = 0, lpad(id, 8, '0'), concat('7777', lpad(id, 6, '0')))) as row_key")
+    points = split_points(frame, 8)
+    assert len(points) == 7 and points == sorted(points)
+    sizes = [r.n for r in range_sorted(frame, points).groupBy("range_bucket").agg(F.count("*").alias("n")).collect()]
+    assert len(sizes) == 8 and max(sizes) < 1.2 * 1000
+    mixed = spark.range(8000).selectExpr("concat(char(33 + id % 90), sha2(string(id), 256)) as row_key")
+    sizes = [r.n for r in range_sorted(mixed, split_points(mixed, 8)).groupBy("range_bucket").agg(F.count("*").alias("n")).collect()]
+    assert len(sizes) == 8 and max(sizes) < 1.2 * 1000
+    hot = spark.range(900).selectExpr("if(id < 800, 'é', concat('z', id)) as row_key")
+    assert len(split_points(hot, 5)) <= 4
+    for few in (frame.limit(0), frame.where("row_key is null"), frame.limit(1)):
+        assert split_points(few, 5) == []
+
+
+def test_scans_skip_row_groups(spark, folder):
+    wide = spark.range(20_000).selectExpr("lpad(id * 7919 % 20000, 6, '0') as row_key", "cast(id as string) as `cf1:v`")
+    base = {"paths": f"{folder}/sorted", "fileType": "parquet", "parquet.block.size": "20000"}
+    write_sink(wide, {"type": "hbase", "options": {**base, "write_mode": "hfile", "splits": "auto:4"}})
+    sorted_cells = spark.read.parquet(f"{folder}/sorted")
+    found = scan_cells(sorted_cells, "cf1:v", "001000", "001010")
+    assert found.count() == 10 and rows_scanned(sorted_cells.where("row_key >= '001000' and row_key < '001010'")) < 15_000
+    write_sink(wide.repartition(8), {"type": "hbase", "options": {**base, "paths": f"{folder}/dealt"}})
+    dealt = spark.read.parquet(f"{folder}/dealt")
+    assert [r.row_key for r in scan_cells(dealt, "cf1:v", keys=["001003"]).collect()] == ["001003"]
+    assert rows_scanned(dealt.where("row_key in ('001003')")) < 10_000
