@@ -16,7 +16,8 @@ from millrace.llm.text import chunks, mix, randoms, shingles, split_words
 from millrace.session import written
 
 _ODD = np.uint64(1)
-BLOCK, BEST = 512, 4
+# Nodes, and shingles of their sets, that a group of the last comparison takes from either side.
+BLOCK, BLOCK_SHINGLES = 512, 1 << 20
 
 
 def _class_of(own: np.ndarray) -> tuple[int, bytes]:
@@ -104,42 +105,76 @@ def _alike(least: float):
     return run
 
 
-def _across(bands: int, rows: int, least: float, best: int | None):
-    """Pairs of a stray and a member of another component that look alike, of each sorted group.
+class _Links:
+    """Which roots have been linked so far in one group."""
 
-    A pair is given in the first band that it shares, so it is given once. ``best`` gives
-    only the pairs of a stray that look most alike, for a first try.
+    def __init__(self):
+        self.up: dict[int, int] = {}
+
+    def top(self, a: int) -> int:
+        while (above := self.up.get(a, a)) != a:
+            a = self.up[a] = self.up.get(above, above)
+        return a
+
+    def joins(self, a: int, b: int) -> bool:
+        """Link two roots; whether they were apart before."""
+        a, b = self.top(a), self.top(b)
+        if a != b:
+            self.up[max(a, b)] = min(a, b)
+        return a != b
+
+
+def _across(bands: int, rows: int, least: float, percent: int):
+    """Links of a stray and a member of another component, of each sorted group.
+
+    A pair is looked at in the first band that it shares, so once. Signatures that agree
+    too little rule it out; the others are compared on their full sets here, unless the
+    links of this group have brought their components together already. What comes out is
+    a forest over the components: rejected pairs, and links that add nothing, are no rows.
     """
 
-    def pairs(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    def links(table: pa.Table) -> list[tuple[int, int]]:
         node, root = table.column("node").to_numpy(), table.column("root").to_numpy()
         stray = table.column("stray").to_numpy()
         sign = np.frombuffer(b"".join(table.column("sign").to_pylist()), dtype="<u2").reshape(len(node), -1)
         number = table.column("number")[0].as_py()
+        sets = table.column("members").combine_chunks()
+        first = sets.offsets.to_numpy().astype(np.int64)
+        length = np.diff(first)
+        values, codes = np.unique(sets.values.to_numpy()[first[0] : first[-1]], return_inverse=True)
+        first = first - first[0]
+        marked = np.zeros(len(values), dtype=bool)
         them, us = np.flatnonzero(~stray), np.flatnonzero(stray)
-        found = []
+        forest, found = _Links(), []
         for low in range(0, len(us), 16):
             own = us[low : low + 16]
             same = sign[own][:, None, :] == sign[them][None, :, :]
             shared = same[:, :, : bands * rows].reshape(len(own), len(them), bands, rows).all(axis=3)
-            share = same.mean(axis=2)
-            keep = (share >= least) & (shared.argmax(axis=2) == number)
+            keep = (same.mean(axis=2) >= least) & (shared.argmax(axis=2) == number)
             keep &= root[own][:, None] != root[them][None, :]
-            if best is not None and len(them) > best:
-                share = np.where(keep, share, -1.0)
-                keep &= share >= np.partition(share, -best, axis=1)[:, -best, None]
-            r, c = np.nonzero(keep)
-            found.append(np.stack([node[own[r]], node[them[c]]]))
-        u, v = np.concatenate(found, axis=1) if found else np.empty((2, 0), np.int64)
-        return np.minimum(u, v), np.maximum(u, v)
+            short = np.minimum(length[own][:, None], length[them][None, :])
+            keep &= 100 * short >= percent * np.maximum(length[own][:, None], length[them][None, :])
+            for r, i in enumerate(own):
+                near = them[np.flatnonzero(keep[r])]
+                if not len(near):
+                    continue
+                marked[codes[first[i] : first[i + 1]]] = True
+                for j in near:
+                    if forest.top(int(root[i])) != forest.top(int(root[j])):
+                        both = int(np.count_nonzero(marked[codes[first[j] : first[j + 1]]]))
+                        if 100 * both >= percent * (length[i] + length[j] - both):
+                            forest.joins(int(root[i]), int(root[j]))
+                            found.append((min(node[i], node[j]), max(node[i], node[j])))
+                marked[codes[first[i] : first[i + 1]]] = False
+        return found
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.Table] = []
 
         def flush():
-            u, v = pairs(pa.concat_tables(held).combine_chunks())
+            found = np.array(links(pa.concat_tables(held).combine_chunks()), dtype=np.int64).reshape(-1, 2)
             held.clear()
-            return pa.record_batch([pa.array(u), pa.array(v)], names=["u", "v"])
+            return pa.record_batch([pa.array(found[:, 0]), pa.array(found[:, 1])], names=["u", "v"])
 
         last = None
         for batch in batches:
@@ -174,10 +209,10 @@ def near_duplicates(
       are banded. Nodes that share a band are candidates.
     * Candidates are first the nodes of a band with one of them, its centre, which is
       linear in the number of nodes. While bands hold several components and many pairs
-      across them, another centre is tried, then for each member outside the band's
-      largest component the few others that look most like it. Last, each such member is
-      compared with all members of other components, in blocks, by signature. So every
-      pair of a band is linked, in one component already, or compared.
+      across them, another centre is tried. Last, each member outside a band's largest
+      component is compared with all members of other components, in blocks to which the
+      full sets are brought, so that links alone come out of them. So every pair of a band
+      is linked, in one component already, or compared.
     * Candidates whose signatures agree well enough (five and a half deviations below
       the threshold) are confirmed on their full sets of 64-bit shingle hashes.
     * Components come from alternating large-star and small-star.
@@ -241,7 +276,7 @@ def _grouped(
         F.sequence(F.lit(0), F.lit(bands - 1)),
         lambda i: F.xxhash64(i, F.substring("sign", i * step + 1, F.lit(step))),
     )
-    banded = nodes.select("node", F.posexplode(keys).alias("number", "band"))
+    banded = nodes.select("node", F.col("n").alias("length"), F.posexplode(keys).alias("number", "band"))
     centres = banded.groupBy("band").agg(F.min("node").alias("centre"), F.count(F.lit(1)).alias("n"))
     members = written(banded.join(centres.where("n > 1").drop("n"), "band"), "members")
     # Full sets of all nodes that share a band; they are needed for any confirmation.
@@ -275,17 +310,18 @@ def _grouped(
     edges: DataFrame | None = None
     phase = "centre"
     while True:
-        more = written(confirmed(alike(pairs) if phase in ("centre", "other centre") else pairs), "edges")
+        more = written(confirmed(alike(pairs)) if phase != "all" else pairs, "edges")
         edges = more if edges is None else edges.unionByName(more)
         roots = components(edges)
         if phase == "all":
             break
         placed = members.join(roots, "node", "left")
-        placed = placed.select("band", "number", "node", F.coalesce("root", "node").alias("root"))
-        parts = placed.groupBy("band", "root").agg(F.count(F.lit(1)).alias("n"))
+        placed = placed.select("band", "number", "node", "length", F.coalesce("root", "node").alias("root"))
+        parts = placed.groupBy("band", "root").agg(F.count(F.lit(1)).alias("n"), F.sum("length").alias("length"))
         mixed = parts.groupBy("band").agg(
             F.sum("n").alias("size"),
-            F.max(F.struct("n", "root")).alias("main"),
+            F.sum("length").alias("shingles"),
+            F.max(F.struct("n", "root", "length")).alias("main"),
             (F.pow(F.sum("n"), 2) - F.sum(F.col("n") * F.col("n"))).alias("across"),
         )
         mixed = mixed.where("across > 0")
@@ -293,9 +329,8 @@ def _grouped(
         if not across:
             break
         placed = written(placed.join(mixed, "band"), "mixed")
-        # Tries that are linear in the members come first while the pairs are many.
-        tries = {"centre": "other centre", "other centre": "best", "best": "all"}
-        phase = tries[phase] if across > 4 * size else "all"
+        # A try that is linear in the members comes first while the pairs are many.
+        phase = "other centre" if phase == "centre" and across > 4 * size else "all"
         if phase == "other centre":
             centre = placed.groupBy("band").agg(
                 F.min_by(F.struct("node", "root"), F.xxhash64("node", F.lit(1))).alias("centre")
@@ -304,8 +339,12 @@ def _grouped(
             u, v = F.col("node"), F.col("centre.node")
             pairs = pairs.select(F.least(u, v).alias("u"), F.greatest(u, v).alias("v")).distinct()
             continue
-        blocks = F.ceil(F.col("size") / BLOCK).cast("int")
-        chunks_of = F.ceil((F.col("size") - F.col("main.n")) / BLOCK).cast("int")
+
+        def parts_of(count, shingles):
+            return F.ceil(F.greatest(count / BLOCK, shingles / BLOCK_SHINGLES)).cast("int")
+
+        blocks = parts_of(F.col("size"), F.col("shingles"))
+        chunks_of = parts_of(F.col("size") - F.col("main.n"), F.col("shingles") - F.col("main.length"))
         own = F.pmod(F.xxhash64("node"), blocks).cast("int")
         part = F.pmod(F.xxhash64("node", F.lit("chunk")), chunks_of).cast("int")
         kept = ["band", "number", "node", "root"]
@@ -313,10 +352,9 @@ def _grouped(
         stray = placed.where("root <> main.root")
         stray = stray.select(*kept, F.explode(F.sequence(F.lit(0), blocks - 1)).alias("block"), part.alias("chunk"))
         both = member.withColumn("stray", F.lit(False)).unionByName(stray.withColumn("stray", F.lit(True)))
-        both = both.join(nodes.select("node", "sign"), "node").repartition("band", "block", "chunk")
+        both = both.join(nodes.select("node", "sign"), "node").join(sets, "node").repartition("band", "block", "chunk")
         both = both.sortWithinPartitions("band", "block", "chunk")
-        look = _across(bands, rows, least, BEST if phase == "best" else None)
-        pairs = written(both.mapInArrow(look, "u long, v long").distinct(), "across")
+        pairs = both.mapInArrow(_across(bands, rows, least, percent), "u long, v long")
 
     known = nodes.join(roots, "node", "left").select("node", "first", F.coalesce("root", "node").alias("root"))
     smallest = known.groupBy("root").agg(F.min("first").alias("first"))
