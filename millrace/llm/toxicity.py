@@ -11,10 +11,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm.text import chunks, hash_spans, mix, randoms, split_words
-from millrace.session import written
 
 BITS = 20
-BLOCK = 1 << 12
 STEM_BYTES = (4, 6)
 _U = np.uint64
 # Words of letters and digits: everything beyond ASCII counts as a letter.
@@ -65,9 +63,9 @@ class Ftrl:
 
     def __init__(self, bits: int, alpha: float = 1.0, beta: float = 1.0, l1: float = 4.0, l2: float = 0.5):
         self.alpha, self.beta, self.l1, self.l2 = alpha, beta, l1, l2
-        # The intercept follows the features; the rest of its block is unused.
+        # The intercept follows the features.
         self.bias = 1 << bits
-        self.z, self.n = np.zeros(self.bias + BLOCK), np.zeros(self.bias + BLOCK)
+        self.z, self.n = np.zeros(self.bias + 1), np.zeros(self.bias + 1)
 
     def weights(self, at: np.ndarray | slice) -> np.ndarray:
         z, n = self.z[at], self.n[at]
@@ -110,16 +108,6 @@ class ToxicityModel:
         return score
 
 
-def _merge(table: pa.Table) -> pa.Table:
-    """One block's changes, averaged over the learners that met a feature, in the order of learners."""
-    table = table.sort_by("part")
-    moves = np.stack([np.frombuffer(m, dtype="<f8").reshape(2, BLOCK) for m in table.column("moves").to_pylist()])
-    met = np.maximum((moves != 0).any(axis=1).sum(axis=0), 1)
-    block = table.column("block")[0].as_py()
-    mean = moves.sum(axis=0) / met
-    return pa.table({"block": pa.array([block], pa.int32()), "moves": pa.array([mean.tobytes()], pa.binary())})
-
-
 def fit_toxicity(
     docs: DataFrame,
     labels: DataFrame,
@@ -128,19 +116,16 @@ def fit_toxicity(
     label_col: str = "toxic",
     train_on: Column | None = None,
     train_rows: int = 20_000,
-    parts: int = 4,
     epochs: int = 8,
     bits: int = BITS,
 ) -> ToxicityModel:
     """Learn the labels (0 or 1) of the ``train_rows`` labelled rows with the least hash of their id.
 
     ``train_on`` restricts the rows of ``labels``. Rows with a null id or label are left
-    out. The sample is dealt to ``parts`` learners. In each epoch every learner goes on
-    from the shared state over its rows, and the changes of all are averaged, weighted by
-    how many learners met a feature. State and weights have ``2 ** bits`` entries at most,
-    whatever the documents; only non-zero weights are kept.
+    out. Executors turn the sample's whole texts into feature numbers; one task, whose input
+    ``train_rows`` bounds, learns them ``epochs`` times, one after another in the order of
+    the hash, and hands on the non-zero weights alone, ``2 ** bits`` at most.
     """
-    spark = docs.sparkSession
     marked = labels if train_on is None else labels.where(train_on)
     marked = marked.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("label")).dropna().distinct()
     order = F.xxhash64(F.col("id"), F.lit("train"))
@@ -156,44 +141,35 @@ def fit_toxicity(
                 names=["order", "label", "features"],
             )
 
+    def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = pa.Table.from_batches(batches, schema=train_schema)
+        table = table.sort_by([("order", "ascending"), ("label", "ascending"), ("features", "ascending")])
+        if not len(table):
+            return
+        own = Ftrl(bits)
+        held = [np.frombuffer(data, dtype="<i4") for data in table.column("features").to_pylist()]
+        labels = [int(label > 0) for label in table.column("label").to_pylist()]
+        for _ in range(epochs):
+            for at, label in zip(held, labels):
+                own.learn(at, label)
+        weights = own.weights(slice(0, 1 << bits))
+        numbers = np.flatnonzero(weights)
+        yield pa.record_batch(
+            [
+                pa.array([numbers.astype("<i8").tobytes()], pa.binary()),
+                pa.array([weights[numbers].astype("<f8").tobytes()], pa.binary()),
+                pa.array([own.intercept()]),
+            ],
+            names=["numbers", "weights", "intercept"],
+        )
+
+    train_schema = pa.schema([("order", pa.int64()), ("label", pa.int32()), ("features", pa.binary())])
     train = rows.mapInArrow(extract, "order long, label int, features binary")
-    train = written(train.withColumn("part", F.pmod("order", F.lit(parts)).cast("int")), "toxicity-train")
-
-    state = Ftrl(bits)
-    if train.isEmpty():
+    found = train.repartition(1).mapInArrow(learn, "numbers binary, weights binary, intercept double").first()
+    if found is None:
         return ToxicityModel(bits, np.empty(0, np.int64), np.empty(0), -1.0)
-    for _ in range(epochs):
-        held = spark.sparkContext.broadcast((state.z, state.n))
-
-        def learn(table: pa.Table) -> pa.Table:
-            own = Ftrl(bits)
-            z, n = held.value
-            own.z[:], own.n[:] = z, n
-            table = table.sort_by([("order", "ascending"), ("label", "ascending"), ("features", "ascending")])
-            for label, data in zip(table.column("label").to_pylist(), table.column("features").to_pylist()):
-                own.learn(np.frombuffer(data, dtype="<i4"), int(label > 0))
-            moves = np.stack([own.z - z, own.n - n]).reshape(2, -1, BLOCK)
-            blocks = np.flatnonzero(moves.any(axis=(0, 2)))
-            part = table.column("part")[0].as_py()
-            return pa.table(
-                {
-                    "block": pa.array(blocks, pa.int32()),
-                    "part": pa.array([part] * len(blocks), pa.int32()),
-                    "moves": pa.array([moves[:, b].tobytes() for b in blocks], pa.binary()),
-                }
-            )
-
-        moved = train.groupBy("part").applyInArrow(learn, "block int, part int, moves binary")
-        moved = moved.groupBy("block").applyInArrow(_merge, "block int, moves binary")
-        for row in moved.collect():
-            at = slice(row.block * BLOCK, (row.block + 1) * BLOCK)
-            dz, dn = np.frombuffer(row.moves, dtype="<f8").reshape(2, BLOCK)
-            state.z[at] += dz
-            state.n[at] += dn
-        held.unpersist()
-    weights = state.weights(slice(0, 1 << bits))
-    numbers = np.flatnonzero(weights)
-    return ToxicityModel(bits, numbers, weights[numbers], state.intercept())
+    numbers, weights = np.frombuffer(found.numbers, dtype="<i8"), np.frombuffer(found.weights, dtype="<f8")
+    return ToxicityModel(bits, numbers, weights, found.intercept)
 
 
 def score_toxicity(

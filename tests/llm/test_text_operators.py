@@ -12,8 +12,11 @@ import pytest
 from pyspark.sql import functions as F
 
 from millrace.llm.collocations import collocations, frequent_phrases
+from millrace.llm.minhash import near_duplicates
 from millrace.llm.quality import Learner, Pieces, quality
 from millrace.llm.search import search
+from millrace.llm.toxicity import features, fit_toxicity
+from millrace.session import written
 
 SF_DIR = "/root/testdata/sf0.01"
 DOC = "doc_id long, text string, lang string, score string, rank string"
@@ -210,3 +213,78 @@ def test_quality_edge(spark):
     unlearned = quality(docs, labels.limit(0)).collect()
     assert {(round(r.score, 6), r.predicted) for r in unlearned} == {(round(1 / (1 + math.exp(-1)), 6), 1)}
     assert quality(docs.limit(0), labels).count() == 0
+
+
+def plain_ftrl(rows, epochs, bits, alpha=1.0, beta=1.0, l1=4.0, l2=0.5):
+    """One learner over all rows, coordinate by coordinate; the intercept has no penalty."""
+    z, n = defaultdict(float), defaultdict(float)
+
+    def weight(i):
+        if i == "bias":
+            return -z[i] * alpha / (beta + math.sqrt(n[i]))
+        if abs(z[i]) <= l1:
+            return 0.0
+        return -(z[i] - math.copysign(l1, z[i])) / ((beta + math.sqrt(n[i])) / alpha + l2)
+
+    for _ in range(epochs):
+        for own, label in rows:
+            weights = {i: weight(i) for i in [*own, "bias"]}
+            gradient = 1 / (1 + math.exp(-sum(weights.values()))) - label
+            for i, w in weights.items():
+                step = (math.sqrt(n[i] + gradient**2) - math.sqrt(n[i])) / alpha
+                z[i] += gradient - step * w
+                n[i] += gradient**2
+    return {i: weight(i) for i in z}
+
+
+def test_ftrl_is_the_sequential_one(spark):
+    rng = random.Random(6)
+    texts = [(i, " ".join(rng.choice("abcdefgh") * rng.randrange(1, 9) for _ in range(rng.randrange(0, 30)))) for i in range(120)]
+    docs = spark.createDataFrame(texts, "doc_id long, text string").repartition(5)
+    labels = spark.createDataFrame([(i, int("aa" in t.split() or "bbb" in t)) for i, t in texts], "doc_id long, toxic int")
+    order = labels.select("doc_id", "toxic", F.xxhash64("doc_id", F.lit("train")).alias("o")).orderBy("o").collect()
+    held = dict(texts)
+    rows = [(features(pa.array([held[r.doc_id]]), 14)[0].tolist(), r.toxic) for r in order]
+    expected = plain_ftrl(rows, 3, 14)
+    model = fit_toxicity(docs, labels, epochs=3, bits=14)
+    assert math.isclose(model.intercept, expected.pop("bias"), rel_tol=1e-9)
+    assert {i for i, w in expected.items() if w} == set(model.numbers.tolist())
+    assert all(math.isclose(w, expected[i], rel_tol=1e-9) for i, w in zip(model.numbers.tolist(), model.weights))
+    assert fit_toxicity(docs, labels.limit(0), bits=14).intercept == -1.0
+
+
+@pytest.mark.parametrize("size", [200, 400])
+def test_graded_copies_leave_no_square_of_rows(spark, size, monkeypatch):
+    """Copies that share bands without being linked: all links are found, and no rejected pair becomes a row."""
+    rng = random.Random(size)
+    base = [f"v{i}" for i in range(120)]
+    rows = []
+    for i in range(size):
+        own = list(base)
+        for at in rng.sample(range(120), rng.choice([6, 10, 12, 14])):
+            own[at] = f"x{rng.randrange(10**6)}"
+        rows.append((i, " ".join(own)))
+    made = {}
+
+    def counted(df, label, **options):
+        out = written(df, label, **options)
+        made[label] = max(made.get(label, 0), out.count())
+        return out
+
+    monkeypatch.setattr("millrace.llm.minhash.written", counted)
+    found = near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), shingle_words=1).collect()
+    sets = {i: set(t.split()) for i, t in rows}
+    parent = {i: i for i in sets}
+
+    def top(a):
+        while parent[a] != a:
+            a = parent[a]
+        return a
+
+    for a in sets:
+        for b in range(a):
+            if 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b]):
+                x, y = top(a), top(b)
+                parent[max(x, y)] = min(x, y)
+    assert {r.doc_id: r.component_id for r in found} == {i: top(i) for i in sets}
+    assert made["edges"] <= 32 * size
