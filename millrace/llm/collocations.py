@@ -14,9 +14,12 @@ from millrace.llm.ranking import best_rows
 from millrace.llm.text import chunks, grams, hash_spans, mix, randoms, split_words
 from millrace.session import written
 
-CHUNK_BYTES = 4 << 20
+CHUNK_BYTES = 2 << 20
 # Entries of stripes that a task holds before it hands them on.
-HELD_ENTRIES = 1 << 19
+HELD_ENTRIES = 1 << 18
+# A prefix with a larger share of all words is hot: its stripe goes in slices.
+HOT_SHARE = 1 / 4096
+SLICES = 64
 # Bits of the filter that a level leaves for the next: 8 MB, whatever the documents.
 FILTER_BITS = 26
 _U = np.uint64
@@ -54,17 +57,20 @@ def _gram_bits(words, lang: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarr
 
 
 class Filter:
-    """Bits of the phrases frequent at one level: none of them is missed, few others pass."""
+    """Bits of the phrases frequent at one level: none of them is missed, few others pass.
 
-    def __init__(self, bits: np.ndarray):
-        self.bits = bits
+    ``hot`` are the bits of those with more than ``HOT_SHARE`` of all words, so not many.
+    """
+
+    def __init__(self, bits: np.ndarray, hot: np.ndarray):
+        self.bits, self.hot = bits, hot
 
     def __call__(self, at: np.ndarray) -> np.ndarray:
         return (self.bits[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1
 
 
 def _occurrences(texts: pa.Array, langs: pa.Array, size: int, passes: Filter | None) -> pa.Table:
-    """``(lang, prefix, next, count)`` of the phrases of ``size`` words of some texts.
+    """``(lang, prefix, hot, next, count)`` of the phrases of ``size`` words of some texts.
 
     A phrase whose first or last ``size - 1`` words are not frequent cannot be frequent
     and is left out, for which ``passes`` knows the frequent ones.
@@ -79,15 +85,19 @@ def _occurrences(texts: pa.Array, langs: pa.Array, size: int, passes: Filter | N
     # Words of one piece: no stop between them, and one row.
     piece = np.concatenate([[0], np.cumsum(_STOPS[words.data])])[words.start] + row
     begin = np.flatnonzero(piece[:count] == piece[size - 1 :])
+    hot = np.ones(len(begin), dtype=np.int8)
     if passes is not None:
         bits, at = _gram_bits(words, _lang_hash(coded.dictionary)[lang], size - 1)
         good = np.zeros(len(words.hash), dtype=bool)
         good[at[passes(bits)]] = True
         begin = begin[good[begin] & good[begin + 1]]
+        heavy = np.zeros(len(words.hash), dtype=np.int8)
+        heavy[at[np.isin(bits, passes.hot)]] = 1
+        hot = heavy[begin]
     if not len(begin):
         return _NO_ENTRIES
     codes, known = _word_codes(words)
-    columns = {"lang": lang[row[begin]], **{f"w{j}": codes[begin + j] for j in range(size)}}
+    columns = {"lang": lang[row[begin]], "hot": hot, **{f"w{j}": codes[begin + j] for j in range(size)}}
     found = pa.table(columns).group_by(list(columns), use_threads=False).aggregate([([], "count_all")])
     taken = [known.take(found.column(f"w{j}")).combine_chunks() for j in range(size)]
     if size > 2:
@@ -98,6 +108,7 @@ def _occurrences(texts: pa.Array, langs: pa.Array, size: int, passes: Filter | N
         {
             "lang": coded.dictionary.take(found.column("lang")),
             "prefix": prefix,
+            "hot": found.column("hot"),
             "next": taken[-1],
             "count": found.column("count_all"),
         }
@@ -105,7 +116,13 @@ def _occurrences(texts: pa.Array, langs: pa.Array, size: int, passes: Filter | N
 
 
 _NO_ENTRIES = pa.schema(
-    [("lang", pa.large_string()), ("prefix", pa.large_string()), ("next", pa.large_string()), ("count", pa.int64())]
+    [
+        ("lang", pa.large_string()),
+        ("prefix", pa.large_string()),
+        ("hot", pa.int8()),
+        ("next", pa.large_string()),
+        ("count", pa.int64()),
+    ]
 ).empty_table()
 _STRIPE = "lang string, prefix string, slice int, words array<string>, counts array<long>"
 
@@ -116,13 +133,14 @@ def _added(parts: list[pa.Table], keys: list[str]) -> pa.Table:
     return found.rename_columns([*keys, "count"] if found.column_names[-1] == "count_sum" else ["count", *keys])
 
 
-def _stripes(entries: pa.Table, slices: int) -> Iterator[pa.RecordBatch]:
-    """Entries as stripes: one row per prefix and slice of the words after it."""
+def _stripes(entries: pa.Table) -> Iterator[pa.RecordBatch]:
+    """Entries as stripes: one row per prefix, or of a hot prefix per slice of the words after it."""
     if not len(entries):
         return
     lang, prefix = (entries.column(c).combine_chunks().dictionary_encode() for c in ("lang", "prefix"))
-    part = (_lang_hash(entries.column("next").combine_chunks()) % _U(slices)).astype(np.int64)
-    key = (lang.indices.to_numpy().astype(np.int64) * len(prefix.dictionary) + prefix.indices.to_numpy()) * slices + part
+    part = (_lang_hash(entries.column("next").combine_chunks()) % _U(SLICES)).astype(np.int64)
+    part *= entries.column("hot").to_numpy()
+    key = (lang.indices.to_numpy().astype(np.int64) * len(prefix.dictionary) + prefix.indices.to_numpy()) * SLICES + part
     order = np.argsort(key, kind="stable")
     key = key[order]
     first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
@@ -182,40 +200,43 @@ def _merged(batches: Iterator[pa.RecordBatch], least: int) -> Iterator[pa.Record
         yield from done(held)
 
 
-def _level(docs: DataFrame, size: int, passes, least: int, slices: int) -> DataFrame:
+_ENTRY = ["lang", "prefix", "hot", "next"]
+
+
+def _level(docs: DataFrame, size: int, passes, least: int) -> DataFrame:
     """Merged stripes of the prefixes of ``size - 1`` words: ``(lang, prefix, next, a)``."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = None if passes is None else Filter(passes.value)
+        known = None if passes is None else Filter(*passes.value)
         parts, held = [], 0
         for part in chunks(batches, 1, CHUNK_BYTES):
             found = _occurrences(part.column(1), part.column(0), size, known)
             parts.append(found)
             held += len(found)
             if held > HELD_ENTRIES:
-                parts = [_added(parts, ["lang", "prefix", "next"])]
+                parts = [_added(parts, _ENTRY)]
                 held = len(parts[0])
                 if held > HELD_ENTRIES // 2:
-                    yield from _stripes(parts[0], slices)
+                    yield from _stripes(parts[0])
                     parts, held = [], 0
         if parts:
-            yield from _stripes(_added(parts, ["lang", "prefix", "next"]), slices)
+            yield from _stripes(_added(parts, _ENTRY))
 
     keys = ["lang", "prefix", "slice"]
     stripes = docs.mapInArrow(scan, _STRIPE).repartition(*keys).sortWithinPartitions(*keys)
     return stripes.mapInArrow(lambda batches: _merged(batches, least), "lang string, prefix string, next string, a long")
 
 
-def _filter(phrases: DataFrame, size: int) -> np.ndarray:
-    """The bits of the phrases of ``size`` words, at most ``2 ** FILTER_BITS`` of them."""
+def _filter(phrases: DataFrame, size: int, heavy: float) -> tuple[np.ndarray, np.ndarray]:
+    """The bits of the phrases of ``size`` words, and the numbers of those counted ``heavy`` times or more."""
 
     def bits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             words = split_words(batch.column(1), letters=_LETTERS)
             found, _ = _gram_bits(words, _lang_hash(batch.column(0)), size)
-            yield pa.record_batch({"bit": found + 1})
+            yield pa.record_batch([pa.array(found + 1), batch.column(2)], names=["bit", "a"])
 
-    held = phrases.select("lang", "phrase").mapInArrow(bits, "bit long")
+    held = phrases.select("lang", "phrase", "a").mapInArrow(bits, "bit long, a long")
     maps = held.groupBy(F.bitmap_bucket_number("bit").alias("bucket")).agg(
         F.bitmap_construct_agg(F.bitmap_bit_position("bit")).alias("bits")
     )
@@ -223,7 +244,9 @@ def _filter(phrases: DataFrame, size: int) -> np.ndarray:
     for row in maps.collect():
         own = np.frombuffer(row.bits, dtype=np.uint8)
         found[(row.bucket - 1) * len(own) : row.bucket * len(own)] = own
-    return found
+    # Fewer than one for each HOT_SHARE of the words.
+    hot = held.where(F.col("a") >= heavy).select("bit").distinct().collect()
+    return found, np.array(sorted(row.bit - 1 for row in hot), dtype=np.int64)
 
 
 def frequent_phrases(
@@ -234,8 +257,8 @@ def frequent_phrases(
     ``a`` counts the occurrences of a phrase of 1 to ``longest`` words within pieces, overlaps
     included, if they are ``least`` or more. Level by level every prefix has a stripe, a
     counter of the words that follow it; tasks add up their own, and stripes of one prefix
-    meet sorted and are added elementwise, a hot prefix in slices by the hash of the next
-    word. A level counts the phrases alone whose two parts without the last and the first
+    meet sorted and are added elementwise, those of a hot prefix in slices by the hash of the
+    next word. A level counts the phrases alone whose two parts without the last and the first
     word pass the filter of the level before, which loses nothing: neither part is rarer
     than the phrase. The filter has a fixed size; what passes it by chance is counted too.
     """
@@ -245,10 +268,10 @@ def frequent_phrases(
     )
     levels, words, passes = [], None, None
     for size in range(1, longest + 1):
-        slices = max(1, 256 >> 2 * (size - 1))
-        held = written(_level(docs, size, passes, least, slices), f"stripes-{size}")
+        held = written(_level(docs, size, passes, least), f"stripes-{size}")
         if size == 1:
             words = held.where("next is null").groupBy("lang").agg(F.sum("a").alias("n"))
+            heavy = (words.agg(F.sum("n")).first()[0] or 0) * HOT_SHARE
             phrase, rest = F.col("next"), F.lit(None).cast("string")
         else:
             phrase = F.concat_ws(" ", "prefix", "next")
@@ -258,10 +281,10 @@ def frequent_phrases(
         )
         levels.append(level)
         if size < longest:
-            bits = _filter(level, size)
+            bits, hot = _filter(level, size, heavy)
             if not bits.any():
                 break
-            passes = spark.sparkContext.broadcast(bits)
+            passes = spark.sparkContext.broadcast((bits, hot))
     found = levels[0]
     for level in levels[1:]:
         found = found.unionByName(level)
