@@ -16,7 +16,7 @@ from millrace.session import written
 
 CHUNK_BYTES = 2 << 20
 # Entries of stripes that a task holds before it hands them on.
-HELD_ENTRIES = 1 << 18
+HELD_ENTRIES = 1 << 20
 # A prefix with a larger share of all words is hot: its stripe goes in slices.
 HOT_SHARE = 1 / 4096
 SLICES = 64
@@ -69,8 +69,28 @@ class Filter:
         return (self.bits[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1
 
 
-def _occurrences(texts: pa.Array, langs: pa.Array, size: int, passes: Filter | None) -> pa.Table:
-    """``(lang, prefix, hot, next, count)`` of the phrases of ``size`` words of some texts.
+class Numbers:
+    """Numbers for the distinct texts that a task holds, in the order in which they come."""
+
+    def __init__(self):
+        self.known = pa.array([], pa.large_string())
+
+    def of(self, texts: pa.Array) -> np.ndarray:
+        """The numbers of distinct texts."""
+        found = pc.index_in(texts, value_set=self.known)
+        fresh = found.is_null().to_numpy(zero_copy_only=False)
+        numbers = found.fill_null(0).to_numpy().astype(np.int32)
+        numbers[fresh] = len(self.known) + np.arange(fresh.sum())
+        self.known = pa.concat_arrays([self.known, texts.filter(pa.array(fresh))])
+        return numbers
+
+
+def _occurrences(
+    texts: pa.Array, langs: pa.Array, size: int, passes: Filter | None, words_of: Numbers, langs_of: Numbers
+) -> pa.Table | None:
+    """Phrases of ``size`` words of some texts: numbers of language and words, and their count.
+
+    ``hot`` tells whether the words before the last are a hot prefix.
 
     A phrase whose first or last ``size - 1`` words are not frequent cannot be frequent
     and is left out, for which ``passes`` knows the frequent ones.
@@ -81,7 +101,7 @@ def _occurrences(texts: pa.Array, langs: pa.Array, size: int, passes: Filter | N
     row = words.row
     count = len(words.hash) - size + 1
     if count <= 0:
-        return _NO_ENTRIES
+        return None
     # Words of one piece: no stop between them, and one row.
     piece = np.concatenate([[0], np.cumsum(_STOPS[words.data])])[words.start] + row
     begin = np.flatnonzero(piece[:count] == piece[size - 1 :])
@@ -95,71 +115,73 @@ def _occurrences(texts: pa.Array, langs: pa.Array, size: int, passes: Filter | N
         heavy[at[np.isin(bits, passes.hot)]] = 1
         hot = heavy[begin]
     if not len(begin):
-        return _NO_ENTRIES
+        return None
     codes, known = _word_codes(words)
     columns = {"lang": lang[row[begin]], "hot": hot, **{f"w{j}": codes[begin + j] for j in range(size)}}
-    found = pa.table(columns).group_by(list(columns), use_threads=False).aggregate([([], "count_all")])
-    taken = [known.take(found.column(f"w{j}")).combine_chunks() for j in range(size)]
-    if size > 2:
-        prefix = pc.binary_join_element_wise(*taken[:-1], pa.scalar(" ", pa.large_string()))
-    else:
-        prefix = taken[0] if size == 2 else pa.array([""] * len(found), pa.large_string())
+    found = _added([pa.table({**columns, "count": np.ones(len(begin), dtype=np.int64)})])
+    # Words of phrases that were left out have no number.
+    met = np.zeros(len(known), dtype=bool)
+    for j in range(size):
+        met[found.column(f"w{j}").to_numpy()] = True
+    number = np.zeros(len(known), dtype=np.int32)
+    number[met] = words_of.of(known.filter(pa.array(met)))
+    own = langs_of.of(coded.dictionary.cast(pa.large_string()))
     return pa.table(
         {
-            "lang": coded.dictionary.take(found.column("lang")),
-            "prefix": prefix,
+            "lang": own[found.column("lang").to_numpy()],
             "hot": found.column("hot"),
-            "next": taken[-1],
-            "count": found.column("count_all"),
+            **{f"w{j}": number[found.column(f"w{j}").to_numpy()] for j in range(size)},
+            "count": found.column("count"),
         }
-    ).cast(_NO_ENTRIES.schema)
+    )
 
 
-_NO_ENTRIES = pa.schema(
-    [
-        ("lang", pa.large_string()),
-        ("prefix", pa.large_string()),
-        ("hot", pa.int8()),
-        ("next", pa.large_string()),
-        ("count", pa.int64()),
-    ]
-).empty_table()
-_STRIPE = "lang string, prefix string, slice int, words array<string>, counts array<long>"
+# The words of a stripe are joined by spaces, which none of them holds; counts are 4 bytes each.
+_STRIPE = "lang string, prefix string, slice int, words string, counts binary"
 
 
-def _added(parts: list[pa.Table], keys: list[str]) -> pa.Table:
-    """Counters of the same keys added elementwise."""
+def _added(parts: list[pa.Table]) -> pa.Table:
+    """Counters of the same keys, all columns but ``count``, added elementwise."""
+    keys = [name for name in parts[0].column_names if name != "count"]
     found = pa.concat_tables(parts).combine_chunks().group_by(keys, use_threads=False).aggregate([("count", "sum")])
-    return found.rename_columns([*keys, "count"] if found.column_names[-1] == "count_sum" else ["count", *keys])
+    return found.select([*keys, "count_sum"]).rename_columns([*keys, "count"])
 
 
-def _stripes(entries: pa.Table) -> Iterator[pa.RecordBatch]:
+def _stripes(entries: pa.Table, size: int, words_of: Numbers, langs_of: Numbers) -> Iterator[pa.RecordBatch]:
     """Entries as stripes: one row per prefix, or of a hot prefix per slice of the words after it."""
-    if not len(entries):
-        return
-    lang, prefix = (entries.column(c).combine_chunks().dictionary_encode() for c in ("lang", "prefix"))
-    part = (_lang_hash(entries.column("next").combine_chunks()) % _U(SLICES)).astype(np.int64)
-    part *= entries.column("hot").to_numpy()
-    key = (lang.indices.to_numpy().astype(np.int64) * len(prefix.dictionary) + prefix.indices.to_numpy()) * SLICES + part
-    order = np.argsort(key, kind="stable")
-    key = key[order]
-    first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
-    edges = pa.array(np.append(first, len(key)).astype(np.int32))
-    own = entries.take(pa.array(order[first]))
-    words = entries.column("next").combine_chunks().cast(pa.string()).take(pa.array(order))
-    counts = entries.column("count").combine_chunks().take(pa.array(order))
-    batch = pa.record_batch(
-        [
-            own.column("lang").combine_chunks().cast(pa.string()),
-            own.column("prefix").combine_chunks().cast(pa.string()),
-            pa.array(part[order[first]].astype(np.int32)),
-            pa.ListArray.from_arrays(edges, words),
-            pa.ListArray.from_arrays(edges, counts),
-        ],
-        names=["lang", "prefix", "slice", "words", "counts"],
-    )
-    for low in range(0, batch.num_rows, 10_000):
-        yield batch.slice(low, 10_000)
+    last = entries.column(f"w{size - 1}").to_numpy()
+    part = (_lang_hash(words_of.known) % _U(SLICES)).astype(np.int32)[last] * entries.column("hot").to_numpy()
+    keys = [entries.column("lang").to_numpy(), *(entries.column(f"w{j}").to_numpy() for j in range(size - 1)), part]
+    order = np.lexsort(keys[::-1])
+    keys = [key[order] for key in keys]
+    fresh = np.ones(len(order), dtype=bool)
+    fresh[1:] = np.any([key[1:] != key[:-1] for key in keys], axis=0)
+    first = np.flatnonzero(fresh)
+    edges = np.append(first, len(order))
+    last, counts = last[order], entries.column("count").to_numpy()[order].astype("<u4")
+    for low in range(0, len(first), 10_000):
+        at = first[low : low + 10_000]
+        end = edges[min(low + 10_000, len(first))]
+        bounds = np.append(at, end) - at[0]
+        before = [words_of.known.take(pa.array(key[at])) for key in keys[1:-1]]
+        if len(before) > 1:
+            prefix = pc.binary_join_element_wise(*before, pa.scalar(" ", pa.large_string()))
+        else:
+            prefix = before[0] if before else pa.array([""] * len(at), pa.large_string())
+        bounds = bounds.astype(np.int32)
+        after = words_of.known.take(pa.array(last[at[0] : end])).cast(pa.string())
+        words = pa.ListArray.from_arrays(pa.array(bounds), after)
+        held = pa.py_buffer(counts[at[0] : end].tobytes())
+        yield pa.record_batch(
+            [
+                langs_of.known.take(pa.array(keys[0][at])).cast(pa.string()),
+                prefix.cast(pa.string()),
+                pa.array(keys[-1][at].astype(np.int32)),
+                pc.binary_join(words, " "),
+                pa.Array.from_buffers(pa.binary(), len(at), [None, pa.py_buffer((bounds * 4).tobytes()), held]),
+            ],
+            names=["lang", "prefix", "slice", "words", "counts"],
+        )
 
 
 def _merged(batches: Iterator[pa.RecordBatch], least: int) -> Iterator[pa.RecordBatch]:
@@ -182,16 +204,15 @@ def _merged(batches: Iterator[pa.RecordBatch], least: int) -> Iterator[pa.Record
     for batch in batches:
         if not batch.num_rows:
             continue
-        words = batch.column(3)
+        words = pc.split_pattern(batch.column(3), " ")
         rows = pc.list_parent_indices(words)
+        counts = np.frombuffer(b"".join(batch.column(4).to_pylist()), dtype="<u4").astype(np.int64)
         flat = pa.table(
-            [batch.column(0).take(rows), batch.column(1).take(rows), batch.column(2).take(rows), words.flatten(),
-             batch.column(4).flatten()],
-            names=[*keys, "count"],
-        )
+            [*(batch.column(i).take(rows) for i in range(3)), words.flatten(), pa.array(counts)], names=[*keys, "count"]
+        )
         end = batch.num_rows - 1
         last = [batch.column(i)[end] for i in range(3)]
-        flat = _added([flat] if held is None else [held, flat], keys)
+        flat = _added([flat] if held is None else [held, flat])
         same = pc.and_(pc.equal(flat.column("lang"), last[0]), pc.equal(flat.column("prefix"), last[1]))
         same = pc.and_(same, pc.equal(flat.column("slice"), last[2]))
         held = flat.filter(same)
@@ -200,27 +221,26 @@ def _merged(batches: Iterator[pa.RecordBatch], least: int) -> Iterator[pa.Record
         yield from done(held)
 
 
-_ENTRY = ["lang", "prefix", "hot", "next"]
-
-
 def _level(docs: DataFrame, size: int, passes, least: int) -> DataFrame:
     """Merged stripes of the prefixes of ``size - 1`` words: ``(lang, prefix, next, a)``."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = None if passes is None else Filter(*passes.value)
-        parts, held = [], 0
+        parts, held, words_of, langs_of = [], 0, Numbers(), Numbers()
         for part in chunks(batches, 1, CHUNK_BYTES):
-            found = _occurrences(part.column(1), part.column(0), size, known)
+            found = _occurrences(part.column(1), part.column(0), size, known, words_of, langs_of)
+            if found is None:
+                continue
             parts.append(found)
             held += len(found)
             if held > HELD_ENTRIES:
-                parts = [_added(parts, _ENTRY)]
+                parts = [_added(parts)]
                 held = len(parts[0])
                 if held > HELD_ENTRIES // 2:
-                    yield from _stripes(parts[0])
-                    parts, held = [], 0
+                    yield from _stripes(parts[0], size, words_of, langs_of)
+                    parts, held, words_of, langs_of = [], 0, Numbers(), Numbers()
         if parts:
-            yield from _stripes(_added(parts, _ENTRY))
+            yield from _stripes(_added(parts), size, words_of, langs_of)
 
     keys = ["lang", "prefix", "slice"]
     stripes = docs.mapInArrow(scan, _STRIPE).repartition(*keys).sortWithinPartitions(*keys)
