@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Mapping
 
 import numpy as np
@@ -10,7 +11,9 @@ from pyspark.sql import functions as F
 
 from millrace.session import written
 
-BUCKETS = 4096
+BUCKETS, MISFIT = 4096, 1e-3
+
+log = logging.getLogger(__name__)
 
 
 def _word_buckets(text: Column, buckets: int) -> Column:
@@ -63,8 +66,9 @@ def fit_domains(
     label = F.col(label_col).cast("string")
     marked = labels.select(F.col(id_col).alias("id"), label.alias("label")).dropna().distinct()
     sample = marked.orderBy(F.xxhash64("id"), "id", "label").limit(train_rows)
-    texts = docs.select(F.col(id_col).alias("id"), _word_buckets(F.col(text_col), buckets).alias("buckets"))
-    known = texts.join(F.broadcast(sample), "id").select("label", "buckets", F.size("buckets").alias("size"))
+    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(F.broadcast(sample), "id")
+    known = texts.select("label", _word_buckets(F.col("text"), buckets).alias("buckets"))
+    known = known.select("label", "buckets", F.size("buckets").alias("size"))
     words = known.select("label", "size", F.explode_outer("buckets").alias("bucket"))
     sums = words.groupBy("label", "bucket").agg(F.sum(F.lit(1.0) / F.greatest("size", F.lit(1))).alias("s")).collect()
     if not sums:
@@ -173,8 +177,8 @@ def mixing_rates(
     fraction, decided by a hash of the row, so that totals match and reruns agree.
 
     An empty or null text has no tokens; its shares are the classifier's priors. Targets
-    out of reach (a domain without tokens) are met as nearly as least squares allow. Null
-    ids and repeated rows are treated like other rows. Documents may have any further
+    out of reach (a domain without tokens) are met as nearly as least squares allow; a
+    distance of more than ``MISFIT`` of the budget is logged. Null ids and repeated rows are treated like other rows. Documents may have any further
     columns. An empty table gives an empty result.
     """
     model = fit_domains(docs, labels, label_col, id_col, text_col, train_rows)
@@ -190,7 +194,9 @@ def mixing_rates(
     scored = written(
         scores.select(*kept, "tokens", _normalised("scores", len(model.domains)).alias("share")), "scored"
     )
-    steps, _ = fit_rates(scored, model.domains, targets, budget)
+    steps, misfit = fit_rates(scored, model.domains, targets, budget)
+    if misfit and misfit[-1] > MISFIT:
+        log.warning("expected totals miss their targets by up to %.4f of the budget", misfit[-1])
     rated = scored.withColumn("rate", _rate("share", steps))
     unit = F.pmod("draw", F.lit(1 << 40)) / F.lit(float(1 << 40))
     copies = (F.floor("rate") + (unit < F.col("rate") - F.floor("rate")).cast("int")).cast("int")
