@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from millrace.session import written
 
 _BITS = 62
+REPEATED = 1 << 16
 
 
 def ring(spark: SparkSession, shards: int, virtual: int) -> list[tuple[int, int]]:
@@ -80,7 +81,8 @@ def assign_shards(
 
     ``size`` is the UTF-8 length plus 8; a null text has CRC 0 and size 8, as has an
     empty one. Null ids have a place like any other id. Repeated rows are counted before
-    they are ranked and take neighbouring places. Other columns are not read. An empty
+    they are ranked and take neighbouring places; a row that occurs more than ``REPEATED``
+    times is written out by several tasks. Other columns are not read. An empty
     table gives an empty result.
     """
     if slots & (slots - 1):
@@ -105,7 +107,12 @@ def assign_shards(
     )
     before = Window.partitionBy("ring_slot").orderBy("place", "id", "crc", "size")
     ranked = rows.withColumn("end", F.sum("copies").over(before.rowsBetween(Window.unboundedPreceding, 0)))
-    ranked = ranked.withColumn("rank", F.explode(F.sequence(F.col("end") - F.col("copies"), F.col("end") - F.lit(1))))
+    ranked = ranked.withColumn("first", F.col("end") - F.col("copies"))
+    hot = ranked.where(F.col("copies") > REPEATED).withColumn("all", F.col("end"))
+    hot = hot.withColumn("first", F.explode(F.sequence("first", F.col("all") - F.lit(1), F.lit(REPEATED).cast("long"))))
+    hot = hot.withColumn("end", F.least(F.col("first") + F.lit(REPEATED), "all")).repartition("ring_slot", "first")
+    ranked = ranked.where(F.col("copies") <= REPEATED).unionByName(hot.drop("all"))
+    ranked = ranked.withColumn("rank", F.explode(F.sequence("first", F.col("end") - F.lit(1))))
     found = ranked.join(
         F.broadcast(runs),
         (F.col("ring_slot") == F.col("run_slot")) & (F.col("rank") >= F.col("low")) & (F.col("rank") < F.col("high")),
