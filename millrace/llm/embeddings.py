@@ -14,7 +14,7 @@ from millrace.llm.components import components
 from millrace.llm.hnsw import Graph
 from millrace.session import written
 
-SHARDS, SHARD_ROWS, GROUP_ROWS = 8, 250_000, 16_384
+SHARDS, SHARD_ROWS, SHARD_BYTES, GROUP_ROWS = 8, 250_000, 256 << 20, 16_384
 AUDIT_BLOCK = 512
 
 log = logging.getLogger(__name__)
@@ -45,27 +45,50 @@ def _build(table: pa.Table) -> pa.Table:
     )
 
 
-def _forest(left: np.ndarray, right: np.ndarray) -> list[tuple[int, int]]:
-    """Of these pairs, as few as keep what they link together."""
-    parent: dict[int, int] = {}
+class _Forest:
+    """Of pairs that come in blocks, few more than those that keep what they link together."""
 
-    def top(a: int) -> int:
-        while (up := parent.setdefault(a, a)) != a:
-            parent[a] = parent[up]
-            a = up
-        return a
+    def __init__(self, left: np.ndarray, right: np.ndarray):
+        self.ids, at = np.unique(np.concatenate([left, right]), return_inverse=True)
+        self.left, self.right = at[: len(left)], at[len(left) :]
+        self.root = np.arange(len(self.ids))
+        self.kept: list[tuple[int, int]] = []
 
-    kept = []
-    for a, b in zip(left.tolist(), right.tolist()):
-        x, y = top(a), top(b)
+    def add(self, left: np.ndarray, right: np.ndarray) -> None:
+        """Pairs of places in the two lists. Each round joins every part with another one."""
+        u, v = self.left[left], self.right[right]
+        while True:
+            apart = self.root[u] != self.root[v]
+            u, v = u[apart], v[apart]
+            if not len(u):
+                return
+            picked = []
+            for side in (u, v):
+                pick = np.full(len(self.ids), -1)
+                pick[side] = np.arange(len(side))
+                picked.append(pick[pick >= 0])
+            for k in np.unique(np.concatenate(picked)).tolist():
+                self._join(u[k], v[k])
+            while (self.root != (above := self.root[self.root])).any():
+                self.root = above
+
+    def _join(self, a: int, b: int) -> None:
+        root, x, y = self.root, a, b
+        while root[x] != x:
+            root[x] = x = root[root[x]]
+        while root[y] != y:
+            root[y] = y = root[root[y]]
         if x != y:
-            parent[max(x, y)] = min(x, y)
-            kept.append((a, b))
-    return kept
+            root[max(x, y)] = min(x, y)
+            self.kept.append((self.ids[a], self.ids[b]))
 
 
 def _look_up(least: float, beam: int):
-    """Links of a group of queries in one shard: rows ``(query, links, vectors linked)`` and edges."""
+    """Links of a group of queries in one shard: rows ``(query, links, vectors linked)`` and edges.
+
+    Similarities are found in single precision; pairs that its rounding leaves in doubt are
+    decided in double precision, the others by themselves. No more than a block of pairs is held.
+    """
 
     def run(queries: pa.Table, index: pa.Table) -> pa.Table:
         counts = (np.empty(0, np.int64),) * 3
@@ -75,21 +98,22 @@ def _look_up(least: float, beam: int):
             own = queries.column("node").to_numpy()
             q = _unit(_matrix(queries.column("vector")))
             graph = Graph(np.ascontiguousarray(unit, dtype=np.float32), layers)
-            row, found = graph.within(q, least - 1e-4, beam)
-            cosine = np.concatenate(
-                [
-                    np.einsum("fd,fd->f", q[row[i : i + 65536]], unit[found[i : i + 65536]])
-                    for i in range(0, len(row), 65536)
-                ]
-                or [np.empty(0)]
-            )
-            keep = (cosine >= least) & (own[row] != node[found])
-            row, found = row[keep], found[keep]
-            links = np.bincount(row, minlength=len(own))
-            vectors = np.bincount(row, weights=size[found], minlength=len(own)).astype(np.int64)
+            doubt = max(1e-4, (unit.shape[1] + 3) * 2.0**-23)
+            links, vectors = np.zeros(len(own), np.int64), np.zeros(len(own), np.int64)
+            forest = _Forest(own, node)
+            for row, found, sims in graph.blocks(q, least - doubt, beam):
+                keep = own[row] != node[found]
+                unsure = np.flatnonzero(keep & (sims < least + doubt))
+                for low in range(0, len(unsure), 65536):
+                    some = unsure[low : low + 65536]
+                    keep[some] = np.einsum("fd,fd->f", q[row[some]], unit[found[some]]) >= least
+                row, found = row[keep], found[keep]
+                links += np.bincount(row, minlength=len(own))
+                vectors += np.bincount(row, weights=size[found], minlength=len(own)).astype(np.int64)
+                forest.add(row, found)
             met = np.flatnonzero(links)
             counts = own[met], links[met], vectors[met]
-            edges = _forest(own[row], node[found])
+            edges = forest.kept
         u, v = np.array(edges, dtype=np.int64).reshape(-1, 2).T
         return pa.table(
             {
@@ -174,10 +198,11 @@ def near_vectors(
 
     * Equal vectors become one node, which counts as often as it occurs.
     * Nodes are dealt to ``shards`` shards by a hash, more if a shard would exceed
-      ``SHARD_ROWS``, fewer for very small tables, and each shard gets a hierarchical
-      small-world graph. Every node is in a graph and is a query to every shard, in
-      groups of ``GROUP_ROWS``. A query whose whole beam is linked searches on with a
-      beam twice as wide. Each hit is verified.
+      ``SHARD_ROWS`` or ``SHARD_BYTES``, fewer for very small tables, and each shard gets
+      a hierarchical small-world graph. Every node is in a graph and is a query to every
+      shard, in groups of ``GROUP_ROWS``. A query whose whole beam is linked walks on from
+      its hits, opening linked nodes alone, so a hot group costs its links and not more.
+      Each hit is verified.
     * Audit: ``audit_rows`` random nodes are compared with all nodes, then more, until
       ``audit_linked`` of them have links but no more than the first beam, or
       ``audit_most`` are drawn, which is logged. Each linked node counts alike, whatever
@@ -217,7 +242,8 @@ def near_vectors(
         count = F.lit(0)
         groups = F.lit(1)
         for dim, n in dims.items():
-            some = max(min(shards, -(-n // 512)), -(-n // SHARD_ROWS))
+            most = max(1, min(SHARD_ROWS, SHARD_BYTES // (8 * dim + 256)))
+            some = max(min(shards, -(-n // 512)), -(-n // most))
             count = F.when(F.col("dim") == dim, some).otherwise(count)
             groups = F.when(F.col("dim") == dim, -(-n // GROUP_ROWS)).otherwise(groups)
         shard = F.pmod(F.xxhash64("node", F.lit("shard")), count).cast("int")

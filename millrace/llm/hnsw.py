@@ -6,11 +6,14 @@ holds the first ``sizes[l]`` nodes. Every array step works on a whole batch of q
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 
 LINKS, BASE_LINKS = 12, 24
 BUILD_BEAM, RECONNECT = 48, 8
 BATCH, EXPAND = 256, 4
+WALKERS, OPENED = 256, 4096
 VISITED_BYTES = 64 << 20
 
 
@@ -212,28 +215,72 @@ class Graph:
         return entries
 
     def within(self, q: np.ndarray, least: float, beam: int) -> tuple[np.ndarray, np.ndarray]:
-        """Pairs ``(query, node)`` with a similarity of ``least`` or more.
+        """All pairs of ``blocks`` at once, as ``(query, node)``."""
+        queries, nodes = [], []
+        for row, node, _ in self.blocks(q, least, beam):
+            queries.append(row)
+            nodes.append(node)
+        return np.concatenate([*queries, np.empty(0, int)]), np.concatenate([*nodes, np.empty(0, int)])
 
-        A query whose whole beam is that similar searches again with one twice as wide.
+    def blocks(self, q: np.ndarray, least: float, beam: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """Pairs ``(query, node, similarity)`` of ``least`` or more, no pair twice, a block at a time.
+
+        A beam finds where the near nodes of a query lie. Queries whose whole beam is near
+        walk on from there, in batches of neighbours.
         """
         q = np.ascontiguousarray(q, dtype=np.float32)
         size = len(self.x)
-        queries, nodes = [], []
-        todo = np.arange(len(q))
-        while len(todo):
-            beam = min(beam, size)
-            step = max(1, min(512, VISITED_BYTES // max(size, beam * 64)))
-            wider = []
-            for low in range(0, len(todo), step):
-                own = todo[low : low + step]
-                entries = self._descend(q[own], 0, max(8, beam // 2))
-                ids, sims = _search(self.x, self.layers[0], q[own], entries, beam, size)
-                near = (sims >= least) & (ids >= 0)
-                full = near.all(axis=1) & (beam < size)
-                wider.append(own[full])
-                r, c = np.nonzero(near & ~full[:, None])
-                queries.append(own[r])
-                nodes.append(ids[r, c])
-            todo = np.concatenate(wider)
-            beam *= 2
-        return np.concatenate([*queries, np.empty(0, int)]), np.concatenate([*nodes, np.empty(0, int)])
+        beam = min(beam, size)
+        step = max(1, min(512, VISITED_BYTES // max(size, beam * 64)))
+        full, seeds = [np.empty(0, int)], [np.empty((0, beam), np.int32)]
+        for low in range(0, len(q), step):
+            own = np.arange(low, min(low + step, len(q)))
+            entries = self._descend(q[own], 0, max(8, beam // 2))
+            ids, sims = _search(self.x, self.layers[0], q[own], entries, beam, size)
+            near = (sims >= least) & (ids >= 0)
+            more = near.all(axis=1) & (beam < size)
+            r, c = np.nonzero(near & ~more[:, None])
+            yield own[r], ids[r, c], sims[r, c]
+            full.append(own[more])
+            seeds.append(ids[more])
+        hot, starts = np.concatenate(full), np.concatenate(seeds)
+        if not len(hot):
+            return
+        order = np.argsort(starts.min(axis=1), kind="stable")
+        behind = self._backward()
+        for low in range(0, len(order), WALKERS):
+            some = order[low : low + WALKERS]
+            yield from self._walk(hot[some], q[hot[some]], np.unique(starts[some]), behind, least)
+
+    def _backward(self) -> tuple[np.ndarray, np.ndarray]:
+        """The links of the lowest layer turned round: nodes that link to node ``n`` are ``[end[n], end[n + 1])``."""
+        links = self.layers[0]
+        source, column = np.nonzero(links >= 0)
+        target = links[source, column]
+        end = np.concatenate([[0], np.cumsum(np.bincount(target, minlength=len(links)))])
+        return source[np.argsort(target, kind="stable")], end
+
+    def _walk(self, own: np.ndarray, q: np.ndarray, ahead: np.ndarray, behind: tuple[np.ndarray, np.ndarray], least: float):
+        """Opens every node that is near to one of the queries, and no other, each once for all of them.
+
+        Links are followed both ways: a node whose own neighbours all dropped it is met too.
+        """
+        source, end = behind
+        seen = np.zeros(len(self.x), dtype=bool)
+        seen[ahead] = True
+        while len(ahead):
+            opened = []
+            for low in range(0, len(ahead), OPENED):
+                some = ahead[low : low + OPENED]
+                sims = q @ self.x[some].T
+                near = sims >= least
+                r, c = np.nonzero(near)
+                yield own[r], some[c], sims[r, c]
+                opened.append(some[near.any(axis=0)])
+            hits = np.concatenate(opened)
+            counts = end[hits + 1] - end[hits]
+            back = np.repeat(end[hits] - np.cumsum(counts) + counts, counts) + np.arange(counts.sum())
+            ahead = np.unique(np.concatenate([self.layers[0][hits].ravel(), source[back]]))
+            ahead = ahead[ahead >= 0]
+            ahead = ahead[~seen[ahead]]
+            seen[ahead] = True

@@ -12,9 +12,10 @@ from pyspark.sql import functions as F
 
 from check import TABLES
 from millrace.llm import queries as llm
+from millrace.llm import sharding
 from millrace.llm.chat import format_chats, parse_chat, read_back
 from millrace.llm.decontamination import contaminated, decontaminate
-from millrace.llm.embeddings import _recall, _truth, near_vectors
+from millrace.llm.embeddings import _Forest, _recall, _truth, near_vectors
 from millrace.llm.hnsw import Graph
 from millrace.llm.minhash import _least_share, drop_near_duplicates, near_duplicates
 from millrace.llm.mixing import mix, mixing_rates
@@ -183,6 +184,49 @@ def test_shards(spark, edge, nothing):
     assert assign_shards(nothing).count() == 0
 
 
+def test_shards_against_single_keys(spark):
+    """The ring walked one key after another gives the same shards."""
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet").select("doc_id", "text")
+    docs = docs.unionByName(docs.where("doc_id < 5").withColumn("text", F.lit(None).cast("string")))
+    shards, virtual, slots = 5, 8, 64
+    nodes = sharding.ring(spark, shards, virtual)
+    keys = docs.select(
+        F.xxhash64("doc_id", F.crc32(F.coalesce("text", F.lit(""))), F.coalesce(F.octet_length("text"), F.lit(0)).cast("long") + 8),
+        "doc_id",
+        F.crc32(F.coalesce("text", F.lit(""))).alias("crc"),
+    ).collect()
+    keys = sorted(((k[0] & (1 << 64) - 1) >> 2, k.doc_id, k.crc) for k in keys)
+    room = [len(keys) // shards + (s < len(keys) % shards) for s in range(shards)]
+    expected, over = {}, []
+    for place, doc, crc in keys:
+        slot = place >> 56
+        at = next((i for i, (position, _) in enumerate(nodes) if position >= slot << 56), 0)
+        if room[nodes[at][1]]:
+            room[nodes[at][1]] -= 1
+            expected[doc, crc] = nodes[at][1]
+        else:
+            over.append((at, doc, crc))
+    for at, doc, crc in over:
+        while not room[nodes[at % len(nodes)][1]]:
+            at += 1
+        room[nodes[at % len(nodes)][1]] -= 1
+        expected[doc, crc] = nodes[at % len(nodes)][1]
+    found = assign_shards(docs, shards=shards, virtual=virtual, slots=slots).collect()
+    assert {(r.doc_id, r.text_crc32): r.shard for r in found} == expected
+    assert len(found) == len(keys)
+
+
+def test_shards_of_a_repeated_row(spark, monkeypatch):
+    """A row that occurs very often is written out in ranges, and takes each place once."""
+    monkeypatch.setattr(sharding, "REPEATED", 16)
+    docs = spark.range(1000).select(F.when(F.col("id") > 900, F.col("id")).alias("doc_id"), F.lit("").alias("text"))
+    rows = assign_shards(docs, shards=3).collect()
+    held = {s: sorted(r.slot for r in rows if r.shard == s) for s in range(3)}
+    assert [len(held[s]) for s in range(3)] == [334, 333, 333]
+    assert all(slots == list(range(len(slots))) for slots in held.values())
+    assert sum(r.doc_id is None for r in rows) == 901
+
+
 def test_chats_round_trip(spark):
     rows = [
         (1, 2, "assistant", "b <|im_end|>\n<||im_start|> <"),
@@ -309,6 +353,37 @@ def test_graph_finds_every_close_node():
     assert sum(tuple(pair) in found for pair in expected.tolist()) >= 0.995 * len(expected)
 
 
+def test_graph_walks_through_a_dense_group():
+    """All pairs of a group far beyond the beam, each once, and a forest that ties it together."""
+    rng = np.random.default_rng(4)
+    x = np.concatenate([rng.normal(size=64) + 0.2 * rng.normal(size=(2000, 64)), rng.normal(size=(500, 64))])
+    x = rng.permutation(x / np.linalg.norm(x, axis=1, keepdims=True))
+    graph, forest, pairs = Graph.build(x), _Forest(np.arange(2500), np.arange(2500)), 0
+    close = x @ x.T >= 0.9
+    seen = np.zeros_like(close)
+    for row, node, _ in graph.blocks(x, 0.9, 48):
+        assert len(row) <= 1 << 20
+        pairs += len(row)
+        seen[row, node] = True
+        forest.add(row, node)
+    assert pairs == seen.sum() and seen.sum() >= 0.999 * close.sum()
+    assert len(forest.kept) == 1999
+
+
+def test_near_vectors_of_a_hot_group(spark):
+    """Every link and component right in a group of a third of the vectors."""
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(3000, 32))
+    x[::3] = x[0] + 0.15 * rng.normal(size=(1000, 32))
+    vectors = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    unit = x / np.linalg.norm(x, axis=1, keepdims=True)
+    links = (unit @ unit.T >= 0.9).sum(axis=1) - 1
+    found = {r.vec_id: (r.n_links, r.component_id) for r in near_vectors(vectors, shards=2).collect()}
+    assert sum(min(found[i][0], n) for i, n in enumerate(links)) >= 0.999 * links.sum()
+    assert all(found[i][0] <= n for i, n in enumerate(links))
+    assert {found[i][1] for i in range(0, 3000, 3) if links[i]} == {0}
+
+
 def test_near_vectors(spark):
     rng = np.random.default_rng(7)
     base = rng.normal(size=(1200, 16))
