@@ -1,6 +1,6 @@
 """Registered queries, each with the SQL that gives the same rows."""
 
-from millrace.queries import dates, etl, files, flow, functions, keyed, quality, sqltext, streams, whole
+from millrace.queries import catalog, dates, etl, files, flow, functions, keyed, quality, sqltext, streams, whole
 from millrace.queries.base import ORACLE, REGISTRY
 
-__all__ = ["ORACLE", "REGISTRY", "dates", "etl", "files", "flow", "functions", "keyed", "quality", "sqltext", "streams", "whole"]
+__all__ = ["ORACLE", "REGISTRY", "catalog", "dates", "etl", "files", "flow", "functions", "keyed", "quality", "sqltext", "streams", "whole"]
