@@ -12,13 +12,13 @@ from pyspark.sql import functions as F
 
 from check import TABLES
 from millrace.llm import queries as llm
-from millrace.llm import sharding
+from millrace.llm import embeddings, sharding
 from millrace.llm.chat import format_chats, parse_chat, read_back
 from millrace.llm.decontamination import contaminated, decontaminate
 from millrace.llm.embeddings import _Forest, _recall, _truth, near_vectors
 from millrace.llm.hnsw import Graph
 from millrace.llm.minhash import _least_share, drop_near_duplicates, near_duplicates
-from millrace.llm.mixing import mix, mixing_rates
+from millrace.llm.mixing import _rate, fit_rates, mix, mixing_rates
 from millrace.llm.repeats import remove_repeats
 from millrace.llm.sharding import assign_shards
 from millrace.llm.tokens import PieceCounter, count_tokens, read_vocabulary
@@ -409,6 +409,26 @@ def test_near_vectors(spark):
     assert near_vectors(vectors.limit(0)).count() == 0
 
 
+def test_audit_repeats_a_search_that_misses_links(spark, monkeypatch):
+    """Beams are doubled until the audit passes; here those below 32 miss the weaker links."""
+    rng = np.random.default_rng(11)
+    x = rng.normal(size=(2000, 32))
+    x[1000:] = x[:1000] + 0.3 * rng.normal(size=(1000, 32))
+    vectors = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    look_up, beams = embeddings._look_up, []
+
+    def blunt(least, beam):
+        beams.append(beam)
+        return look_up(least if beam >= 32 else 0.96, beam)
+
+    monkeypatch.setattr(embeddings, "_look_up", blunt)
+    found = {r.vec_id: r.n_links for r in near_vectors(vectors, beam=8).collect()}
+    unit = x / np.linalg.norm(x, axis=1, keepdims=True)
+    links = (unit @ unit.T >= 0.9).sum(axis=1) - 1
+    assert beams == [8, 16, 32] and links.sum() > 500
+    assert sum(min(found[i], n) for i, n in enumerate(links)) >= 0.99 * links.sum()
+
+
 def test_audit_sees_small_groups(spark):
     """Few linked vectors are found by drawing on, and a hot group does not outweigh them."""
     rng = np.random.default_rng(3)
@@ -460,6 +480,42 @@ def test_mixing(spark, edge, nothing):
     assert mixing_rates(nothing, marks, {"1": 1.0}, "quality").count() == 0
 
 
+def test_domains_of_rows_not_learned_from(spark):
+    """Junk of every kind, repeated words too, is told apart on labelled rows left out of the fit."""
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    labels = spark.read.parquet("/root/testdata/sf0.1/labels.parquet")
+    learned = labels.orderBy(F.xxhash64("doc_id"), "doc_id", "quality").limit(2000)
+    rated = mixing_rates(docs, labels, {"1": 0.95, "0": 0.05}, "quality", train_rows=2000)
+    rows = rated.join(labels.withColumnRenamed("doc_id", "id"), "id")
+    rows = rows.join(learned.select(F.col("doc_id").alias("id")), "id", "left_anti").collect()
+    assert sum(r.quality == 0 for r in rows) > 200
+    assert sum((r.share[1] > 0.5) != r.quality for r in rows) <= 0.005 * len(rows)
+    tokens = {q: sum(r.tokens * r.rate for r in rows if r.quality == q) for q in (0, 1)}
+    assert abs(tokens[0] / sum(tokens.values()) - 0.05) < 0.01
+
+
+@pytest.mark.parametrize("targets", [{"a": 0.05, "b": 0.9, "c": 0.05}, {"a": 0.02, "b": 0.9, "c": 0.08}])
+def test_clipped_rates_fit_as_well_as_can_be(spark, targets):
+    """Rates stopped at zero leave no more misfit than plain descent over all single rates."""
+    rng = np.random.default_rng(8)
+    share = rng.dirichlet([0.3, 0.3, 0.05], size=300)
+    tokens = rng.integers(1, 400, size=300).astype(float)
+    scored = spark.createDataFrame([(int(t), s.tolist()) for t, s in zip(tokens, share)], "tokens long, share array<double>")
+    names = ["a", "b", "c"]
+    steps, misfit = fit_rates(scored, names, targets)
+    rate = np.array([r.rate for r in scored.select(_rate("share", steps).alias("rate")).collect()])
+    assert (rate >= 0).all() and (rate == 0).any()
+    wanted = np.array([targets.get(n, 0.0) for n in names]) / sum(targets.values())
+    mass = share * tokens[:, None] / tokens.sum()
+    plain = np.ones(300)
+    length = 1 / np.linalg.norm(mass, 2) ** 2
+    for _ in range(20_000):
+        plain = np.maximum(0, plain - length * (mass @ (plain @ mass - wanted)))
+    best = np.linalg.norm(plain @ mass - wanted)
+    assert np.linalg.norm(rate @ mass - wanted) <= best + 3e-4
+    assert np.isclose(misfit[-1], np.abs(rate @ mass - wanted).max(), atol=1e-6)
+
+
 def test_pipeline(spark):
     import corpus_pipeline
 
