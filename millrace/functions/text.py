@@ -29,16 +29,20 @@ def literal_pattern(sep: str) -> str:
 
 
 def split_literal(value: Column, sep: str) -> Column:
-    """Split on a literal separator; empty fields at the end of the line are absent."""
+    """Split on a literal separator, without the empty fields at the end of the line; at least one field."""
     pattern = literal_pattern(real_separator(sep))
-    body = F.regexp_replace(value, f"(?:{pattern})+$", "")
-    return F.split(F.when(value == "", value).otherwise(F.nullif(body, F.lit(""))), pattern)
+    return F.split(F.regexp_replace(value, f"(?:{pattern})+$", ""), pattern)
 
 
 def line_fields(value: Column, sep: str, names: Sequence[str], trim: bool = False) -> list[Column]:
-    """The fields of a line by position; a short line gives NULLs."""
+    """The fields of a line by position; a short line gives NULLs.
+
+    All fields read the same split, outside any branch, so that Spark evaluates it once a row.
+    """
     parts = split_literal(value, sep)
     fields = [F.get(parts, F.lit(i)) for i in range(len(names))]
+    # A line of separators alone has no field; an empty line has one.
+    fields[:1] = [F.when((F.size(parts) > 1) | (field != "") | (value == ""), field) for field in fields[:1]]
     if trim:
         fields = [F.trim(field) for field in fields]
     return [field.alias(name) for field, name in zip(fields, names)]

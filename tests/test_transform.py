@@ -12,6 +12,7 @@ from millrace.operators.transform import (
     split_fields,
     strip_family,
 )
+from millrace.queries import REGISTRY
 from millrace.schema import field_names, fields_to_schema, schema_frame
 from millrace.session import private_session
 
@@ -107,6 +108,18 @@ def test_fields_of_a_line(spark, sep):
     ]
 
 
+def test_a_line_is_split_once(spark):
+    fields = line_fields(F.col("line"), "|", ["x", "y", "z"])
+    assert [str(field).count("regexp_replace") for field in fields[1:]] == [1, 1]
+    assert not any("CASE" in str(field) for field in fields[1:])
+
+
+def test_each_separator_has_its_own_tasks(spark):
+    found = REGISTRY["delimiter_escape"](spark, "/root/testdata/sf0.001")
+    assert found.rdd.getNumPartitions() >= 12
+    assert found.groupBy("sep").count().count() == 12
+
+
 def test_split_fields_trims(spark):
     df = spark.createDataFrame([(" a , b ",)], "line string")
     assert rows(split_fields(df, "line", ",", "x,y", trim=True)) == [("a", "b")]
