@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from millrace.llm.components import components
 from millrace.llm.joins import small
 from millrace.llm.text import chunks, mix, randoms, shingles, split_words
-from millrace.session import written
+from millrace.session import SMALL_BATCHES, session_conf, written
 
 _ODD = np.uint64(1)
 # Nodes, and shingles of their sets, that a group of the last comparison takes from either side.
@@ -227,7 +227,8 @@ def near_duplicates(
     the id of the component are kept. Other columns are not read, whatever their names.
     An empty table gives an empty result. The options are those of ``_grouped``.
     """
-    signed, known = _grouped(docs, id_col, text_col, **options)
+    with session_conf(docs.sparkSession, SMALL_BATCHES):
+        signed, known = _grouped(docs, id_col, text_col, **options)
     known = known.select("__node", F.col("first.id").alias("component_id"))
     own = F.when(F.col("__node").isNull(), F.col("__id")).otherwise(F.col("component_id"))
     return (
@@ -370,7 +371,8 @@ def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
     stays only in a group in which no row has one. Rows without words are in no group:
     they stay, once per id and text where they have an id.
     """
-    signed, known = _grouped(docs, id_col, text_col, **options)
+    with session_conf(docs.sparkSession, SMALL_BATCHES):
+        signed, known = _grouped(docs, id_col, text_col, **options)
     rows = signed.groupBy("__id", "__at").agg(F.first("__node").alias("__node"), F.count(F.lit(1)).alias("n"))
     leads = F.col("__id").eqNullSafe(F.col("first.id")) & (F.col("__at") == F.col("first.at"))
     rows = rows.join(known, "__node", "left").withColumn("stays", F.col("__node").isNull() | leads)

@@ -14,7 +14,8 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-CHUNK_BYTES = 1 << 20
+# The arrays of a chunk take some thirty times this, and an idle worker keeps much of that.
+CHUNK_BYTES = 1 << 18
 
 _U = np.uint64
 

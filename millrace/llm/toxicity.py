@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm.text import chunks, hash_spans, mix, randoms, split_words
+from millrace.session import SMALL_BATCHES, session_conf
 
 BITS = 20
 STEM_BYTES = (4, 6)
@@ -142,30 +143,28 @@ def fit_toxicity(
             )
 
     def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = pa.Table.from_batches(batches, schema=train_schema)
-        table = table.sort_by([("order", "ascending"), ("label", "ascending"), ("features", "ascending")])
-        if not len(table):
+        rows = [row for batch in batches for row in zip(*(column.to_pylist() for column in batch.columns))]
+        if not rows:
             return
+        rows.sort()
         own = Ftrl(bits)
-        held = [np.frombuffer(data, dtype="<i4") for data in table.column("features").to_pylist()]
-        labels = [int(label > 0) for label in table.column("label").to_pylist()]
         for _ in range(epochs):
-            for at, label in zip(held, labels):
-                own.learn(at, label)
-        weights = own.weights(slice(0, 1 << bits))
-        numbers = np.flatnonzero(weights)
+            for _, label, data in rows:
+                own.learn(np.frombuffer(data, dtype="<i4"), int(label > 0))
+        numbers = np.flatnonzero(np.abs(own.z[: 1 << bits]) > own.l1)
+        weights = own.weights(numbers)
         yield pa.record_batch(
             [
                 pa.array([numbers.astype("<i8").tobytes()], pa.binary()),
-                pa.array([weights[numbers].astype("<f8").tobytes()], pa.binary()),
+                pa.array([weights.astype("<f8").tobytes()], pa.binary()),
                 pa.array([own.intercept()]),
             ],
             names=["numbers", "weights", "intercept"],
         )
 
-    train_schema = pa.schema([("order", pa.int64()), ("label", pa.int32()), ("features", pa.binary())])
     train = rows.mapInArrow(extract, "order long, label int, features binary")
-    found = train.repartition(1).mapInArrow(learn, "numbers binary, weights binary, intercept double").first()
+    with session_conf(docs.sparkSession, SMALL_BATCHES):
+        found = train.repartition(1).mapInArrow(learn, "numbers binary, weights binary, intercept double").first()
     if found is None:
         return ToxicityModel(bits, np.empty(0, np.int64), np.empty(0), -1.0)
     numbers, weights = np.frombuffer(found.numbers, dtype="<i8"), np.frombuffer(found.weights, dtype="<f8")

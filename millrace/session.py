@@ -22,6 +22,10 @@ SESSION_DEFAULTS = {
     "spark.sql.sources.partitionOverwriteMode": "static",
 }
 
+# For steps whose rows are whole texts or sets: a batch is held by the executor and by its
+# Python worker at once.
+SMALL_BATCHES = {"spark.sql.execution.arrow.maxRecordsPerBatch": "2000"}
+
 _FIXED = ("CANNOT_MODIFY_CONFIG", "CANNOT_MODIFY_STATIC_CONFIG")
 
 # Tasks carry SQL text written for non-ANSI casts: an uncastable value is NULL, it does

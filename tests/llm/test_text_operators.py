@@ -3,6 +3,7 @@
 import math
 import random
 import re
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 
@@ -12,10 +13,11 @@ import pytest
 from pyspark.sql import functions as F
 
 from millrace.llm.collocations import collocations, frequent_phrases
-from millrace.llm.minhash import near_duplicates
+from millrace.llm.minhash import _sign, near_duplicates
 from millrace.llm.quality import Learner, Pieces, quality
 from millrace.llm.search import search
-from millrace.llm.toxicity import features, fit_toxicity
+from millrace.llm.text import chunks
+from millrace.llm.toxicity import ToxicityModel, features, fit_toxicity
 from millrace.session import written
 
 SF_DIR = "/root/testdata/sf0.01"
@@ -288,3 +290,20 @@ def test_graded_copies_leave_no_square_of_rows(spark, size, monkeypatch):
                 parent[max(x, y)] = min(x, y)
     assert {r.doc_id: r.component_id for r in found} == {i: top(i) for i in sets}
     assert made["edges"] <= 32 * size
+
+
+def test_a_worker_holds_little_of_a_batch():
+    draw = random.Random(5)
+    texts = [" ".join(str(draw.randrange(5000)) for _ in range(400)) for _ in range(1500)]
+    batch = pa.record_batch([pa.array(range(1500)), pa.array(range(1500)), pa.array(texts)], names=["a", "b", "c"])
+    score = ToxicityModel(20, np.arange(1000), np.ones(1000), 0.0).scorer()
+    score(batch.column(2).slice(0, 1))
+    peaks = []
+    tracemalloc.start()
+    for run in (lambda: _sign(5, 256)(iter([batch])), lambda: map(lambda part: score(part.column(2)), chunks([batch], 2))):
+        tracemalloc.reset_peak()
+        for _ in run():
+            pass
+        peaks.append(tracemalloc.get_traced_memory()[1] / 1e6)
+    tracemalloc.stop()
+    assert peaks[0] < 16 and peaks[1] < 24
