@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from bisect import bisect_left
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -101,10 +103,11 @@ def assign_shards(
         keyed.groupBy("ring_slot", "place", "id", "crc", "size").agg(F.count(F.lit(1)).alias("copies")), "places"
     )
     counts = {r.ring_slot: r.n for r in rows.groupBy("ring_slot").agg(F.sum("copies").alias("n")).collect()}
-    runs = spark.createDataFrame(
-        walk(ring(spark, shards, virtual), counts, shards, slots),
-        "run_slot int, low long, high long, shard int, place_low long",
-    )
+    # From Arrow: rows of a Python list would be turned by Python workers on the executors.
+    runs = np.array(walk(ring(spark, shards, virtual), counts, shards, slots), dtype=np.int64).reshape(-1, 5)
+    fields = {"run_slot": pa.int32(), "low": pa.int64(), "high": pa.int64(), "shard": pa.int32(), "place_low": pa.int64()}
+    columns = [pa.array(column).cast(kind) for column, kind in zip(runs.T, fields.values())]
+    runs = spark.createDataFrame(pa.table(columns, names=list(fields)))
     before = Window.partitionBy("ring_slot").orderBy("place", "id", "crc", "size")
     ranked = rows.withColumn("end", F.sum("copies").over(before.rowsBetween(Window.unboundedPreceding, 0)))
     ranked = ranked.withColumn("first", F.col("end") - F.col("copies"))

@@ -227,6 +227,12 @@ def test_shards_of_a_repeated_row(spark, monkeypatch):
     assert sum(r.doc_id is None for r in rows) == 901
 
 
+def test_shards_start_no_python_on_executors(spark):
+    docs = spark.range(100).select(F.col("id").alias("doc_id"), F.col("id").cast("string").alias("text"))
+    plan = assign_shards(docs)._jdf.queryExecution().executedPlan().toString()
+    assert "LocalTableScan" in plan and "ExistingRDD" not in plan
+
+
 def test_chats_round_trip(spark):
     rows = [
         (1, 2, "assistant", "b <|im_end|>\n<||im_start|> <"),
