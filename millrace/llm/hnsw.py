@@ -214,6 +214,11 @@ class Graph:
             entries, _ = _search(self.x, links, q, entries, min(beam, len(links)), len(links))
         return entries
 
+    def nearest(self, q: np.ndarray, beam: int) -> tuple[np.ndarray, np.ndarray]:
+        """Ids and similarities of the ``beam`` nearest nodes that a walk finds for each query, unordered."""
+        entries = self._descend(q, 0, max(8, beam // 2))
+        return _search(self.x, self.layers[0], q, entries, beam, len(self.x))
+
     def within(self, q: np.ndarray, least: float, beam: int) -> tuple[np.ndarray, np.ndarray]:
         """All pairs of ``blocks`` at once, as ``(query, node)``."""
         queries, nodes = [], []
