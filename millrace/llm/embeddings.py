@@ -259,7 +259,7 @@ class _Block:
             self.single[low : low + TILE[1]] = _unit(self.vectors[low : low + TILE[1]])
         self.doubt = max(1e-4, (self.vectors.shape[1] + 3) * 2.0**-23)
         self.asks_of = np.repeat(np.arange(len(self.node)), self.counts)
-        self.codes = np.sort((self.asks_of << 32) | self.asks)
+        self.codes = np.append(np.sort((self.asks_of << 32) | self.asks), -1)
         self.links, self.linked = np.zeros(len(self.node), np.int64), np.zeros(len(self.node), np.int64)
         self.forest = _Forest(self.node, self.node)
         self.tile = np.empty(TILE[0] * TILE[1], np.float32)
@@ -276,8 +276,9 @@ class _Block:
         return np.concatenate([head, np.sqrt(np.maximum(rest, 0) + 1e-6)[:, None]], axis=1)
 
     def members(self) -> None:
-        """The members that ask here."""
+        """The members that ask here; if all do, a pair is looked at once, for both."""
         some = np.flatnonzero(self.asking)
+        self.half = len(some) == len(self.node)
         links, linked = self._compare(self.vectors[some], self.size[some], None, some)
         self.links[some] += links
         self.linked[some] += linked
@@ -295,7 +296,8 @@ class _Block:
             single = unit.astype(np.float32)
             head = self._headed(single) if self.heads is not None else None
             asking = size[own], None if home is None else home[own], place[own]
-            for left in range(0, len(self.node), TILE[1]):
+            start = low // TILE[1] * TILE[1] if home is None and self.half else 0
+            for left in range(start, len(self.node), TILE[1]):
                 members = slice(left, left + TILE[1])
                 pairs = None
                 if self.heads is not None:
@@ -345,15 +347,19 @@ class _Block:
 
     def _sparse(self, unit, r, c, sims, left, size, home, place):
         member = c + left
-        keep = np.ones(len(r), dtype=bool) if home is not None else place[r] != member
+        keep = np.ones(len(r), dtype=bool)
+        if home is None:
+            keep = place[r] < member if self.half else place[r] != member
         unsure = np.flatnonzero(keep & (sims < self.least + self.doubt))
         keep[unsure] = self._sure(unit, r[unsure], member[unsure])
         r, member = r[keep], member[keep]
-        if home is not None and len(r):
+        if home is None:
+            back = np.full(len(r), self.half)
+        else:
             code = (member << 32) | home[r]
-            at = np.searchsorted(self.codes, code)
-            known = np.append(self.codes, -1)[at] == code
+            known = self.codes[np.searchsorted(self.codes[:-1], code)] == code
             back = ~known & (home[r] != self.home[member])
+        if back.any():
             np.add.at(self.links, member[back], 1)
             np.add.at(self.linked, member[back], size[r[back]])
         self.forest.add(place[r], member)
@@ -365,19 +371,20 @@ class _Block:
         """The same for a tile in which many pairs are near: no list of pairs, unless they tie parts together."""
         members = slice(left, left + near.shape[1])
         if home is None:
-            some = np.flatnonzero((place >= left) & (place < members.stop))
-            near[some, place[some] - left] = False
+            other = np.arange(left, members.stop)
+            near &= place[:, None] < other if self.half else place[:, None] != other
         r, c = _places(near & (sims < self.least + self.doubt))
         near[r, c] = self._sure(unit, r, c + left)
-        if home is not None:
-            for region in np.unique(home).tolist():
-                some = np.flatnonzero(home == region)
-                free = self.home[members] != region
-                asking = self.asks_of[self.asks == region] - left
-                free[asking[(asking >= 0) & (asking < len(free))]] = False
-                back = near[some] & free
-                self.links[members] += np.count_nonzero(back, axis=0)
-                self.linked[members] += (size[some].astype(np.float64) @ back).astype(np.int64)
+        back = [(np.arange(len(unit)), near)] if home is None and self.half else []
+        for region in np.unique(home).tolist() if home is not None else ():
+            free = self.home[members] != region
+            asking = self.asks_of[self.asks == region] - left
+            free[asking[(asking >= 0) & (asking < len(free))]] = False
+            some = np.flatnonzero(home == region)
+            back.append((some, near[some] & free))
+        for some, linked in back:
+            self.links[members] += np.count_nonzero(linked, axis=0)
+            self.linked[members] += (size[some].astype(np.float64) @ linked).astype(np.int64)
         row, column = np.flatnonzero(near.any(axis=1)), np.flatnonzero(near.any(axis=0))
         if len(row) and not self.forest.one(place[row], column + left):
             r, c = np.nonzero(near)
@@ -522,11 +529,15 @@ def _recall(truth: dict[int, int], found: dict[int, int], hot: int) -> float:
     return min((sum(part) / len(part) for part in parts.values()), default=1.0)
 
 
-def _usable(vector: Column) -> Column:
-    """Whether a vector has numbers, finite ones alone, and not all zero. NaN is above infinity."""
-    top, low, infinite = F.array_max(vector), F.array_min(vector), F.lit(float("inf"))
-    whole = F.size(F.array_compact(vector)) == F.size(vector)
-    return F.coalesce(whole & (top < infinite) & (low > -infinite) & ((top != 0) | (low != 0)), F.lit(False))
+def _usable(vector: Column, kind: str) -> Column:
+    """Whether a vector has numbers, finite ones alone, and not all zero.
+
+    NaN is above infinity; what an array with a null does not contain is not known.
+    """
+    infinite = F.lit(float("inf")).cast(kind)
+    top, low = F.array_max(vector), F.array_min(vector)
+    finite = ~F.array_contains(vector, infinite) & (top < infinite) & (low > -infinite)
+    return F.coalesce(finite & ((top != 0) | (low != 0)), F.lit(False))
 
 
 def _share(salt: str, shares: dict[int, float]) -> Column:
@@ -628,13 +639,12 @@ def near_vectors(
     empty table gives an empty result.
     """
     spark = vectors.sparkSession
-    dtype = "float32" if isinstance(vectors.schema[vector_col].dataType.elementType, FloatType) else "float64"
-    raw = F.col(vector_col).cast("array<float>" if dtype == "float32" else "array<double>")
-    rows = vectors.select(F.col(id_col).alias("id"), raw.alias("vector"))
-    rows = rows.withColumn("node", F.when(_usable(exact := F.col("vector").cast("array<double>")), F.xxhash64(exact)))
-    rows = rows.withColumn("dim", F.size("vector"))
-    nodes = rows.where("node is not null").select("node", "dim", "vector")
-    keys = written(rows.select("id", "node", "dim"), "keys")
+    kind = "float" if isinstance(vectors.schema[vector_col].dataType.elementType, FloatType) else "double"
+    dtype = {"float": "float32", "double": "float64"}[kind]
+    rows = vectors.select(F.col(id_col).alias("id"), F.col(vector_col).cast(f"array<{kind}>").alias("vector"))
+    usable, node, dim = _usable(F.col("vector"), kind), F.xxhash64("vector").alias("node"), F.size("vector").alias("dim")
+    nodes = rows.where(usable).select(node, dim, "vector")
+    keys = written(rows.select("id", F.when(usable, node).alias("node"), dim), "keys")
     known = keys.where("node is not null")
     dims = {r.dim: r.n for r in known.groupBy("dim").agg(F.count(F.lit(1)).alias("n")).collect()}
     links = spark.createDataFrame([], "node long, links long, vectors long")

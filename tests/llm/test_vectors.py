@@ -67,7 +67,7 @@ def test_blocks_and_parts_give_the_same(spark, monkeypatch):
 def test_block_against_brute_force():
     """Links of members, of those that ask, and of members that do not ask back; sparse and dense, any length."""
     rng = np.random.default_rng(14)
-    for dim, hot in ((8, 0), (64, 0), (64, 400)):
+    for dim, hot, every in ((8, 0, 7), (64, 0, 7), (64, 400, 7), (64, 0, 2000), (64, 400, 2000)):
         m = rng.normal(size=(1500, dim)).astype(np.float32)
         m[:hot] = m[0] + 0.3 * rng.normal(size=(hot, dim))
         g = np.concatenate([m[:700], rng.normal(size=(500, dim)).astype(np.float32)])
@@ -75,7 +75,7 @@ def test_block_against_brute_force():
         asks = rng.random((1500, 5)) < 0.4
         asks[:, 0] = False
         size, home, guests = rng.integers(1, 4, 1500), rng.integers(0, 5, 1200), rng.integers(1, 3, 1200)
-        rows = {"node": np.arange(1500), "size": size, "home": np.zeros(1500, np.int64), "asking": np.arange(1500) % 7 > 0}
+        rows = {"node": np.arange(1500), "size": size, "home": np.zeros(1500, np.int64), "asking": np.arange(1, 1501) % every > 0}
         rows |= {"asks": np.nonzero(asks)[1], "counts": asks.sum(axis=1), "vectors": m}
         block = _Block(0.9, [rows])
         block.members()
